@@ -145,16 +145,16 @@ def agg_axis_rows(t):
 
 @query(
     "agg_axis_cols",
-    "SELECT min(l_quantity) AS q, min(l_extendedprice) AS p, min(l_discount) AS d, min(l_tax) AS x FROM lineitem",
+    "SELECT min(l_quantity) AS q, min(l_extendedprice) AS p, max(l_discount) AS d, max(l_tax) AS x FROM lineitem",
 )
 def agg_axis_cols(t):
-    cols = {"q": "l_quantity", "p": "l_extendedprice", "d": "l_discount", "x": "l_tax"}
-    return t.lineitem.agg(*[F.min(c).alias(a) for a, c in cols.items()])
+    lows, highs = {"q": "l_quantity", "p": "l_extendedprice"}, {"d": "l_discount", "x": "l_tax"}
+    return t.lineitem.agg(*[F.min(c).alias(a) for a, c in lows.items()], *[F.max(c).alias(a) for a, c in highs.items()])
 
 
 @query(
     "agg_rowwise_predicates",
-    """SELECT vec_id, len(list_filter(embedding, x -> x < 0))::INT AS n_neg, len(list_filter(embedding, x -> x >= 0.3)) = 0 AS all_small FROM embeddings""",
+    """SELECT vec_id, len(list_filter(embedding, lambda x: x < 0))::INT AS n_neg, len(list_filter(embedding, lambda x: x >= 0.3)) = 0 AS all_small FROM embeddings""",
 )
 def agg_rowwise_predicates(t):
     return t.embeddings.select(
@@ -271,11 +271,11 @@ def group_filter(t):
 
 @query(
     "group_transform_center",
-    """SELECT l_orderkey, l_linenumber, round(l_quantity - avg(l_quantity) OVER (PARTITION BY l_suppkey), 6) AS centred FROM lineitem""",
+    """SELECT l_orderkey, l_linenumber, round(l_quantity - avg(l_quantity) OVER (PARTITION BY l_suppkey), 8) AS centred FROM lineitem""",
 )
 def group_transform_center(t):
     means = t.lineitem.groupBy("l_suppkey").agg(F.avg("l_quantity").alias("m"))
-    return t.lineitem.join(means, "l_suppkey").select("l_orderkey", "l_linenumber", F.round(F.col("l_quantity") - F.col("m"), 6).alias("centred"))
+    return t.lineitem.join(means, "l_suppkey").select("l_orderkey", "l_linenumber", F.round(F.col("l_quantity") - F.col("m"), 8).alias("centred"))
 
 
 @query(

@@ -288,8 +288,9 @@ def zip_columns(t):
 def range_join_bins(t):
     # line numbers run from 1 to 7, so the edge list is a short array computed once
     edges = t.lineitem.groupBy("l_linenumber").agg(F.min("l_extendedprice").alias("edge")).agg(F.array_sort(F.collect_set("edge"))).scalar()
-    below = F.size(F.filter(edges, lambda e: e < F.col("l_extendedprice")))
-    return t.lineitem.select("l_orderkey", "l_extendedprice", below.alias("bin")).filter("bin > 0")
+    d = t.lineitem.select("l_orderkey", "l_extendedprice", edges.alias("edges"))
+    below = F.size(F.filter("edges", lambda e: e < F.col("l_extendedprice")))
+    return d.select("l_orderkey", "l_extendedprice", below.alias("bin")).filter("bin > 0")
 
 
 @query(
