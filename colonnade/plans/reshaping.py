@@ -191,7 +191,7 @@ def multiindex_partial_select(t):
 @query(
     "multiindex_tuple_range",
     """SELECT o_orderstatus, y, v FROM (SELECT o_orderstatus, year(o_orderdate)::INT AS y, count(*) AS v FROM orders GROUP BY 1, 2)
-       WHERE (o_orderstatus, y) >= ('F', 1999) AND (o_orderstatus, y) <= ('O', 1997)""",
+       WHERE (o_orderstatus = 'F' AND y >= 1999) OR (o_orderstatus > 'F' AND o_orderstatus < 'O') OR (o_orderstatus = 'O' AND y <= 1997)""",
 )
 def multiindex_tuple_range(t):
     key = F.struct("o_orderstatus", "y")
