@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import unicodedata
-
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -65,6 +63,13 @@ def clean_sensor_label(c: Column) -> Column:
     return F.concat(F.lit("WEC-"), pad_left(number.cast("string"), 2, "0"))
 
 
-@F.pandas_udf("string")
-def unicode_nfc(s: pd.Series) -> pd.Series:
-    return s.map(lambda x: unicodedata.normalize("NFC", x), na_action="ignore")
+def unicode_nfc(c: Column) -> Column:
+    """Unicode composed form; the JVM has no SQL function for it."""
+
+    @F.pandas_udf("string")
+    def nfc(s: pd.Series) -> pd.Series:
+        import unicodedata
+
+        return s.map(lambda x: unicodedata.normalize("NFC", x), na_action="ignore")
+
+    return nfc(c)
