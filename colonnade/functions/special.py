@@ -51,8 +51,8 @@ def erf_sql(x: str) -> str:
     for n in range(_FRACTION, 0, -1):
         tail = f"(a + {n / 2.0} / {tail})"
     return (
-        f"(SELECT CASE WHEN a < {_SPLIT} THEN 2 / sqrt(pi()) * x * exp(-x * x) * {acc} "
-        f"ELSE sign(x) * (1 - exp(-a * a) / sqrt(pi()) / {tail}) END FROM (SELECT x, abs(x) AS a, 2 * x * x AS z FROM (SELECT ({x})::DOUBLE AS x)))"
+        f"(SELECT CASE WHEN a < {_SPLIT} THEN 2 / sqrt(pi()) * ex * exp(-ex * ex) * {acc} "
+        f"ELSE sign(ex) * (1 - exp(-a * a) / sqrt(pi()) / {tail}) END FROM (SELECT ex, abs(ex) AS a, 2 * ex * ex AS z FROM (SELECT ({x})::DOUBLE AS ex)))"
     )
 
 

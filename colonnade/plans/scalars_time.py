@@ -60,7 +60,7 @@ def dt_parts(t):
 )
 def dt_add_sequence(t):
     first = t.orders.groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.to_date(F.min("o_orderdate")).alias("d0"))
-    return first.select("c_custkey", F.explode(F.sequence("d0", F.date_add("d0", 11))).cast("string").alias("d"))
+    return first.select("c_custkey", F.explode(F.sequence("d0", F.date_add("d0", 11))).alias("d")).select("c_custkey", _s("d"))
 
 
 @query(
