@@ -103,15 +103,14 @@ def bootstrap_lines(df: DataFrame, key: str, x: Column, y: Column, replicates: i
     """Weighted least-squares line per bootstrap replicate.
 
     Each row draws its own Poisson(1) weight for every replicate, so resampling needs no
-    shuffle: all replicates are weighted sums in one aggregation.
+    shuffle of the data: the copies are folded into one row of sums per replicate and task.
     """
-    aggs = []
-    for b in range(replicates):
-        w = poisson_weight(hash_uniform(F.lit(b), F.col(key))).cast("double")
-        aggs += [F.sum(w).alias(f"w{b}"), F.sum(w * x).alias(f"x{b}"), F.sum(w * y).alias(f"y{b}"), F.sum(w * x * x).alias(f"xx{b}"), F.sum(w * x * y).alias(f"xy{b}")]
-    wide = df.agg(*aggs)
-    rows = F.array(*[F.struct(F.lit(b).alias("replicate"), *[F.col(f"{c}{b}").alias(c) for c in ("w", "x", "y", "xx", "xy")]) for b in range(replicates)])
-    s = wide.select(F.inline(rows))
+    d = df.select(F.col(key), x.alias("_x"), y.alias("_y"), F.explode(F.sequence(F.lit(0), F.lit(replicates - 1))).alias("replicate"))
+    d = d.withColumn("_w", poisson_weight(hash_uniform(F.col("replicate"), F.col(key))).cast("double")).filter("_w > 0")
+    w, vx, vy = F.col("_w"), F.col("_x"), F.col("_y")
+    s = d.groupBy("replicate").agg(
+        F.sum(w).alias("w"), F.sum(w * vx).alias("x"), F.sum(w * vy).alias("y"), F.sum(w * vx * vx).alias("xx"), F.sum(w * vx * vy).alias("xy")
+    )
     slope = F.try_divide(F.col("w") * F.col("xy") - F.col("x") * F.col("y"), F.col("w") * F.col("xx") - F.col("x") * F.col("x"))
     return s.withColumn("slope", slope).select("replicate", "slope", F.try_divide(F.col("y") - F.col("slope") * F.col("x"), "w").alias("intercept"))
 
