@@ -50,6 +50,9 @@ class GaussianBumpsModel(Model, _BumpParams):
         return dataset.withColumns(new)
 
 
+MAX_DISTINCT = 20000  # the fitted table travels to every task
+
+
 class _DensityParams(HasInputCol, HasLabelCol, DefaultParamsReadable, DefaultParamsWritable):
     bandwidth = Param(Params._dummy(), "bandwidth", "kernel width", TypeConverters.toFloat)
 
@@ -68,6 +71,9 @@ class DensityClassifier(Estimator, _DensityParams):
 
     def _fit(self, dataset):
         x, y = self.getOrDefault(self.inputCol), self.getOrDefault(self.labelCol)
+        distinct = dataset.agg(F.approx_count_distinct(x)).first()[0]
+        if distinct > MAX_DISTINCT:
+            raise ValueError(f"{x} has about {distinct} distinct values; bin it to at most {MAX_DISTINCT}")
         model = DensityClassifierModel()
         self._copyValues(model)
         model.counts = dataset.groupBy(F.col(y).alias("_c"), F.col(x).alias("_v")).agg(F.count(F.lit(1)).alias("_k"))

@@ -16,8 +16,8 @@ def _window(c="window"):
 
 @query(
     "stream_tumbling",
-    f"""SELECT date_trunc('day', ts)::TIMESTAMP AS start, (date_trunc('day', ts) + INTERVAL 1 DAY)::TIMESTAMP AS stop, event_type, count(*) AS n, round(sum(value), 2) AS total FROM events GROUP BY 1, 2, 3
-        HAVING date_trunc('day', ts) + INTERVAL 1 DAY <= {_CLOSED}""",
+    f"""SELECT * FROM (SELECT date_trunc('day', ts)::TIMESTAMP AS start, (date_trunc('day', ts) + INTERVAL 1 DAY)::TIMESTAMP AS stop, event_type, count(*) AS n, round(sum(value), 2) AS total FROM events GROUP BY 1, 2, 3)
+        WHERE stop <= {_CLOSED}""",
 )
 def stream_tumbling(t):
     s = event_stream(t.spark, t.path)
