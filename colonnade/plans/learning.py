@@ -251,13 +251,13 @@ def ml_random_forest_reg(t):
 
 @query("ml_linear_svm")
 def ml_linear_svm(t):
-    d = lr.hash_split(vec(t, 16), "vec_id", 0.25).cache()
+    d = lr.hash_split(binary(t, 16), "vec_id", 0.25).select("features", "y", "is_test").cache()
     train, test = d.filter("not is_test"), d.filter("is_test")
     n = train.count()
     rows = []
     for c in (0.1, 1.0, 10.0):
-        m = OneVsRest(classifier=LinearSVC(regParam=1 / (n * c), maxIter=30, standardization=False)).fit(train)
-        rows.append((c, accuracy(m.transform(test))))
+        m = LinearSVC(labelCol="y", regParam=1 / (n * c), maxIter=20, standardization=False).fit(train)
+        rows.append((c, accuracy(m.transform(test), "y")))
     return results(t, rows, "c double, accuracy double")
 
 
@@ -358,12 +358,23 @@ def ml_gmm(t):
     return m.transform(d).select("vec_id", "prediction", F.to_json(vector_to_array("probability")).alias("probability"))
 
 
+def _one_gaussian_loglik(d, dim, n):
+    """Log likelihood of a single normal: closed form from the covariances."""
+    import numpy as np
+
+    e = lambda i: F.get("e", F.lit(i))
+    pairs = [(i, j) for i in range(dim) for j in range(i, dim)]
+    row = d.agg(*[F.covar_pop(e(i), e(j)).alias(f"c{i}_{j}") for i, j in pairs]).first()
+    cov = np.array([[row[f"c{min(i, j)}_{max(i, j)}"] for j in range(dim)] for i in range(dim)])
+    return float(-n / 2 * (dim * math.log(2 * math.pi) + np.linalg.slogdet(cov)[1] + dim))
+
+
 @query("ml_gmm_select")
 def ml_gmm_select(t):
     d = vec(t, 4).cache()
     n, dim, rows = d.count(), 4, []
     for k in (1, 2, 3, 4):
-        ll = GaussianMixture(k=k, seed=1, maxIter=20).fit(d).summary.logLikelihood
+        ll = _one_gaussian_loglik(d, dim, n) if k == 1 else GaussianMixture(k=k, seed=1, maxIter=20).fit(d).summary.logLikelihood
         p = k - 1 + k * dim + k * dim * (dim + 1) / 2
         rows.append((k, ll, 2 * p - 2 * ll, p * math.log(n) - 2 * ll))
     return results(t, rows, "k int, loglik double, aic double, bic double")
