@@ -161,12 +161,12 @@ def impute_mean(t):
 
 @query(
     "arith_fill_value",
-    """WITH a AS (SELECT s_nationkey AS k, sum(s_acctbal) AS v FROM supplier WHERE s_nationkey % 2 = 0 GROUP BY 1),
-       b AS (SELECT c_nationkey AS k, sum(c_acctbal) AS v FROM customer WHERE c_nationkey % 3 = 0 GROUP BY 1)
+    """WITH a AS (SELECT s_nationkey AS k, sum(s_acctbal) AS v FROM supplier WHERE s_acctbal > 5000 GROUP BY 1),
+       b AS (SELECT c_nationkey AS k, sum(c_acctbal) AS v FROM customer WHERE c_acctbal < -500 GROUP BY 1)
        SELECT k, round(coalesce(a.v, 0) + coalesce(b.v, 0), 2) AS total FROM a FULL JOIN b USING (k)""",
 )
 def arith_fill_value(t):
-    a = t.supplier.filter("s_nationkey % 2 = 0").groupBy(F.col("s_nationkey").alias("k")).agg(F.sum("s_acctbal").alias("a"))
-    b = t.customer.filter("c_nationkey % 3 = 0").groupBy(F.col("c_nationkey").alias("k")).agg(F.sum("c_acctbal").alias("b"))
+    a = t.supplier.filter("s_acctbal > 5000").groupBy(F.col("s_nationkey").alias("k")).agg(F.sum("s_acctbal").alias("a"))
+    b = t.customer.filter("c_acctbal < -500").groupBy(F.col("c_nationkey").alias("k")).agg(F.sum("c_acctbal").alias("b"))
     zero = F.lit(0.0)
     return a.join(b, "k", "full").select("k", F.round(F.coalesce("a", zero) + F.coalesce("b", zero), 2).alias("total"))

@@ -112,11 +112,10 @@ def math_bitwise(t):
     )
 
 
-@query("math_rounding", "SELECT o_orderkey, round(o_totalprice, 1) AS r1, round(o_totalprice) AS r0, round(o_totalprice, -2) AS rm2 FROM orders WHERE (o_totalprice * 100)::BIGINT % 10 <> 5 AND (o_totalprice * 100)::BIGINT % 100 <> 50")
+@query("math_rounding", "SELECT o_orderkey, round(sqrt(o_totalprice), 1) AS r1, round(sqrt(o_totalprice)) AS r0, round(o_totalprice, -2) AS rm2 FROM orders")
 def math_rounding(t):
-    p = F.col("o_totalprice")
-    cents = F.round(p * 100).cast("bigint")
-    return t.orders.filter((cents % 10 != 5) & (cents % 100 != 50)).select("o_orderkey", F.round(p, 1).alias("r1"), F.round(p).alias("r0"), F.round(p, -2).alias("rm2"))
+    root = F.sqrt("o_totalprice")
+    return t.orders.select("o_orderkey", F.round(root, 1).alias("r1"), F.round(root).alias("r0"), F.round("o_totalprice", -2).alias("rm2"))
 
 
 @query(
