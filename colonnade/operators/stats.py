@@ -115,6 +115,28 @@ def bootstrap_lines(df: DataFrame, key: str, x: Column, y: Column, replicates: i
     return s.withColumn("slope", slope).select("replicate", "slope", F.try_divide(F.col("y") - F.col("slope") * F.col("x"), "w").alias("intercept"))
 
 
+def bootstrap_least_squares(df: DataFrame, key: str, xs: Sequence[str], y: str, replicates: int) -> list[list[float]]:
+    """Coefficients of the plain fit (first) and of every bootstrap refit.
+
+    Each row meets each replicate with its own Poisson(1) weight; the cross products are
+    folded into one small row per replicate, and only those rows reach the driver.
+    """
+    import numpy as np
+
+    d = df.withColumn("_b", F.explode(F.sequence(F.lit(-1), F.lit(replicates - 1))))
+    w = F.when(F.col("_b") < 0, 1).otherwise(poisson_weight(hash_uniform(F.col("_b"), F.col(key)))).cast("double")
+    d = d.withColumn("_w", w).filter("_w > 0")
+    pairs = [(i, j) for i in range(len(xs)) for j in range(i, len(xs))]
+    aggs = [F.sum(F.col("_w") * F.col(xs[i]) * F.col(xs[j])).alias(f"a{i}_{j}") for i, j in pairs]
+    aggs += [F.sum(F.col("_w") * F.col(x) * F.col(y)).alias(f"b{i}") for i, x in enumerate(xs)]
+    out = []
+    for row in d.groupBy("_b").agg(*aggs).orderBy("_b").collect():
+        a = np.array([[row[f"a{min(i, j)}_{max(i, j)}"] for j in range(len(xs))] for i in range(len(xs))])
+        b = np.array([row[f"b{i}"] for i in range(len(xs))])
+        out.append(np.linalg.lstsq(a, b, rcond=None)[0].tolist())
+    return out
+
+
 def normal_equations(df: DataFrame, x: Column, y: Column, degree: int) -> list[float]:
     """Polynomial least squares: power sums from one pass, a (degree+1)-square solve on the driver.
 

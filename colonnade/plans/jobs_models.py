@@ -6,7 +6,6 @@ from pyspark.ml import Pipeline
 from pyspark.ml.classification import DecisionTreeClassifier, LinearSVC, LogisticRegression, OneVsRest
 from pyspark.ml.feature import PCA, StandardScaler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 
 from colonnade.functions import geo
@@ -36,18 +35,12 @@ def job_bike_regression(t):
     x["temp"] = F.col("temp") / 100000
     x["annual"] = F.datediff("d", F.lit("1995-01-01").cast("date")) / 365.0
     names = list(x)
-    # one row per day: bounded by the calendar, reused by every refit
-    full = lr.as_features(d.select("d", "total", *[c.alias(n) for n, c in x.items()]), names).cache()
-    fit = lambda df, w=None: LinearRegression(labelCol="total", fitIntercept=False, solver="normal", regParam=1e-6, **({"weightCol": w} if w else {})).fit(df)
-    base = fit(full)
-    runs = []
-    for b in range(10):
-        w = stats.poisson_weight(stats.hash_uniform(F.lit(b), F.unix_date("d"))).cast("double")
-        runs.append(fit(full.withColumn("w", w), "w").coefficients.toArray())
+    table = d.select(F.unix_date("d").alias("day"), "total", *[c.alias(n) for n, c in x.items()])
+    base, *runs = stats.bootstrap_least_squares(table, "day", names, "total", 50)
     import numpy as np
 
     err = np.std(np.array(runs), axis=0)
-    return results(t, [(n, float(c), float(e)) for n, c, e in zip(names, base.coefficients, err)], "name string, effect double, error double")
+    return results(t, [(n, float(c), float(e)) for n, c, e in zip(names, base, err)], "name string, effect double, error double")
 
 
 @query("job_grid_stability")

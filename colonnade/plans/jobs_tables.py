@@ -33,8 +33,8 @@ def r(c, d=6):
     """WITH cust AS (SELECT c_custkey, CASE WHEN c_nationkey = 0 THEN NULL ELSE 'NATION_' || c_nationkey END AS state FROM customer),
        pop AS (SELECT o_custkey, year(o_orderdate)::INT AS year, sum(o_totalprice) AS revenue FROM orders GROUP BY 1, 2),
        merged AS (SELECT coalesce(state, 'NATION_0') AS state, year, revenue FROM pop FULL JOIN cust ON o_custkey = c_custkey),
-       area AS (SELECT n_name AS state, r_name, (n_nationkey + 1) * 1000 AS area FROM nation JOIN region ON n_regionkey = r_regionkey)
-       SELECT m.state, r_name, round(sum(revenue), 2) AS revenue, round(sum(revenue) / any_value(area), 4) AS density FROM merged m LEFT JOIN area USING (state) WHERE year = 1998 AND area IS NOT NULL GROUP BY 1, 2""",
+       area AS (SELECT n_name AS state, r_name, (n_nationkey + 1) * 997 AS area FROM nation JOIN region ON n_regionkey = r_regionkey)
+       SELECT m.state, r_name, round(sum(revenue), 2) AS revenue, round(sum(revenue) / any_value(area), 6) AS density FROM merged m LEFT JOIN area USING (state) WHERE year = 1998 AND area IS NOT NULL GROUP BY 1, 2""",
 )
 def job_state_density(t):
     """Outer join, repair of unmatched names, area look-up, one year, ranked density."""
@@ -44,11 +44,11 @@ def job_state_density(t):
     merged = pop.join(cust, F.col("o_custkey") == F.col("c_custkey"), "full")
     merged = merged.withColumn("state", F.when(F.col("state").isNull(), "NATION_0").otherwise(F.col("state")))
     area = t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey")).select(
-        F.col("n_name").alias("state"), "r_name", ((F.col("n_nationkey") + 1) * 1000).alias("area")
+        F.col("n_name").alias("state"), "r_name", ((F.col("n_nationkey") + 1) * 997).alias("area")
     )
     final = merged.filter("year = 1998").groupBy("state").agg(F.sum("revenue").alias("revenue")).join(area, "state", "left").na.drop(subset=["area"])
     density = F.try_divide("revenue", "area")
-    return final.select("state", "r_name", r("revenue", 2).alias("revenue"), r(density, 4).alias("density")).orderBy(F.desc("density"), "state")
+    return final.select("state", "r_name", r("revenue", 2).alias("revenue"), r(density, 6).alias("density")).orderBy(F.desc("density"), "state")
 
 
 @query(
@@ -103,14 +103,20 @@ def job_births(t):
 TERMS = ["the", "of", "que", "der"]
 
 
+def _word(w):
+    """Whole-word pattern whose borders are letters of any alphabet."""
+    return rf"(?i)(^|[^\p{{L}}]){w}([^\p{{L}}]|$)"
+
+
+
 @query(
     "job_recipe_recommender",
-    "SELECT doc_id, n_chars, " + ", ".join(f"regexp_matches(text, '(?i)\\b{w}\\b') AS has_{w}" for w in TERMS)
-    + ", doc_id = (SELECT arg_max(doc_id, (n_chars, -doc_id)) FROM documents) AS longest FROM documents WHERE regexp_matches(text, '(?i)\\bthe\\b') AND regexp_matches(text, '(?i)\\bof\\b')",
+    "SELECT doc_id, n_chars, " + ", ".join(f"regexp_matches(text, '{_word(w)}') AS has_{w}" for w in TERMS)
+    + ", doc_id = (SELECT arg_max(doc_id, (n_chars, -doc_id)) FROM documents) AS longest FROM documents WHERE " + f"regexp_matches(text, '{_word('the')}') AND regexp_matches(text, '{_word('of')}')",
 )
 def job_recipe_recommender(t):
     """Flags per term, documents holding several of them, and the longest one."""
-    flags = {f"has_{w}": F.rlike("text", F.lit(rf"(?i)\b{w}\b")) for w in TERMS}
+    flags = {f"has_{w}": F.rlike("text", F.lit(_word(w))) for w in TERMS}
     longest = t.documents.agg(F.max_by("doc_id", F.struct("n_chars", (-F.col("doc_id")).alias("k")))).scalar()
     d = t.documents.select("doc_id", "n_chars", *[c.alias(n) for n, c in flags.items()]).filter("has_the and has_of")
     return d.withColumn("longest", F.col("doc_id") == longest)
@@ -139,13 +145,13 @@ def job_bike_counts(t):
 
 @query(
     "job_stock_roi",
-    f"""WITH b AS (SELECT o_orderdate::DATE AS d, round(avg(o_totalprice), 2) AS v FROM orders WHERE isodow(o_orderdate) < 6 GROUP BY 1), c AS (SELECT unnest(generate_series(min(d)::TIMESTAMP, max(d)::TIMESTAMP, INTERVAL 1 DAY))::DATE AS d FROM b),
+    f"""WITH b AS (SELECT o_orderdate::DATE AS d, round(sum(o_totalprice), 2) AS v FROM orders WHERE isodow(o_orderdate) < 6 GROUP BY 1), c AS (SELECT unnest(generate_series(min(d)::TIMESTAMP, max(d)::TIMESTAMP, INTERVAL 1 DAY))::DATE AS d FROM b),
         f AS (SELECT c.d AS d, last_value(b.v IGNORE NULLS) OVER (ORDER BY c.d ROWS UNBOUNDED PRECEDING) AS v FROM c LEFT JOIN b ON c.d = b.d)
         SELECT d::VARCHAR AS d, v, round(100 * (lead(v, 365) OVER o - v) / v, 6) AS roi, CASE WHEN count(*) OVER w = 365 THEN round(avg(v) OVER w, 4) END AS mean, CASE WHEN count(*) OVER w = 365 THEN round(quantile_cont(v, 0.5) OVER w, 4) END AS med,
           d = {_BIZ.format(e='make_date(year(d), 12, 31)')}::DATE AS year_end, round(avg(v) OVER (PARTITION BY year(d)), 4) AS year_mean FROM f WINDOW o AS (ORDER BY d), w AS (ORDER BY d ROWS BETWEEN 182 PRECEDING AND 182 FOLLOWING)""",
 )
 def job_stock_roi(t):
-    b = daily(t.orders.filter(F.weekday("o_orderdate") < 5), "o_orderdate", r(F.avg("o_totalprice"), 2).alias("v"))
+    b = daily(t.orders.filter(F.weekday("o_orderdate") < 5), "o_orderdate", r(F.sum("o_totalprice"), 2).alias("v"))
     f = filled_calendar(b, "d", "v")
     o, w = W.orderBy("d"), W.orderBy("d").rowsBetween(-182, 182)
     v = F.col("v")
