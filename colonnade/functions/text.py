@@ -6,7 +6,9 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-EMAIL = r"([\w.]+)@(\w+)\.([a-z]{3})"
+# An address starts where a run of its characters starts (or right after the last match) and the
+# quantifiers never give back, so the matcher looks at every character once.
+EMAIL = r"(?:\G|(?<![A-Za-z0-9_.]))[A-Za-z0-9_.]++@[A-Za-z0-9_]++[.][a-z]{3}"
 
 
 def capitalise(c: Column) -> Column:
@@ -57,6 +59,15 @@ def clock_seconds(c: Column) -> Column:
     return p[0].cast("int") * 3600 + p[1].cast("int") * 60 + p[2].cast("int")
 
 
+def mask_emails(c: Column, mask: str = "--@--.--") -> Column:
+    """Hide e-mail addresses; texts without an @ skip the regular expression."""
+    return F.when(F.contains(c, F.lit("@")), F.regexp_replace(c, EMAIL, mask)).otherwise(c)
+
+
+def count_emails(c: Column) -> Column:
+    return F.when(F.contains(c, F.lit("@")), F.regexp_count(c, F.lit(EMAIL))).otherwise(0)
+
+
 def clean_sensor_label(c: Column) -> Column:
     """Canonical label from the first number in a messy one."""
     number = F.regexp_extract(c, r"(\d+)", 1).try_cast("int")

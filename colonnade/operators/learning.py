@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
@@ -87,44 +88,55 @@ def words(df: DataFrame, key: str, text: str, pattern: str = "[a-z]+", stop: Seq
     return w.groupBy(key, "word").agg(F.count(F.lit(1)).alias("tf"))
 
 
-def tfidf(counts: DataFrame, key: str, max_features: int) -> DataFrame:
-    """Smoothed, length-normalised weights over the most frequent words."""
+def tfidf(counts: DataFrame, key: str, max_features: int, documents: Column) -> DataFrame:
+    """Smoothed, length-normalised weights over the most frequent words.
+
+    ``documents`` is the corpus size. The norm is a window over one document's words, which
+    came from a single row of text.
+    """
     vocab = counts.groupBy("word").agg(F.sum("tf").alias("total"), F.count(F.lit(1)).alias("df"))
-    vocab = vocab.orderBy(F.desc("total"), "word").limit(max_features)
-    n = counts.select(key).distinct().agg(F.count(F.lit(1))).scalar()
-    w = counts.join(vocab, "word").withColumn("w", F.col("tf") * (F.ln((1 + n) / (1 + F.col("df"))) + 1))
-    norms = w.groupBy(key).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    return w.join(norms, key).select(key, "word", (F.col("w") / F.col("norm")).alias("weight"))
+    vocab = vocab.orderBy(F.desc("total"), "word").limit(max_features).select("word", "df")
+    w = counts.join(vocab, "word").withColumn("w", F.col("tf") * (F.ln((1 + documents) / (1 + F.col("df"))) + 1))
+    norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(W.partitionBy(key)))
+    return w.select(key, "word", (F.col("w") / norm).alias("weight"))
 
 
-def multinomial_nb(counts: DataFrame, labels: DataFrame, key: str, label: str, alpha: float) -> tuple[DataFrame, DataFrame]:
-    """Word table ``(word, class, logp)`` in wide form per word, and the class table with priors.
+@dataclass
+class WordBayes:
+    """Multinomial naive Bayes: class names, log priors, and a table of per-word log likelihoods."""
 
-    Returns ``(word_probs, classes)`` where ``word_probs`` has one array of structs per word.
-    """
-    joined = counts.join(labels, key)
-    by_class = joined.groupBy("word", label).agg(F.sum("tf").alias("c"))
-    totals = by_class.groupBy(label).agg(F.sum("c").alias("total"))
-    vocabulary = by_class.agg(F.count_distinct("word")).scalar()
-    docs = labels.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
-    classes = docs.join(totals, label).select(F.col(label).alias("class"), "n", "total")
-    table = classes.withColumn("v", vocabulary).agg(F.array_sort(F.collect_list(F.struct("class", "n", "total", "v")))).scalar()
-    seen = by_class.groupBy("word").agg(F.map_from_entries(F.collect_list(F.struct(label, "c"))).alias("m")).withColumn("k", table)
-    logs = F.transform(
-        "k",
-        lambda k: F.struct(
-            k["class"].alias("class"),
-            F.ln((F.coalesce(F.try_element_at("m", k["class"]), F.lit(0)) + alpha) / (k["total"] + alpha * k["v"])).alias("logp"),
-        ),
-    )
-    return seen.select("word", logs.alias("p")), classes
+    classes: list
+    priors: list[float]
+    words: DataFrame  # word, lp0, lp1, ... one column per class
 
+    def scores(self, counts: DataFrame, key: str) -> DataFrame:
+        """One row per document with ``score_i`` per class; words never seen in training are skipped."""
+        sums = [(F.sum(F.col("tf") * F.col(f"lp{i}")) + F.lit(p)).alias(f"score{i}") for i, p in enumerate(self.priors)]
+        return counts.join(self.words, "word").groupBy(key).agg(*sums)
 
-def multinomial_scores(counts: DataFrame, word_probs: DataFrame, classes: DataFrame, key: str) -> DataFrame:
-    n = classes.agg(F.sum("n")).scalar()
-    prior = classes.select("class", F.ln(F.col("n") / n).alias("prior"))
-    s = counts.join(word_probs, "word").select(key, "tf", F.inline("p")).groupBy(key, "class").agg(F.sum(F.col("tf") * F.col("logp")).alias("s"))
-    return s.join(prior, "class").select(key, "class", (F.col("s") + F.col("prior")).alias("score"))
+    def predict(self, counts: DataFrame, key: str) -> DataFrame:
+        """Most likely class per document; the first class in order wins a tie."""
+        s = self.scores(counts, key)
+        best = F.greatest(*[F.col(f"score{i}") for i in range(len(self.classes))])
+        out = None
+        for i, c in enumerate(self.classes):
+            hit = F.col(f"score{i}") == best
+            out = F.when(hit, F.lit(c)) if out is None else out.when(hit, F.lit(c))
+        return s.select(key, out.alias("prediction"))
+
+
+def fit_word_bayes(df: DataFrame, label: str, text: str, alpha: float, pattern: str = "[a-z]+") -> WordBayes:
+    """One pass over the words: class counts per word, smoothed by ``alpha``.
+
+    Only the class table (one row per class) and its totals reach the driver.
+    """
+    docs = df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).orderBy(label).collect()
+    classes, n = [r[label] for r in docs], sum(r["n"] for r in docs)
+    tokens = df.select(F.col(label).alias("_l"), F.explode(F.regexp_extract_all(F.lower(text), F.lit(pattern), F.lit(0))).alias("word"))
+    seen = tokens.groupBy("word").agg(*[F.count_if(F.col("_l") == c).alias(f"c{i}") for i, c in enumerate(classes)])
+    totals = seen.agg(F.struct(F.count(F.lit(1)).alias("v"), *[F.sum(f"c{i}").alias(f"t{i}") for i in range(len(classes))])).scalar()
+    logs = [F.ln((F.col(f"c{i}") + alpha) / (totals.getField(f"t{i}") + alpha * totals.getField("v"))).alias(f"lp{i}") for i in range(len(classes))]
+    return WordBayes(classes, [math.log(r["n"] / n) for r in docs], seen.select("word", *logs))
 
 
 # ---- k-means step by step

@@ -143,27 +143,73 @@ def framed(
     )
 
 
+def _literals(one_row: DataFrame) -> dict[str, Column]:
+    return {k: F.lit(v) for k, v in one_row.first().asDict().items()}
+
+
+_SKETCH = 10000  # percentile_approx: rank error at most rows / 10000
+_MARGIN = 3e-4  # bracket half-width in rank share; covers the sketch error and rounding
+_SMALL = 50000  # groups below this size fit one aggregation buffer
+
+
 def exact_percentiles(
     df: DataFrame, keys: Sequence[str], value: str, probs: dict[str, float]
 ) -> DataFrame:
-    """Interpolated percentiles per key, exact for any number of distinct values.
+    """Interpolated percentiles per key, exact for any size and any number of distinct values.
 
-    Repeated values are counted before the shuffle; the ranks come from running totals
-    over (key, value), so no task ever holds a whole group.
+    When no group is large the built-in aggregate does it, its buffer bounded by the checked
+    group size. Otherwise a sketch brackets every wanted rank, one pass counts the rows below each bracket, and
+    only the rows inside the brackets (well under a thousandth of a large group) are
+    ranked. Repeated values are counted before they are ranked, and the ranking is a
+    running total over slices, so no task ever holds a group.
     """
     keys = list(keys)
-    counts = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_k"))
-    ranked = running(counts, keys, [value], {"_cum": ("sum", F.col("_k"))})
-    exprs = []
+    d = df.select(*keys, F.col(value).cast("double").alias("_v")).filter("_v is not null")
+    names = list(probs)
+    largest = d.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0] or 0
+    if largest < _SMALL:
+        return d.groupBy(*keys).agg(*[F.percentile("_v", F.lit(float(p))).alias(n) for n, p in probs.items()])
+    points = [p + side * _MARGIN for p in probs.values() for side in (-1, 1)]
+    inner = sorted({min(max(p, 0.0), 1.0) for p in points})
+    sketch = F.percentile_approx("_v", inner, _SKETCH).alias("_q")
+    brackets = d.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), sketch)
+
+    def bound(p: float) -> Column:
+        open_end = F.lit(float("-inf") if p <= 0 else float("inf"))
+        if p <= 0 or p >= 1:
+            return open_end
+        whole = F.lit(float("-inf") if points.index(p) % 2 == 0 else float("inf"))
+        return F.when(F.col("_n") < _SMALL, whole).otherwise(F.col("_q")[inner.index(p)])
+
+    bounds = [bound(p).alias(f"_{'lo' if i % 2 == 0 else 'hi'}{i // 2}") for i, p in enumerate(points)]
+    brackets = brackets.select(*keys, "_n", *bounds)
     if keys:
-        totals = counts.groupBy(*keys).agg(F.sum("_k").alias("_n"))
-        ranked = ranked.join(totals, keys)
+        placed = d.join(brackets, keys)
     else:
-        ranked = ranked.withColumn("_n", counts.agg(F.sum("_k")).scalar())
-    for name, p in probs.items():
+        placed = d.withColumns(_literals(brackets))
+    within = [F.col("_v").between(F.col(f"_lo{i}"), F.col(f"_hi{i}")) for i in range(len(names))]
+    kept = within[0]
+    for w in within[1:]:
+        kept = kept | w
+
+    below = placed.groupBy(*keys).agg(
+        F.first("_n").alias("_n"),
+        *[F.first(f"_{e}{i}").alias(f"_{e}{i}") for i in range(len(names)) for e in ("lo", "hi")],
+        *[F.count_if(F.col("_v") < F.col(f"_lo{i}")).alias(f"_below{i}") for i in range(len(names))],
+    )
+    counts = placed.filter(kept).groupBy(*keys, "_v").agg(
+        F.count(F.lit(1)).alias("_k"), *[F.bool_or(w).alias(f"_in{i}") for i, w in enumerate(within)]
+    )
+    cums = {f"_cum{i}": ("sum", F.when(F.col(f"_in{i}"), F.col("_k")).otherwise(0)) for i in range(len(names))}
+    ranked = running(counts, keys, ["_v"], cums)
+    if keys:
+        ranked = ranked.join(below, keys)
+    else:
+        ranked = ranked.withColumns(_literals(below))
+    exprs = []
+    for i, (name, p) in enumerate(probs.items()):
         h = F.lit(p) * (F.col("_n") - 1)
-        lo, hi = F.floor(h), F.ceil(h)
-        v = F.col(value).cast("double")
-        at = lambda r: F.min(F.when(F.col("_cum") > r, v))
-        exprs.append((at(lo) + (at(hi) - at(lo)) * F.max(h - lo)).alias(name))
+        at = lambda rank: F.min(F.when(F.col(f"_in{i}") & (F.col(f"_cum{i}") + F.col(f"_below{i}") > rank), F.col("_v")))  # noqa: B023, E731
+        lo, hi = at(F.floor(h)), at(F.ceil(h))
+        exprs.append((lo + (hi - lo) * F.max(h - F.floor(h))).alias(name))
     return ranked.groupBy(*keys).agg(*exprs)

@@ -131,11 +131,10 @@ def job_pipe_failure(t):
 @query("job_topic_classifier")
 def job_topic_classifier(t):
     """Word-count Bayes classifier: report per class and the words that mark each class."""
-    counts, labels, probs, classes = multinomial_model(t)
-    scores = lr.multinomial_scores(counts.filter("doc_id % 5 = 0"), probs, classes, "doc_id")
-    predicted = lr.best_class(scores, "doc_id").join(labels, "doc_id")
+    model, predicted = multinomial_model(t)
     report = class_report(predicted, "lang", "prediction").select(F.lit("report").alias("view"), "class", F.lit("f1").alias("key"), F.col("f1").alias("value"))
-    top = top_rows_per_key(probs.select("word", F.inline("p")), ["class"], [F.desc("logp"), F.col("word")], 15)
+    per_class = F.array(*[F.struct(F.lit(c).alias("class"), F.col(f"lp{i}").alias("logp")) for i, c in enumerate(model.classes)])
+    top = top_rows_per_key(model.words.select("word", F.inline(per_class)), ["class"], [F.desc("logp"), F.col("word")], 15)
     return union_all([report, top.select(F.lit("top_words").alias("view"), "class", F.col("word").alias("key"), F.col("logp").alias("value"))])
 
 

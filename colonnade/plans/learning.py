@@ -156,11 +156,12 @@ _STOP = ", ".join(f"'{w}'" for w in STOP)
 @query(
     "ml_tfidf",
     f"""WITH c AS (SELECT doc_id, word, count(*) AS tf FROM {_WORDS} WHERE word NOT IN ({_STOP}) GROUP BY 1, 2), v AS (SELECT word, sum(tf) AS total, count(*) AS df FROM c GROUP BY 1 ORDER BY total DESC, word LIMIT 5000),
-        n AS (SELECT count(DISTINCT doc_id) AS n FROM c), w AS (SELECT doc_id, word, tf * (ln((1 + n) / (1 + df)::DOUBLE) + 1) AS w FROM c JOIN v USING (word), n)
+        n AS (SELECT count(*) AS n FROM documents), w AS (SELECT doc_id, word, tf * (ln((1 + n) / (1 + df)::DOUBLE) + 1) AS w FROM c JOIN v USING (word), n)
         SELECT doc_id, word, round(w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)), 6) AS weight FROM w""",
 )
 def ml_tfidf(t):
-    return lr.tfidf(lr.words(t.documents, "doc_id", "text", stop=STOP), "doc_id", 5000).withColumn("weight", F.round("weight", 6))
+    n = t.documents.agg(F.count(F.lit(1))).scalar()
+    return lr.tfidf(lr.words(t.documents, "doc_id", "text", stop=STOP), "doc_id", 5000, n).withColumn("weight", F.round("weight", 6))
 
 
 # ---- models on MLlib
@@ -543,21 +544,16 @@ _MNB = f"""WITH c AS (SELECT doc_id, word, count(*) AS tf FROM {_WORDS} GROUP BY
 
 
 def multinomial_model(t):
-    counts = lr.words(t.documents, "doc_id", "text")
-    labels = t.documents.select("doc_id", "lang")
-    probs, classes = lr.multinomial_nb(counts.filter("doc_id % 5 <> 0"), labels.filter("doc_id % 5 <> 0"), "doc_id", "lang", 0.1)
-    return counts, labels, probs, classes
-
-
-def multinomial_predictions(t):
-    counts, labels, probs, classes = multinomial_model(t)
-    scores = lr.multinomial_scores(counts.filter("doc_id % 5 = 0"), probs, classes, "doc_id")
-    return lr.best_class(scores, "doc_id").join(labels, "doc_id")
+    """Fitted on four fifths of the documents; returns the model and the predictions for the rest."""
+    model = lr.fit_word_bayes(t.documents.filter("doc_id % 5 <> 0"), "lang", "text", 0.1)
+    held = t.documents.filter("doc_id % 5 = 0")
+    predicted = model.predict(lr.words(held, "doc_id", "text"), "doc_id").join(held.select("doc_id", "lang"), "doc_id")
+    return model, predicted
 
 
 @query("ml_multinomial_nb", f"{_MNB} SELECT doc_id, lang, arg_max(cls, score) AS prediction FROM sc JOIN documents USING (doc_id) GROUP BY 1, 2")
 def ml_multinomial_nb(t):
-    return multinomial_predictions(t).select("doc_id", "lang", "prediction")
+    return multinomial_model(t)[1].select("doc_id", "lang", "prediction")
 
 
 @query(

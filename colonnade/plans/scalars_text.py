@@ -207,7 +207,7 @@ _MAIL = "[A-Za-z0-9_.]+@[A-Za-z0-9_]+[.][a-z]{3}"
     f"SELECT doc_id, regexp_replace(text, '{_MAIL}', '--@--.--', 'g') AS text, len(regexp_extract_all(text, '{_MAIL}'))::INT AS n FROM documents",
 )
 def str_mask_email(t):
-    return t.documents.select("doc_id", F.regexp_replace("text", _MAIL, "--@--.--").alias("text"), F.regexp_count("text", F.lit(_MAIL)).alias("n"))
+    return t.documents.select("doc_id", tx.mask_emails(F.col("text")).alias("text"), tx.count_emails(F.col("text")).alias("n"))
 
 
 @query(
