@@ -80,9 +80,14 @@ def best_class(scores: DataFrame, key: str) -> DataFrame:
 # ---- text
 
 
-def words(df: DataFrame, key: str, text: str, pattern: str = "[a-z]+", stop: Sequence[str] = ()) -> DataFrame:
+def tokens(text: Column) -> Column:
+    """Lower-case runs of ASCII letters, one row each (empty pieces at the ends included)."""
+    return F.explode(F.split(F.lower(text), "[^a-z]+"))
+
+
+def words(df: DataFrame, key: str, text: str, stop: Sequence[str] = ()) -> DataFrame:
     """Word counts per document ``(key, word, tf)``."""
-    w = df.select(key, F.explode(F.regexp_extract_all(F.lower(text), F.lit(pattern), F.lit(0))).alias("word"))
+    w = df.select(key, tokens(F.col(text)).alias("word")).filter("word <> ''")
     if stop:
         w = w.filter(~F.col("word").isin(list(stop)))
     return w.groupBy(key, "word").agg(F.count(F.lit(1)).alias("tf"))
@@ -125,15 +130,15 @@ class WordBayes:
         return s.select(key, out.alias("prediction"))
 
 
-def fit_word_bayes(df: DataFrame, label: str, text: str, alpha: float, pattern: str = "[a-z]+") -> WordBayes:
+def fit_word_bayes(df: DataFrame, label: str, text: str, alpha: float) -> WordBayes:
     """One pass over the words: class counts per word, smoothed by ``alpha``.
 
     Only the class table (one row per class) and its totals reach the driver.
     """
     docs = df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).orderBy(label).collect()
     classes, n = [r[label] for r in docs], sum(r["n"] for r in docs)
-    tokens = df.select(F.col(label).alias("_l"), F.explode(F.regexp_extract_all(F.lower(text), F.lit(pattern), F.lit(0))).alias("word"))
-    seen = tokens.groupBy("word").agg(*[F.count_if(F.col("_l") == c).alias(f"c{i}") for i, c in enumerate(classes)])
+    occurrences = df.select(F.col(label).alias("_l"), tokens(F.col(text)).alias("word")).filter("word <> ''")
+    seen = occurrences.groupBy("word").agg(*[F.count_if(F.col("_l") == c).alias(f"c{i}") for i, c in enumerate(classes)])
     totals = seen.agg(F.struct(F.count(F.lit(1)).alias("v"), *[F.sum(f"c{i}").alias(f"t{i}") for i in range(len(classes))])).scalar()
     logs = [F.ln((F.col(f"c{i}") + alpha) / (totals.getField(f"t{i}") + alpha * totals.getField("v"))).alias(f"lp{i}") for i in range(len(classes))]
     return WordBayes(classes, [math.log(r["n"] / n) for r in docs], seen.select("word", *logs))
@@ -183,10 +188,18 @@ def ratios(tp="tp", fp="fp", fn="fn", beta: float = 1.0) -> dict[str, Column]:
 
 
 def threshold_sweep(df: DataFrame, label: str, score: str, thresholds: Sequence[float]) -> DataFrame:
-    """Confusion counts at every threshold, as aggregates of one pass."""
-    aggs = [c.alias(f"{n}{i}") for i, th in enumerate(thresholds) for n, c in binary_counts(label, F.col(score) >= th).items()]
-    rows = F.array(*[F.struct(F.lit(float(th)).alias("threshold"), *[F.col(f"{n}{i}").alias(n) for n in ("tp", "fp", "fn", "tn")]) for i, th in enumerate(thresholds)])
-    return df.agg(*aggs).select(F.inline(rows))
+    """Confusion counts at every threshold.
+
+    Rows are counted by how many thresholds they reach; the sweep itself runs over those
+    few counts.
+    """
+    ths = F.array(*[F.lit(float(th)) for th in sorted(thresholds)])
+    reached = F.size(F.filter(ths, lambda th: th <= F.col(score)))
+    counts = df.groupBy(reached.alias("_r")).agg(F.count_if(F.col(label) == 1).alias("_p"), F.count_if(F.col(label) != 1).alias("_q"))
+    each = counts.select("_r", "_p", "_q", F.posexplode(ths).alias("_i", "threshold"))
+    over = F.col("_r") > F.col("_i")
+    part = lambda c, cond, n: F.sum(F.when(cond, F.col(c)).otherwise(0)).alias(n)
+    return each.groupBy("threshold").agg(part("_p", over, "tp"), part("_q", over, "fp"), part("_p", ~over, "fn"), part("_q", ~over, "tn"))
 
 
 def score_points(df: DataFrame, label: str, score: str) -> DataFrame:

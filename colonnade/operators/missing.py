@@ -33,8 +33,8 @@ def non_null_columns(df: DataFrame, how: str = "any") -> DataFrame:
 
 def fill_from_neighbours(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, backward: bool = False) -> DataFrame:
     """Replace nulls by the last known (or, backward, the next known) value of the key."""
-    cols = [F.col(c).desc() for c in order] if backward else list(order)
-    return running(df, keys, cols, {"_filled": ("last", F.col(value))}).withColumn(value, F.col("_filled")).drop("_filled")
+    kind = "next" if backward else "last"
+    return running(df, keys, list(order), {"_filled": (kind, F.col(value))}).withColumn(value, F.col("_filled")).drop("_filled")
 
 
 def mean_imputed(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -101,8 +101,7 @@ def nearest_facility(places: DataFrame, facilities: DataFrame) -> DataFrame:
     frame = _extent(both)
     here = F.when(F.col("fid").isNotNull(), F.struct("x", "y"))
     z = both.withColumn("z", z_order(F.col("x"), F.col("y"), *frame)).withColumn("f", F.coalesce("fid", F.lit(-1)))
-    fwd = running(z, [], ["z", "x", "y", "f"], {"a": ("last", here)})
-    back = running(fwd, [], [F.col(c).desc() for c in ("z", "x", "y", "f")], {"b": ("last", here)})
+    back = running(z, [], ["z", "x", "y", "f"], {"a": ("last", here), "b": ("next", here)})
     km = lambda p: haversine(F.col("y"), F.col("x"), F.col(f"{p}.y"), F.col(f"{p}.x"))
     bound = F.least(km("a"), km("b")) * _SLACK + 1e-6
     hy = F.degrees(bound / EARTH_KM)

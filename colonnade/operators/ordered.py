@@ -72,6 +72,11 @@ _RUNNING = {
         lambda c: F.max_by(c, F.when(c.isNotNull(), F.col("_seq"))),
         lambda a, b: F.coalesce(a, b),
     ),
+    "next": (
+        lambda c: F.first(c, ignorenulls=True),
+        lambda c: F.min_by(c, F.when(c.isNotNull(), F.col("_seq"))),
+        lambda a, b: F.coalesce(a, b),
+    ),
 }
 
 
@@ -80,16 +85,19 @@ def running(
 ) -> DataFrame:
     """Inclusive running aggregates per key, safe for a key of any size.
 
-    ``values`` maps an output name to ``(kind, column)``; kinds are sum, max, min and
-    last (most recent non-null value). Only keys that cross a slice boundary carry
+    ``values`` maps an output name to ``(kind, column)``; kinds are sum, max, min, last
+    (most recent non-null value) and next (coming non-null value). Only keys that cross a slice boundary carry
     anything over, and there is at most one such key per boundary.
     """
     keys = list(keys)
     inputs = {f"_v{i}": (kind, out) for i, (out, (kind, _)) in enumerate(values.items())}
     staged = df.withColumns({f"_v{i}": c for i, (_, c) in enumerate(values.values())})
     d = sliced(staged, [*keys, *order])
-    local = W.partitionBy("_slice", *keys).orderBy("_seq").rowsBetween(W.unboundedPreceding, 0)
-    own = d.withColumns({out: _RUNNING[kind][0](F.col(v)).over(local) for v, (kind, out) in inputs.items()})
+    local = W.partitionBy("_slice", *keys).orderBy("_seq")
+    past, coming = local.rowsBetween(W.unboundedPreceding, 0), local.rowsBetween(0, W.unboundedFollowing)
+    own = d.withColumns(
+        {out: _RUNNING[kind][0](F.col(v)).over(coming if kind == "next" else past) for v, (kind, out) in inputs.items()}
+    )
 
     per_slice = d.groupBy("_slice", *keys).agg(
         *[_RUNNING[kind][1](F.col(v)).alias(v) for v, (kind, _) in inputs.items()]
@@ -97,11 +105,12 @@ def running(
     if keys:
         heads = d.filter("_seq = 0").select(*keys).distinct()
         per_slice = per_slice.join(F.broadcast(heads), keys, "left_semi")
-    earlier = (W.partitionBy(*keys) if keys else W.partitionBy()).orderBy("_slice").rowsBetween(W.unboundedPreceding, -1)
+    slices = (W.partitionBy(*keys) if keys else W.partitionBy()).orderBy("_slice")
+    earlier, later = slices.rowsBetween(W.unboundedPreceding, -1), slices.rowsBetween(1, W.unboundedFollowing)
     carry = per_slice.select(
         "_slice",
         *keys,
-        *[_RUNNING[kind][0](F.col(v)).over(earlier).alias(f"_c{v}") for v, (kind, _) in inputs.items()],
+        *[_RUNNING[kind][0](F.col(v)).over(later if kind == "next" else earlier).alias(f"_c{v}") for v, (kind, _) in inputs.items()],
     )
     joined = own.join(F.broadcast(carry), ["_slice", *keys], "left")
     joined = joined.withColumns(

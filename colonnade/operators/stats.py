@@ -65,16 +65,19 @@ KERNELS: dict[str, Callable[[Column], Column]] = {
 
 
 def kde(df: DataFrame, keys: Sequence[str], value: str, grid: Sequence[float], bandwidth: float, kernel: str = "gaussian") -> DataFrame:
-    """Kernel density on a fixed grid: one average per grid point, in a single pass.
+    """Kernel density on a fixed grid, as ``(keys, x, density)``.
 
-    Nothing is multiplied out: the rows meet the grid inside the aggregate expressions.
+    Every row meets the grid inside its task and is folded at once into one partial sum per
+    grid point, so the shuffle carries only grid-sized tables.
     """
-    k = KERNELS[kernel]
-    v = F.col(value).cast("double")
-    sums = [F.avg(k((F.lit(float(g)) - v) / F.lit(bandwidth)) / F.lit(bandwidth)).alias(f"g{i}") for i, g in enumerate(grid)]
-    wide = df.groupBy(*keys).agg(*sums)
-    points = F.array(*[F.struct(F.lit(float(g)).alias("x"), F.col(f"g{i}").alias("density")) for i, g in enumerate(grid)])
-    return wide.select(*keys, F.inline(points))
+    d = df.select(*keys, F.col(value).cast("double").alias("_v"), F.explode(F.array(*[F.lit(float(g)) for g in grid])).alias("x"))
+    return d.groupBy(*keys, "x").agg(F.avg(KERNELS[kernel]((F.col("x") - F.col("_v")) / bandwidth) / bandwidth).alias("density"))
+
+
+def on_grid(df: DataFrame, xs: Sequence[float], ys: Sequence[float]) -> DataFrame:
+    """Rows met with a fixed two-dimensional grid: adds ``i, j, gx, gy``."""
+    cells = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), F.lit(float(x)).alias("gx"), F.lit(float(y)).alias("gy")) for i, x in enumerate(xs) for j, y in enumerate(ys)])
+    return df.select("*", F.inline(cells))
 
 
 def moments_corr_long(df: DataFrame, columns: Sequence[str]) -> DataFrame:

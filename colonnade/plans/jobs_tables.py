@@ -118,7 +118,7 @@ def job_recipe_recommender(t):
     """Flags per term, documents holding several of them, and the longest one."""
     flags = {f"has_{w}": F.rlike("text", F.lit(_word(w))) for w in TERMS}
     longest = t.documents.agg(F.max_by("doc_id", F.struct("n_chars", (-F.col("doc_id")).alias("k")))).scalar()
-    d = t.documents.select("doc_id", "n_chars", *[c.alias(n) for n, c in flags.items()]).filter("has_the and has_of")
+    d = t.spread("documents").select("doc_id", "n_chars", *[c.alias(n) for n, c in flags.items()]).filter("has_the and has_of")
     return d.withColumn("longest", F.col("doc_id") == longest)
 
 

@@ -146,7 +146,7 @@ _WORDS = "(SELECT doc_id, unnest(regexp_extract_all(lower(text), '[a-z]+')) AS w
 
 @query("ml_count_vectorize", f"SELECT doc_id, word, count(*) AS tf FROM {_WORDS} GROUP BY 1, 2")
 def ml_count_vectorize(t):
-    return lr.words(t.documents, "doc_id", "text")
+    return lr.words(t.spread("documents"), "doc_id", "text")
 
 
 STOP = ["the", "of", "and", "to", "in", "is", "on", "for", "with", "as", "at", "by"]
@@ -161,7 +161,7 @@ _STOP = ", ".join(f"'{w}'" for w in STOP)
 )
 def ml_tfidf(t):
     n = t.documents.agg(F.count(F.lit(1))).scalar()
-    return lr.tfidf(lr.words(t.documents, "doc_id", "text", stop=STOP), "doc_id", 5000, n).withColumn("weight", F.round("weight", 6))
+    return lr.tfidf(lr.words(t.spread("documents"), "doc_id", "text", stop=STOP), "doc_id", 5000, n).withColumn("weight", F.round("weight", 6))
 
 
 # ---- models on MLlib
@@ -545,8 +545,8 @@ _MNB = f"""WITH c AS (SELECT doc_id, word, count(*) AS tf FROM {_WORDS} GROUP BY
 
 def multinomial_model(t):
     """Fitted on four fifths of the documents; returns the model and the predictions for the rest."""
-    model = lr.fit_word_bayes(t.documents.filter("doc_id % 5 <> 0"), "lang", "text", 0.1)
-    held = t.documents.filter("doc_id % 5 = 0")
+    model = lr.fit_word_bayes(t.spread("documents").filter("doc_id % 5 <> 0"), "lang", "text", 0.1)
+    held = t.spread("documents").filter("doc_id % 5 = 0")
     predicted = model.predict(lr.words(held, "doc_id", "text"), "doc_id").join(held.select("doc_id", "lang"), "doc_id")
     return model, predicted
 

@@ -196,7 +196,7 @@ def str_findall(t):
 
 @query("str_count", "SELECT doc_id, len(regexp_extract_all(text, '[Tt]h'))::INT AS n FROM documents")
 def str_count(t):
-    return t.documents.select("doc_id", F.regexp_count("text", F.lit("[Tt]h")).alias("n"))
+    return t.spread("documents").select("doc_id", F.regexp_count("text", F.lit("[Tt]h")).alias("n"))
 
 
 _MAIL = "[A-Za-z0-9_.]+@[A-Za-z0-9_]+[.][a-z]{3}"

@@ -256,7 +256,7 @@ def stat_mean_ci_by_x(t):
 
 @query("stat_bootstrap_se")
 def stat_bootstrap_se(t):
-    lines = stats.bootstrap_lines(t.events, "event_id", F.hour("ts").cast("double"), F.col("value"), 60)
+    lines = stats.bootstrap_lines(t.spread("events"), "event_id", F.hour("ts").cast("double"), F.col("value"), 60)
     return lines.agg(F.count("slope").alias("replicates"), F.avg("slope").alias("slope"), F.stddev_pop("slope").alias("slope_se"), F.stddev_pop("intercept").alias("intercept_se"))
 
 
@@ -302,12 +302,12 @@ def _kde_sql(src, value, h, kernel="exp(-0.5 * (({g} - {v}) / {h}) ** 2) / sqrt(
 
 @query("stat_kde_1d", _kde_sql("events", "value", 4.0))
 def stat_kde_1d(t):
-    return stats.kde(t.events, [], "value", _GRID, 4.0).withColumn("density", F.round("density", 8))
+    return stats.kde(t.spread("events"), [], "value", _GRID, 4.0).withColumn("density", F.round("density", 8))
 
 
 @query("stat_kde_by_group", _kde_sql("events", "value", 4.0, keys="event_type"))
 def stat_kde_by_group(t):
-    return stats.kde(t.events, ["event_type"], "value", _GRID, 4.0).withColumn("density", F.round("density", 8))
+    return stats.kde(t.spread("events"), ["event_type"], "value", _GRID, 4.0).withColumn("density", F.round("density", 8))
 
 
 _G2 = [-0.3 + 0.1 * i for i in range(7)]
@@ -323,18 +323,12 @@ def stat_kde_2d(t):
     p = t.embeddings.select(F.get("embedding", F.lit(0)).cast("double").alias("x"), F.get("embedding", F.lit(1)).cast("double").alias("y"))
     s = p.agg(N().alias("n"), F.var_samp("x").alias("vx"), F.var_samp("y").alias("vy"), F.covar_samp("x", "y").alias("c"))
     s = s.withColumn("f", F.pow("n", F.lit(-1.0 / 3))).select(F.struct("vx", "vy", "c", "f")).scalar()  # bandwidth n^(-1/6), squared
-    d = p.withColumn("s", s)
+    d = stats.on_grid(p.withColumn("s", s), _G2, _G2)
     vx, vy, c, f = (F.col("s")[n] for n in ("vx", "vy", "c", "f"))
     det = vx * vy - c * c
-
-    def kernel(gx, gy):
-        dx, dy = F.lit(gx) - F.col("x"), F.lit(gy) - F.col("y")
-        return F.exp(-0.5 * (vy * dx * dx - 2 * c * dx * dy + vx * dy * dy) / (f * det)) / (2 * math.pi * f * F.sqrt(det))
-
-    cells = [(i, j) for i in range(7) for j in range(7)]
-    wide = d.agg(*[F.avg(kernel(_G2[i], _G2[j])).alias(f"d{i}_{j}") for i, j in cells])
-    rows = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), F.round(F.col(f"d{i}_{j}"), 6).alias("density")) for i, j in cells])
-    return wide.select(F.inline(rows))
+    dx, dy = F.col("gx") - F.col("x"), F.col("gy") - F.col("y")
+    kernel = F.exp(-0.5 * (vy * dx * dx - 2 * c * dx * dy + vx * dy * dy) / (f * det)) / (2 * math.pi * f * F.sqrt(det))
+    return d.groupBy("i", "j").agg(F.round(F.avg(kernel), 6).alias("density"))
 
 
 @query(
@@ -345,14 +339,9 @@ def stat_kde_2d(t):
 def stat_kde_spherical(t):
     lat, lon = geo.location("c_custkey")
     p = t.customer.select(lat.alias("lat"), lon.alias("lon"))
-    cells = [(i, j) for i in range(6) for j in range(6)]
-
-    def kernel(i, j):
-        angle = geo.haversine(F.lit(40 + 0.4 * i), F.lit(28 + 0.4 * j), F.col("lat"), F.col("lon")) / geo.EARTH_KM
-        return F.exp(-0.5 * (angle / 0.03) * (angle / 0.03))
-
-    wide = p.agg(*[F.sum(kernel(i, j)).alias(f"d{i}_{j}") for i, j in cells])
-    return wide.select(F.inline(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), F.round(F.col(f"d{i}_{j}"), 6).alias("weight")) for i, j in cells])))
+    d = stats.on_grid(p, [40 + 0.4 * i for i in range(6)], [28 + 0.4 * j for j in range(6)])
+    angle = geo.haversine(F.col("gx"), F.col("gy"), F.col("lat"), F.col("lon")) / geo.EARTH_KM
+    return d.groupBy("i", "j").agg(F.round(F.sum(F.exp(-0.5 * (angle / 0.03) * (angle / 0.03))), 6).alias("weight"))
 
 
 _BW = [0.5, 1.0, 2.0, 4.0]

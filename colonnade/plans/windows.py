@@ -211,7 +211,7 @@ def rank_top_n(t):
        (SELECT lang, word, count(*) AS n FROM (SELECT lang, unnest(string_split(lower(text), ' ')) AS word FROM documents) WHERE word <> '' GROUP BY 1, 2) QUALIFY rank <= 15""",
 )
 def top_per_group(t):
-    words = t.documents.select("lang", F.explode(F.split(F.lower("text"), " ", -1)).alias("word")).filter("word <> ''")
+    words = t.spread("documents").select("lang", F.explode(F.split(F.lower("text"), " ", -1)).alias("word")).filter("word <> ''")
     counts = words.groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n"))
     return top_rows_per_key(counts, ["lang"], [F.desc("n"), F.col("word")], 15)
 

@@ -39,3 +39,13 @@ class Tables:
         if name not in SCHEMAS:
             raise AttributeError(name)
         return self.spark.read.schema(SCHEMAS[name]).parquet(self.file(name))
+
+    def spread(self, name: str) -> DataFrame:
+        """The table for work that is heavy per row.
+
+        A small file arrives as one split and would keep one core busy; it is dealt out to
+        all of them. An input that already has enough splits is left as it is.
+        """
+        df = getattr(self, name)
+        cores = self.spark.sparkContext.defaultParallelism
+        return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)

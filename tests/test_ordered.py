@@ -30,11 +30,12 @@ def test_position(skewed):
 @pytest.mark.parametrize("keys", [[], ["k"]])
 def test_running(skewed, keys):
     pdf, df = skewed
-    got = ordered.running(df, keys, ["id"], {"s": ("sum", F.lit(1)), "m": ("max", F.col("v")), "l": ("last", F.col("v"))}).orderBy("id").toPandas()
+    got = ordered.running(df, keys, ["id"], {"s": ("sum", F.lit(1)), "m": ("max", F.col("v")), "l": ("last", F.col("v")), "b": ("next", F.col("v"))}).orderBy("id").toPandas()
     p = pdf.sort_values("id")
     g = p.groupby("k") if keys else p.assign(z=0).groupby("z")
     assert got["s"].tolist() == (g.cumcount() + 1).tolist()
     pd.testing.assert_series_equal(got["l"], g["v"].ffill().reset_index(drop=True), check_names=False)
+    pd.testing.assert_series_equal(got["b"], g["v"].bfill().reset_index(drop=True), check_names=False)
     want_max = g["v"].transform(lambda s: s.cummax().ffill()).reset_index(drop=True)
     pd.testing.assert_series_equal(got["m"], want_max, check_names=False)
 
