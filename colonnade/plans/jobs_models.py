@@ -74,7 +74,7 @@ def job_heart_disease(t):
     mean = d.filter("not is_test").agg(F.avg("hole")).scalar()
     names = [f"x{i}" for i in range(12)]
     d = d.select("vec_id", "y", "is_test", *[(F.coalesce("hole", mean) if i == 3 else F.get("e", F.lit(i))).alias(n) for i, n in enumerate(names)])
-    d = lr.fold_column(lr.as_features(d, names), "vec_id", 5).cache()
+    d = t.hold(lr.fold_column(lr.as_features(d, names), "vec_id", 5))
     scaler = StandardScaler(inputCol="features", outputCol="scaled", withMean=True)
 
     def fitted(clf, train, test):
@@ -154,7 +154,7 @@ def job_face_recognition(t):
     d = lr.stratified_split(vec(t).select("vec_id", "label", "features"), "vec_id", "label", 0.25).select("vec_id", "label", "features", "is_test")
     scaler = StandardScaler(inputCol="features", outputCol="centred", withMean=True)
     prep = Pipeline(stages=[scaler, PCA(k=20, inputCol="centred", outputCol="scores")]).fit(d.filter("not is_test"))
-    z = prep.transform(d).select("vec_id", F.col("label").cast("double").alias("label"), F.col("scores").alias("features"), "is_test").cache()
+    z = t.hold(prep.transform(d).select("vec_id", F.col("label").cast("double").alias("label"), F.col("scores").alias("features"), "is_test"))
     train, test = z.filter("not is_test"), z.filter("is_test")
     best = None
     for reg in (0.01, 0.1):

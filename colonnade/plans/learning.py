@@ -84,7 +84,7 @@ def ml_standard_scale(t):
 
 @query("ml_scale_leak_check")
 def ml_scale_leak_check(t):
-    d = lr.hash_split(binary(t), "vec_id", 0.25).cache()
+    d = t.hold(lr.hash_split(binary(t), "vec_id", 0.25))
     scaler = StandardScaler(inputCol="features", outputCol="scaled", withMean=True)
     clf = LogisticRegression(featuresCol="scaled", labelCol="y")
     rows = []
@@ -219,7 +219,7 @@ def ml_logistic(t):
 
 @query("ml_decision_tree")
 def ml_decision_tree(t):
-    d = lr.hash_split(vec(t, 12), "vec_id", 0.25).cache()
+    d = t.hold(lr.hash_split(vec(t, 12), "vec_id", 0.25))
     rows = []
     for depth in (1, 2, 4, 8):
         m = DecisionTreeClassifier(maxDepth=depth, seed=1).fit(d.filter("not is_test"))
@@ -252,7 +252,7 @@ def ml_random_forest_reg(t):
 
 @query("ml_linear_svm")
 def ml_linear_svm(t):
-    d = lr.hash_split(binary(t, 16), "vec_id", 0.25).select("features", "y", "is_test").cache()
+    d = t.hold(lr.hash_split(binary(t, 16), "vec_id", 0.25).select("features", "y", "is_test"))
     train, test = d.filter("not is_test"), d.filter("is_test")
     n = train.count()
     rows = []
@@ -372,7 +372,7 @@ def _one_gaussian_loglik(d, dim, n):
 
 @query("ml_gmm_select")
 def ml_gmm_select(t):
-    d = vec(t, 4).cache()
+    d = t.hold(vec(t, 4))
     n, dim, rows = d.count(), 4, []
     for k in (1, 2, 3, 4):
         ll = _one_gaussian_loglik(d, dim, n) if k == 1 else GaussianMixture(k=k, seed=1, maxIter=20).fit(d).summary.logLikelihood
@@ -451,7 +451,7 @@ def ml_random_projection(t):
 
 
 def _cv(t, folds, grid=None):
-    d = lr.fold_column(binary(t), "vec_id", folds).cache()
+    d = t.hold(lr.fold_column(binary(t), "vec_id", folds))
     clf = LogisticRegression(labelCol="y", maxIter=30)
     grid = grid or ParamGridBuilder().addGrid(clf.regParam, [0.01]).build()
     ev = MulticlassClassificationEvaluator(labelCol="y", metricName="accuracy")
@@ -492,7 +492,7 @@ def ml_grid_search(t):
 
 @query("ml_validation_curve")
 def ml_validation_curve(t):
-    d = lr.fold_column(lr.as_features(t.lineitem, ["l_quantity"]), "l_orderkey", 3).select("features", "l_extendedprice", "fold").cache()
+    d = t.hold(lr.fold_column(lr.as_features(t.lineitem, ["l_quantity"]), "l_orderkey", 3).select("features", "l_extendedprice", "fold"))
     ev = RegressionEvaluator(labelCol="l_extendedprice", metricName="r2")
     rows = []
     for degree in (1, 2, 3):
@@ -506,7 +506,7 @@ def ml_validation_curve(t):
 
 @query("ml_learning_curve")
 def ml_learning_curve(t):
-    d = lr.hash_split(binary(t), "vec_id", 0.3).withColumn("u", F.pmod(F.xxhash64(F.lit(5), "vec_id"), F.lit(1000)) / 1000).cache()
+    d = t.hold(lr.hash_split(binary(t), "vec_id", 0.3).withColumn("u", F.pmod(F.xxhash64(F.lit(5), "vec_id"), F.lit(1000)) / 1000))
     train, test = d.filter("not is_test"), d.filter("is_test")
     rows = []
     for share in (0.3, 0.6, 1.0):

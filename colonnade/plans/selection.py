@@ -119,7 +119,9 @@ def filter_isin(t):
     "SELECT o_orderkey, o_totalprice FROM orders WHERE year(o_orderdate) = 1997 AND o_orderstatus = 'F'",
 )
 def filter_query_string(t):
-    return t.orders.filter("year(o_orderdate) = 1997 and o_orderstatus = 'F'").select("o_orderkey", "o_totalprice")
+    return t.orders.filter(
+        "o_orderdate >= timestamp_ntz'1997-01-01' and o_orderdate < timestamp_ntz'1998-01-01' and o_orderstatus = 'F'"
+    ).select("o_orderkey", "o_totalprice")
 
 
 @query(

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from colonnade.session import size_shuffles
 from colonnade.tables import Tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -20,7 +21,12 @@ def query(name: str, sql: str | None = None):
             raise ValueError(f"query {name} registered twice")
 
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return fn(Tables(spark, sf_dir))
+            tables = Tables(spark, sf_dir)
+            size_shuffles(spark, tables)
+            try:
+                return fn(tables)
+            finally:
+                tables.release()
 
         run.__name__ = name
         run.__doc__ = fn.__doc__

@@ -49,3 +49,25 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared folder."""
     return f"{checkpoint_root(spark)}/colonnade/{uuid.uuid4().hex}/{name}"
+
+
+_SIZED: set[tuple[str, str]] = set()
+
+
+def size_shuffles(spark: SparkSession, tables) -> None:
+    """Start shuffles with enough partitions for the input, once per session and folder.
+
+    A fixed number suits one size only: 200 partitions of a 100 TB table hold 500 GB each.
+    Two shuffle partitions per input split of the largest table keep every one near the
+    split size; adaptive execution merges them where a shuffle turns out small. Nothing
+    changes while the configured number is already enough.
+    """
+    key = (spark.sparkContext.applicationId, tables.path)
+    if key in _SIZED:
+        return
+    _SIZED.add(key)
+    needed = 2 * max(getattr(tables, name).rdd.getNumPartitions() for name in ("lineitem", "documents", "events"))
+    initial = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    current = int(spark.conf.get(initial, None) or spark.conf.get("spark.sql.shuffle.partitions"))
+    if needed > current:
+        spark.conf.set(initial, str(needed))

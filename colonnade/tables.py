@@ -31,6 +31,7 @@ class Tables:
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
         self.path = path.rstrip("/")
+        self._held: list[DataFrame] = []
 
     def file(self, name: str) -> str:
         return f"{self.path}/{name}.parquet"
@@ -40,6 +41,15 @@ class Tables:
             raise AttributeError(name)
         return self.spark.read.schema(SCHEMAS[name]).parquet(self.file(name))
 
+    def hold(self, df: DataFrame) -> DataFrame:
+        """Keep a table that several fits read, until the query function returns."""
+        self._held.append(df.persist())
+        return df
+
+    def release(self) -> None:
+        while self._held:
+            self._held.pop().unpersist()
+
     def spread(self, name: str) -> DataFrame:
         """The table for work that is heavy per row.
 
