@@ -194,8 +194,9 @@ def ml_basis_regression(t):
 
 def _penalised(t, alpha, mix):
     d = lr.as_features(t.lineitem, LINE)
-    n = d.count()
-    reg = alpha if mix == 1.0 else alpha / n
+    n, spread = d.agg(F.count(F.lit(1)), F.stddev_pop("l_extendedprice")).first()
+    # the solver scales the label first: that leaves the L1 term as given but divides the L2 term by its spread
+    reg = alpha if mix == 1.0 else alpha / n * spread
     m = LinearRegression(labelCol="l_extendedprice", regParam=reg, elasticNetParam=mix, standardization=False).fit(d)
     return coefficients(t, LINE, m.coefficients, m.intercept)
 
