@@ -14,9 +14,14 @@ from pyspark.sql.window import Window as W
 from colonnade.operators.ordered import with_position
 
 
-def hash_split(df: DataFrame, key: str, test_share: float, salt: int = 0) -> DataFrame:
+def integer_hash(key: str) -> Column:
+    """Multiplicative hash of a small integer key, easy to repeat in any SQL."""
+    return (F.col(key) * 48271) % 2147483647
+
+
+def hash_split(df: DataFrame, key: str, test_share: float, hashed: Column | None = None) -> DataFrame:
     """Add ``is_test`` from a hash of the key: the same split on every run and every cluster."""
-    u = F.pmod(F.xxhash64(F.lit(salt), F.col(key)), F.lit(10000))
+    u = F.pmod(F.xxhash64(F.col(key)) if hashed is None else hashed, F.lit(10000))
     return df.withColumn("is_test", u < int(test_share * 10000))
 
 
@@ -24,12 +29,12 @@ def fold_column(df: DataFrame, key: str, k: int, name: str = "fold") -> DataFram
     return df.withColumn(name, F.pmod(F.xxhash64(F.lit(99), F.col(key)), F.lit(k)).cast("int"))
 
 
-def stratified_split(df: DataFrame, key: str, label: str, test_share: float) -> DataFrame:
+def stratified_split(df: DataFrame, key: str, label: str, test_share: float, hashed: Column | None = None) -> DataFrame:
     """Exact class shares: the rows of each class in hash order, the first share goes to test.
 
     Ranks come from global positions, so a class that owns most rows is still spread out.
     """
-    d = with_position(df.withColumn("_h", F.xxhash64(F.col(key))), [label, "_h", key], "_pos")
+    d = with_position(df.withColumn("_h", F.xxhash64(F.col(key)) if hashed is None else hashed), [label, "_h", key], "_pos")
     starts = d.groupBy(label).agg(F.min("_pos").alias("_start"), F.count(F.lit(1)).alias("_n"))
     d = d.join(starts, label)
     return d.withColumn("is_test", F.col("_pos") - F.col("_start") < F.floor(F.col("_n") * test_share)).drop("_h", "_pos", "_start", "_n")

@@ -58,28 +58,43 @@ def accuracy(df, label="label", pred="prediction"):
 # ---- features
 
 
-@query("ml_assemble")
+@query(
+    "ml_assemble",
+    """WITH f AS (SELECT l_returnflag, row_number() OVER (ORDER BY count(*) DESC, l_returnflag) - 1 AS label FROM lineitem GROUP BY 1)
+       SELECT l_orderkey, label::DOUBLE AS label, l_quantity AS f0, l_discount AS f1, l_tax AS f2, l_linenumber::DOUBLE AS f3 FROM lineitem JOIN f USING (l_returnflag)""",
+)
 def ml_assemble(t):
     stages = [StringIndexer(inputCol="l_returnflag", outputCol="label"), VectorAssembler(inputCols=LINE, outputCol="features")]
     d = Pipeline(stages=stages).fit(t.lineitem).transform(t.lineitem)
-    return d.select("l_orderkey", "label", F.to_json(vector_to_array("features")).alias("features"))
+    return d.select("l_orderkey", "label", vector_to_array("features").alias("f")).select("l_orderkey", "label", *[F.col("f")[i].alias(f"f{i}") for i in range(4)])
+
+
+_SPLIT = "(({k} * 48271) % 2147483647) % 10000 < 2500"
 
 
-@query("ml_train_test_split")
+@query("ml_train_test_split", f"SELECT o_orderkey, {_SPLIT.format(k='o_orderkey')} AS is_test FROM orders")
 def ml_train_test_split(t):
-    return lr.hash_split(t.orders, "o_orderkey", 0.25).select("o_orderkey", "is_test")
+    return lr.hash_split(t.orders, "o_orderkey", 0.25, lr.integer_hash("o_orderkey")).select("o_orderkey", "is_test")
 
 
-@query("ml_stratified_split")
+@query(
+    "ml_stratified_split",
+    """SELECT vec_id, label, row_number() OVER (PARTITION BY label ORDER BY (vec_id * 48271) % 2147483647, vec_id) <= floor(count(*) OVER (PARTITION BY label) * 0.2) AS is_test FROM embeddings""",
+)
 def ml_stratified_split(t):
-    return lr.stratified_split(vec(t).select("vec_id", "label"), "vec_id", "label", 0.2)
+    return lr.stratified_split(vec(t).select("vec_id", "label"), "vec_id", "label", 0.2, lr.integer_hash("vec_id")).select("vec_id", "label", "is_test")
 
 
-@query("ml_standard_scale")
+@query(
+    "ml_standard_scale",
+    f"""WITH x AS (SELECT vec_id, {_SPLIT.format(k='vec_id')} AS is_test, unnest(range(12))::INT AS j, unnest(embedding[1:12])::DOUBLE AS v FROM embeddings), m AS (SELECT j, avg(v) AS mu, stddev_samp(v) AS s FROM x WHERE NOT is_test GROUP BY 1)
+        SELECT vec_id, is_test, j, round((v - mu) / s, 6) AS scaled FROM x JOIN m USING (j)""",
+)
 def ml_standard_scale(t):
-    d = lr.hash_split(vec(t, 12), "vec_id", 0.25)
+    d = lr.hash_split(vec(t, 12), "vec_id", 0.25, lr.integer_hash("vec_id"))
     model = StandardScaler(inputCol="features", outputCol="scaled", withMean=True).fit(d.filter("not is_test"))
-    return model.transform(d).select("vec_id", "is_test", F.to_json(vector_to_array("scaled")).alias("scaled"))
+    out = model.transform(d).select("vec_id", "is_test", F.posexplode(vector_to_array("scaled")).alias("j", "scaled"))
+    return out.withColumn("scaled", F.round("scaled", 6))
 
 
 @query("ml_scale_leak_check")
@@ -105,11 +120,18 @@ def ml_target_leak_check(t):
     return results(t, rows, "variant string, r2 double")
 
 
-@query("ml_polynomial")
+_POWERS = [(1, 0), (2, 0), (3, 0), (0, 1), (1, 1), (2, 1), (0, 2), (1, 2), (0, 3)]
+
+
+@query(
+    "ml_polynomial",
+    "SELECT l_orderkey, l_linenumber, " + ", ".join(f"round(l_quantity ** {a} * l_discount ** {b}, 8) AS q{a}d{b}" for a, b in _POWERS) + " FROM lineitem",
+)
 def ml_polynomial(t):
     d = lr.as_features(t.lineitem, ["l_quantity", "l_discount"])
     p = PolynomialExpansion(degree=3, inputCol="features", outputCol="poly").transform(d)
-    return p.select("l_orderkey", "l_linenumber", F.to_json(vector_to_array("poly")).alias("poly"))
+    p = p.select("l_orderkey", "l_linenumber", vector_to_array("poly").alias("poly"))
+    return p.select("l_orderkey", "l_linenumber", *[F.round(F.col("poly")[i], 8).alias(f"q{a}d{b}") for i, (a, b) in enumerate(_POWERS)])
 
 
 @query(

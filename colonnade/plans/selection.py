@@ -356,7 +356,11 @@ def duplicate_key_check(t):
     return t.lineitem.groupBy("l_orderkey", "l_linenumber").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
 
 
-@query("dtype_profile")
+@query(
+    "dtype_profile",
+    """SELECT (SELECT count(*) FROM lineitem) AS n_rows, column_name AS "column", CASE column_type WHEN 'VARCHAR' THEN 'string' WHEN 'INTEGER' THEN 'int' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' ELSE lower(column_type) END AS type
+       FROM (DESCRIBE lineitem)""",
+)
 def dtype_profile(t):
     df = t.lineitem
     fields = F.array(*[F.struct(F.lit(f.name).alias("column"), F.lit(f.dataType.simpleString()).alias("type")) for f in df.schema])
