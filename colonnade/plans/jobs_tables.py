@@ -267,7 +267,7 @@ def job_station_siting(t):
     "job_quake_catalogue",
     f"""SELECT * FROM (SELECT 'histogram' AS view, k::VARCHAR AS key, n::DOUBLE AS v FROM (SELECT floor(10 * ln(1 + value))::INT AS k, count(*) AS n FROM events GROUP BY 1)
         UNION ALL SELECT 'mean', event_type, round(avg(ln(1 + value)), 6) FROM events GROUP BY 2 UNION ALL SELECT 'median', event_type, round(quantile_cont(ln(1 + value), 0.5), 6) FROM events GROUP BY 2
-        UNION ALL SELECT 'risk', n_name, round(count(*) * avg(greatest(c_acctbal, 0)) / 1000, 4) FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY 2)
+        UNION ALL SELECT 'risk', n_name, round(count(*) * avg(greatest(c_acctbal, 0)) / 1000, 5) FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY 2)
         UNION ALL ({_GR} SELECT 'b_value', 'all', round(-regr_slope(log10(above), k / 10.0::DOUBLE), 6) FROM c)""",
 )
 def job_quake_catalogue(t):
@@ -278,7 +278,7 @@ def job_quake_catalogue(t):
     c = gutenberg_richter(t)
     b = c.agg(r(-F.regr_slope(F.log10("above"), F.col("k") / 10.0)).alias("v")).withColumns({"key": F.lit("all"), "view": F.lit("b_value")})
     risk = t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey")).groupBy(F.col("n_name").alias("key")).agg(
-        r(N() * F.avg(F.greatest("c_acctbal", F.lit(0.0))) / 1000, 4).alias("v")
+        r(N() * F.avg(F.greatest("c_acctbal", F.lit(0.0))) / 1000, 5).alias("v")
     ).withColumn("view", F.lit("risk"))
     return union_all([x.select("view", "key", "v") for x in (hist, mean, med, b, risk)])
 
