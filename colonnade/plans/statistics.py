@@ -245,12 +245,12 @@ def stat_ci_pi_band(t):
 
 @query(
     "stat_mean_ci_by_x",
-    "SELECT l_quantity AS x, l_returnflag AS g, round(avg(l_extendedprice), 4) AS mean, round(1.96 * stddev_samp(l_extendedprice) / sqrt(count(*)), 4) AS half FROM lineitem GROUP BY 1, 2",
+    "SELECT l_quantity AS x, l_returnflag AS g, round(avg(l_extendedprice), 6) AS mean, round(1.96 * stddev_samp(l_extendedprice) / sqrt(count(*)), 4) AS half FROM lineitem GROUP BY 1, 2",
 )
 def stat_mean_ci_by_x(t):
     v = "l_extendedprice"
     return t.lineitem.groupBy(F.col("l_quantity").alias("x"), F.col("l_returnflag").alias("g")).agg(
-        F.round(F.avg(v), 4).alias("mean"), F.round(1.96 * F.stddev(v) / F.sqrt(N()), 4).alias("half")
+        F.round(F.avg(v), 6).alias("mean"), F.round(1.96 * F.stddev(v) / F.sqrt(N()), 4).alias("half")
     )
 
 
