@@ -331,13 +331,13 @@ _KW = geo.turbine_power_sql("(value * f / 10)")
 
 @query(
     "job_wind_yield",
-    f"""SELECT f AS factor, coalesce(day(ts)::INT, 0) AS day, count(*) AS hours, round(avg(value * f / 10), 8) AS mean_speed, round(sum({_KW}) / 1000, 4) AS mwh, round(sum({_KW}) / (2000.0::DOUBLE * count(*)), 6) AS capacity_factor
+    f"""SELECT f AS factor, coalesce(day(ts)::INT, 0) AS day, count(*) AS hours, round(avg(value * f / 10), 10) AS mean_speed, round(sum({_KW}) / 1000, 4) AS mwh, round(sum({_KW}) / (2000.0::DOUBLE * count(*)), 6) AS capacity_factor
         FROM events, (SELECT unnest([0.5, 1.0, 1.5])::DOUBLE AS f) GROUP BY GROUPING SETS ((f, day(ts)), (f))""",
 )
 def job_wind_yield(t):
     v = t.events.select(F.dayofmonth("ts").alias("day"), "value", F.explode(F.array(F.lit(0.5), F.lit(1.0), F.lit(1.5))).alias("factor"))
     v = v.withColumn("speed", F.col("value") * F.col("factor") / 10).withColumn("kw", geo.turbine_power(F.col("speed")))
-    aggs = [N().alias("hours"), r(F.avg("speed"), 8).alias("mean_speed"), r(F.sum("kw") / 1000, 4).alias("mwh"), r(F.sum("kw") / (2000.0 * N())).alias("capacity_factor")]
+    aggs = [N().alias("hours"), r(F.avg("speed"), 10).alias("mean_speed"), r(F.sum("kw") / 1000, 4).alias("mwh"), r(F.sum("kw") / (2000.0 * N())).alias("capacity_factor")]
     g = v.groupingSets([[F.col("factor"), F.col("day")], [F.col("factor")]], "factor", "day").agg(*aggs)
     return g.withColumn("day", F.coalesce("day", F.lit(0)))
 
