@@ -60,3 +60,22 @@ def spread(df: DataFrame) -> DataFrame:
     """An input of fewer splits than cores is dealt out to all of them; a larger one stays as it is."""
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
+def bitmap(hashes: DataFrame, words: int) -> Column:
+    """The longs of the only column of ``hashes`` as a bitmap of ``words`` (a power of two) 64-bit words.
+
+    A scalar subquery of fixed size, whatever the number of hashes: a filter with false alarms only,
+    to drop rows where they lie before an exact join. Put it into a column of its own.
+    """
+    h = hashes.toDF("h").filter("h is not null")
+    slot = F.shiftrightunsigned("h", 6).bitwiseAND(words - 1)
+    bits = h.groupBy(slot.cast("int").alias("s")).agg(F.bit_or(F.expr("shiftleft(1L, int(h & 63))")).alias("b"))
+    full = h.sparkSession.range(words).select(F.col("id").cast("int").alias("s")).join(bits, "s", "left").select("s", F.coalesce("b", F.lit(0)).alias("b"))
+    return full.agg(F.transform(F.array_sort(F.collect_list(F.struct("s", "b"))), lambda x: x["b"]).alias("bits")).scalar()
+
+
+def marked(hash_: Column, bits: Column, words: int) -> Column:
+    """Whether the bitmap may hold a hash."""
+    word = F.get(bits, F.shiftrightunsigned(hash_, 6).bitwiseAND(words - 1).cast("int"))
+    return F.getbit(word, hash_.bitwiseAND(63).cast("int")) == 1
