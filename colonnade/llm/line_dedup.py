@@ -133,7 +133,8 @@ pl AS (SELECT doc_id, i, n, tokens, list_slice(tokens, 1, {DEPTH}) AS head, CASE
 ex AS (SELECT n, head, t0, count(DISTINCT doc_id) AS docs, min(doc_id) AS first0 FROM pl GROUP BY ALL),
 lf AS (SELECT n, head, sum(docs) AS size FROM ex WHERE n > {LEAST_CONSTANT} GROUP BY n, head HAVING sum(docs) >= {MIN_DOCS} AND min(first0) <> max(first0)),
 op AS (SELECT pl.*, size FROM pl JOIN lf ON pl.n = lf.n AND pl.head = lf.head),
-tp AS (SELECT n, head, size, p, tokens[p] AS token, count(*) AS c FROM (SELECT n, head, size, tokens, unnest(generate_series({DEPTH + 1}, n)) AS p FROM op) GROUP BY ALL HAVING count(*) >= {MIN_DOCS} AND count(*) >= {CONSTANT_SHARE} * size AND token <> '{FIELD}'),
+tk4 AS (SELECT n, head, size, p, tokens[p] AS token FROM (SELECT n, head, size, tokens, unnest(generate_series({DEPTH + 1}, n)) AS p FROM op)),
+tp AS (SELECT * FROM (SELECT n, head, size, p, token, count(*) AS c FROM tk4 GROUP BY n, head, size, p, token) WHERE c >= {MIN_DOCS} AND c >= {CONSTANT_SHARE} * size AND token <> '{FIELD}'),
 fx AS (SELECT n, head, list(p || ':' || token) AS fixed FROM tp GROUP BY n, head),
 ge AS (SELECT op.doc_id, op.i, op.n, op.head, t0, list_filter(list_transform(tokens, lambda x, p: p || ':' || x), lambda x: list_contains(coalesce(fixed, []), x)) AS hit, len(list_filter(op.head, lambda x: x <> '{FIELD}')) AS own FROM op LEFT JOIN fx ON op.n = fx.n AND op.head = fx.head),
 sp AS (SELECT * FROM ge WHERE len(hit) + own >= {LEAST_CONSTANT} AND len(hit) + own >= {GENERAL_SHARE} * n),
