@@ -320,8 +320,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, n: int = 3, keep: tuple[str,
     """The ``keep`` columns with ``ids`` of the best segmentation, its log score, up to ``n - 1`` further ones as edits, and the text decoded from ``ids``.
 
     Null texts have null in all of them; an empty text has no ids and no alternatives. Whole texts
-    are encoded; a task holds ``CHUNK`` texts and ``MEMORY`` words. A text column named like one of
-    the results must not be in ``keep``.
+    are encoded; a task holds ``CHUNK`` texts and ``MEMORY`` words. The names of the results must not be in ``keep``.
     """
     edit = pa.struct([("place", pa.int32()), ("pieces", pa.int32()), ("ids", pa.list_(pa.int32()))])
     other = pa.list_(pa.struct([("score", pa.float64()), ("edits", pa.list_(edit))]))
@@ -343,7 +342,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, n: int = 3, keep: tuple[str,
                 own = pa.array(np.array(score, np.float64) / UNIT, pa.float64(), mask=null)
                 yield pa.RecordBatch.from_arrays([*(b.column(c) for c in keep), ids, own, pa.array(alt, other), pa.array(back, pa.string())], names)
 
-    src = spread(docs.withColumn("_text", F.col("text").cast("string")).select(*keep, "_text"))
+    src = spread(docs.withColumn("_text", F.col("text").cast("string")).select(*keep, *([] if "_text" in keep else ["_text"])))
     types = dict(src.dtypes)
     return src.mapInArrow(run, ", ".join([*(f"`{c}` {types[c]}" for c in keep), SCHEMA]))
 
