@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -40,3 +41,19 @@ def components(links: DataFrame) -> DataFrame:
     if known is None:
         return open_.select(F.col("a").alias("node"), F.col("b").alias("root"))
     return known.checkpoint()
+
+
+def local_roots(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """The smallest index that each of ``n`` nodes reaches over the links ``i``-``j``."""
+    root = np.arange(n)
+    while len(i):
+        low = np.minimum(root[i], root[j])
+        new = root.copy()
+        np.minimum.at(new, root[i], low)
+        np.minimum.at(new, root[j], low)
+        while not np.array_equal(new, new[new]):
+            new = new[new]
+        root = new[root]
+        open_ = root[i] != root[j]
+        i, j = i[open_], j[open_]
+    return root

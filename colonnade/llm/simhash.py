@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from colonnade.llm.base import query, row_key, spread
-from colonnade.llm.components import components
+from colonnade.llm.components import components, local_roots
 from colonnade.session import checkpoint_root
 
 SEED = 42
@@ -94,22 +94,6 @@ def block_keys(fps: DataFrame, max_bits: int) -> DataFrame:
     return fps.select("fp", F.explode(F.array(*keys)).alias("k")).select("fp", "k.block", "k.dists")
 
 
-def _forest(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-    """The smallest index that each of ``n`` nodes reaches over the links ``i``-``j``."""
-    root = np.arange(n)
-    while len(i):
-        low = np.minimum(root[i], root[j])
-        new = root.copy()
-        np.minimum.at(new, root[i], low)
-        np.minimum.at(new, root[j], low)
-        while not np.array_equal(new, new[new]):
-            new = new[new]
-        root = new[root]
-        open_ = root[i] != root[j]
-        i, j = i[open_], j[open_]
-    return root
-
-
 def _pairs(fp: np.ndarray, side: np.ndarray | None, max_bits: int, refs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Links inside one task: rows of either side with each other, or all rows if ``side`` is None."""
     order = np.argsort(np.bitwise_count(fp ^ refs[0]), kind="stable")
@@ -159,7 +143,7 @@ def links(fps: DataFrame, max_bits: int = 4, part: int = PART) -> DataFrame:
             order = np.argsort(u["fp"].to_numpy(), kind="stable")
             side = (u["p"].to_numpy() == u["lo"].to_numpy())[order]
         i, j = _pairs(fp.view(np.uint64), side, max_bits, refs)
-        root = _forest(len(fp), i, j)
+        root = local_roots(len(fp), i, j)
         at = np.flatnonzero(root != np.arange(len(fp)))
         return fp[at], fp[root[at]]
 
