@@ -129,6 +129,12 @@ def fit(rows: list[tuple[str, bool, np.ndarray, np.ndarray]], seed: int = 7) ->
     return Model(languages, (table * scale).astype(np.float32), bias * scale, accept)
 
 
+def _arrays(lists: pa.ListArray) -> list[np.ndarray]:
+    """The lists of an Arrow column as numpy views, not as Python objects."""
+    flat, ends = lists.values.to_numpy(), lists.offsets.to_numpy()
+    return [flat[a:b] for a, b in zip(ends, ends[1:])]
+
+
 def train(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> Model:
     """Fit on rows that are not held out, at most ``per_language`` of each language, taken by the hash of their id.
 
@@ -149,7 +155,11 @@ def train(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> Model:
             yield pa.RecordBatch.from_arrays(cols, ["lang", "cal", "at", "share"]).filter(kept)
 
     got = src.mapInArrow(shares, "lang string, cal boolean, at array<int>, share array<float>").toArrow()
-    rows = [(x, c, np.array(a, np.int32), np.array(s, np.float32)) for x, c, a, s in zip(*(got[n].to_pylist() for n in ("lang", "cal", "at", "share")))]
+    rows = [
+        (x, c, a, s)
+        for b in got.to_batches()
+        for x, c, a, s in zip(b.column("lang").to_pylist(), b.column("cal").to_pylist(), _arrays(b.column("at")), _arrays(b.column("share")))
+    ]
     return fit(sorted(rows, key=lambda r: (r[0], r[2].tobytes(), r[3].tobytes(), r[1])))
 
 
