@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
 
 from colonnade.tables import Tables
 
@@ -47,6 +48,22 @@ def held_out(c: Column) -> Column:
     return F.coalesce(F.crc32(c.cast("string").cast("binary")) % FOLDS == 0, F.lit(True))
 
 
+def hashed_sample(rows: DataFrame, group: str, key: str, per_group: int) -> DataFrame:
+    """``rows`` of at most ``per_group`` keys of each ``group`` value: those whose hashes are smallest.
+
+    Counts of the groups (one row per value on the driver) give a hash bound that about twice as many
+    rows pass, so a group of any size sends only these to its ranking. Null keys and groups are left out.
+    """
+    rows = rows.filter(F.col(group).isNotNull() & F.col(key).isNotNull()).withColumn("_at", F.pmod(F.xxhash64(key), F.lit(1 << 31)))
+    sizes = rows.groupBy(group).agg(F.count(F.lit(1)).alias("n")).collect()
+    bounds = [F.when(F.col(group) == F.lit(r[group]), F.lit(int(min(1.0, 2 * per_group / r["n"]) * (1 << 31)))) for r in sizes]
+    if not bounds:
+        return rows.drop("_at")
+    first = W.partitionBy(group).orderBy("_at", key)
+    ranked = rows.filter(F.col("_at") < F.coalesce(*bounds)).withColumn("_rank", F.row_number().over(first))
+    return ranked.filter(F.col("_rank") <= per_group).drop("_at", "_rank")
+
+
 def row_key(doc_id: Column, text: Column) -> dict[str, Column]:
     """Two 64-bit hashes that name a row by id and text; rows with equal id and text share it.
 

@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from colonnade.llm.base import LOWER, UPPER, ascii_lower, query, spread
+from colonnade.llm.base import LOWER, UPPER, ascii_lower, bitmap, marked, query, spread
 
 #: What separates words (ASCII without digits and letters), before and after lower-casing.
 BETWEEN_LOWERED = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -51,14 +51,9 @@ def _word_hashes(w: Column) -> Column:
     return F.transform(w, lambda x: F.xxhash64(x))
 
 
-def _bitmap(windows: DataFrame, sizes: list[int], size: int) -> Column:
-    """The sketches of the set as a bitmap of ``size`` 64-bit words, one row, read as a scalar subquery."""
+def _sketches(windows: DataFrame, sizes: list[int]) -> DataFrame:
     own = F.coalesce(*[F.when(F.col("k") == k, _sketch(F.col("h"), 0, k)) for k in sizes])
-    marks = windows.select("k", _word_hashes(F.col("win")).alias("h")).select(own.alias("sketch"))
-    slot = F.shiftrightunsigned("sketch", 6).bitwiseAND(size - 1)
-    bits = marks.groupBy(slot.cast("int").alias("s")).agg(F.bit_or(F.expr("shiftleft(1L, int(sketch & 63))")).alias("b"))
-    full = bits.sparkSession.range(size).select(F.col("id").cast("int").alias("s")).join(bits, "s", "left").select("s", F.coalesce("b", F.lit(0)).alias("b"))
-    return full.agg(F.transform(F.array_sort(F.collect_list(F.struct("s", "b"))), lambda x: x["b"]).alias("bits")).scalar()
+    return windows.select("k", _word_hashes(F.col("win")).alias("h")).select(own.alias("sketch"))
 
 
 def hits(docs: DataFrame, benchmark: DataFrame, width: int = 10, carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
@@ -77,11 +72,11 @@ def hits(docs: DataFrame, benchmark: DataFrame, width: int = 10, carry: tuple[st
     if not total:
         return w.select(*carry, "n_words", F.expr("cast(array() as array<struct<pos:int,k:int>>)").alias("spans"), F.expr("cast(array() as array<bigint>)").alias("items"))
     size = min(max(BITMAP_WORDS[0], 1 << (total // 4).bit_length()), BITMAP_WORDS[1])
-    w, bits = w.withColumns({"_bits": _bitmap(windows, sorted(sizes), size), "_hashes": _word_hashes(F.col("w"))}), F.col("_bits")
+    w, bits = w.withColumns({"_bits": bitmap(_sketches(windows, sorted(sizes)), size), "_hashes": _word_hashes(F.col("w"))}), F.col("_bits")
     w = w.withColumns({f"_s{k}": F.when(F.size("w") >= k, F.transform(F.sequence(F.lit(0), F.size("w") - k), lambda i: _sketch(F.col("_hashes"), i, k))) for k in sizes})
 
     def found(k: int) -> Column:
-        at = F.filter(F.sequence(F.lit(0), F.size("w") - k), lambda i: _marked(F.get(f"_s{k}", i), bits, size))
+        at = F.filter(F.sequence(F.lit(0), F.size("w") - k), lambda i: marked(F.get(f"_s{k}", i), bits, size))
         cand = F.transform(at, lambda i: F.struct(i.alias("pos"), F.slice("w", i + 1, k).alias("win")))
         return F.when(F.size("w") >= k, cand).otherwise(F.expr("cast(array() as array<struct<pos:int,win:array<string>>>)"))
 
@@ -96,11 +91,6 @@ def hits(docs: DataFrame, benchmark: DataFrame, width: int = 10, carry: tuple[st
     ).drop("_rid")
 
 
-def _marked(hash_: Column, bits: Column, size: int) -> Column:
-    word = F.get(bits, F.shiftrightunsigned(hash_, 6).bitwiseAND(size - 1).cast("int"))
-    return F.getbit(word, hash_.bitwiseAND(63).cast("int")) == 1
-
-
 def covered(spans: Column) -> Column:
     """Number of words inside at least one of the sorted spans."""
     start = F.struct(F.lit(0).cast("long").alias("n"), F.lit(0).alias("end"))

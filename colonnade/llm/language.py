@@ -18,9 +18,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window as W
 
-from colonnade.llm.base import FOLDS, held_out, query, spread
+from colonnade.llm.base import FOLDS, hashed_sample, held_out, query, spread
 
 #: Rows that are learned from, for each language at most (chosen by the hash of their id).
 SAMPLE_PER_LANGUAGE = 1000
@@ -141,9 +140,7 @@ def train(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> Model:
     Rows without text, letters, language or id teach nothing. Bucket shares, not texts, reach the driver.
     """
     own = docs.select("doc_id", "lang", "text").filter(F.col("lang").isNotNull() & ~held_out(F.col("doc_id")))
-    first = W.partitionBy("lang").orderBy("at", "doc_id")
-    ids = own.filter(F.length("text") > 0).select("lang", "doc_id", F.xxhash64("doc_id").alias("at")).withColumn("n", F.row_number().over(first))
-    ids = ids.filter(F.col("n") <= per_language).select("doc_id").distinct()
+    ids = hashed_sample(own.filter(F.length("text") > 0).select("lang", "doc_id"), "lang", "doc_id", per_language).select("doc_id").distinct()
     cal = (F.crc32(F.col("doc_id").cast("string").cast("binary")) % FOLDS == FOLDS - 1).alias("cal")
     src = own.join(F.broadcast(ids), "doc_id").select("lang", cal, "text")  # at most per_language ids for each language
 

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from colonnade.llm.base import FOLDS, held_out, query, spread
+from colonnade.llm.base import FOLDS, hashed_sample, held_out, query, spread
 
 #: Labelled rows that a model learns from, of each class at most (chosen by the hash of their id).
 SAMPLE_PER_CLASS = 2000
@@ -245,9 +245,9 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS)
     The rows' distinct words, not their texts, reach the driver.
     """
     rows = labels.filter(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & ~held_out(F.col("doc_id")))
-    rows = rows.groupBy("doc_id").agg(F.max(F.when(F.col("toxic") > 0, 1).otherwise(0)).alias("y")).withColumn("at", F.xxhash64("doc_id"))
-    picked = [rows.filter(F.col("y") == y).orderBy("at", "doc_id").limit(per_class) for y in (0, 1)]
-    ids = picked[0].union(picked[1]).select("doc_id", "y", (F.crc32(F.col("doc_id").cast("string").cast("binary")) % FOLDS == FOLDS - 1).alias("cal"))
+    rows = rows.groupBy("doc_id").agg(F.max(F.when(F.col("toxic") > 0, 1).otherwise(0)).alias("y"))
+    cal = (F.crc32(F.col("doc_id").cast("string").cast("binary")) % FOLDS == FOLDS - 1).alias("cal")
+    ids = hashed_sample(rows, "y", "doc_id", per_class).select("doc_id", "y", cal)
     src = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").select("y", "cal", "text")  # at most 2 x per_class ids
 
     def bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
