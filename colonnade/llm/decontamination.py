@@ -57,38 +57,39 @@ def _sketches(windows: DataFrame, sizes: list[int]) -> DataFrame:
 
 
 def hits(docs: DataFrame, benchmark: DataFrame, width: int = 10, carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """Per row of ``docs``: the ``carry`` columns, ``n_words``, ``spans`` of hit words and the ``items`` found.
+    """Per row of ``docs``: the ``carry`` columns, ``_n_words``, ``_spans`` of hit words and the ``_items`` found.
 
-    ``spans`` are sorted distinct ``(pos, k)``: ``k`` words from word ``pos`` on equal a window; they may
+    ``_spans`` are sorted distinct ``(pos, k)``: ``k`` words from word ``pos`` on equal a window; they may
     overlap. A null text has no words. Repeated rows each keep their own row; a repeated ``item_id``
-    is one item; items without id or words mark words but are not listed. An empty benchmark
-    marks nothing.
+    is one item; items without id mark words but are not listed. An empty benchmark marks nothing.
     """
     windows = benchmark_windows(benchmark, width)
     sizes = {r["k"]: r["n"] for r in windows.groupBy("k").agg(F.count(F.lit(1)).alias("n")).collect()}  # at most ``width`` rows
     total = sum(sizes.values())
-    w = spread(docs).select(*carry, F.monotonically_increasing_id().alias("_rid"), words(F.col("text")).alias("w"))
-    w = w.withColumn("n_words", F.size("w").cast("long"))
+    w = spread(docs).select(F.struct(*[F.col(f"`{c}`") for c in carry]).alias("_row"), F.monotonically_increasing_id().alias("_rid"), words(F.col("text")).alias("_w"))
+    w = w.withColumn("_n_words", F.size("_w").cast("long"))
     if not total:
-        return w.select(*carry, "n_words", F.expr("cast(array() as array<struct<pos:int,k:int>>)").alias("spans"), F.expr("cast(array() as array<bigint>)").alias("items"))
+        return w.select("_row.*", "_n_words", F.expr("cast(array() as array<struct<pos:int,k:int>>)").alias("_spans"), F.expr("cast(array() as array<bigint>)").alias("_items"))
     size = min(max(BITMAP_WORDS[0], 1 << (total // 4).bit_length()), BITMAP_WORDS[1])
-    w, bits = w.withColumns({"_bits": bitmap(_sketches(windows, sorted(sizes)), size), "_hashes": _word_hashes(F.col("w"))}), F.col("_bits")
-    w = w.withColumns({f"_s{k}": F.when(F.size("w") >= k, F.transform(F.sequence(F.lit(0), F.size("w") - k), lambda i: _sketch(F.col("_hashes"), i, k))) for k in sizes})
+    w = w.withColumns({"_bits": bitmap(_sketches(windows, sorted(sizes)), size), "_hashes": _word_hashes(F.col("_w"))})
+    w = w.withColumns({f"_s{k}": F.when(F.size("_w") >= k, F.transform(F.sequence(F.lit(0), F.size("_w") - k), lambda i: _sketch(F.col("_hashes"), i, k))) for k in sizes})
 
     def found(k: int) -> Column:
-        at = F.filter(F.sequence(F.lit(0), F.size("w") - k), lambda i: marked(F.get(f"_s{k}", i), bits, size))
-        cand = F.transform(at, lambda i: F.struct(i.alias("pos"), F.slice("w", i + 1, k).alias("win")))
-        return F.when(F.size("w") >= k, cand).otherwise(F.expr("cast(array() as array<struct<pos:int,win:array<string>>>)"))
-
-    cand = w.select(*carry, "_rid", "n_words", F.explode_outer(reduce(F.concat, [found(k) for k in sorted(sizes)])).alias("c"))
-    cand = cand.select(*carry, "_rid", "n_words", F.col("c.pos").alias("pos"), F.col("c.win").alias("win"), F.xxhash64("c.win").alias("hash"))
-    known = windows.withColumnRenamed("win", "known")
-    known = F.broadcast(known) if total <= BROADCAST_WINDOWS else known
-    met = cand.join(known, (cand["hash"] == known["hash"]) & (cand["win"] == known["known"]), "left")
-    return met.groupBy(*carry, "_rid", "n_words").agg(
-        F.array_sort(F.collect_set(F.when(F.col("k").isNotNull(), F.struct("pos", "k")))).alias("spans"),
-        F.array_distinct(F.flatten(F.collect_set("items"))).alias("items"),
-    ).drop("_rid")
+        at = F.filter(F.sequence(F.lit(0), F.size("_w") - k), lambda i: marked(F.get(f"_s{k}", i), F.col("_bits"), size))
+        cand = F.transform(at, lambda i: F.struct(i.alias("pos"), F.slice("_w", i + 1, k).alias("win")))
+        return F.when(F.size("_w") >= k, cand).otherwise(F.expr("cast(array() as array<struct<pos:int,win:array<string>>>)"))
+
+    cand = w.select("_row", "_rid", "_n_words", F.explode_outer(reduce(F.concat, [found(k) for k in sorted(sizes)])).alias("_c"))
+    cand = cand.select("_row", "_rid", "_n_words", F.col("_c.pos").alias("_pos"), F.col("_c.win").alias("_win"), F.xxhash64("_c.win").alias("_hash"))
+    known = F.broadcast(windows) if total <= BROADCAST_WINDOWS else windows
+    met = cand.join(known, (F.col("_hash") == F.col("hash")) & (F.col("_win") == F.col("win")), "left")
+    per = met.groupBy("_rid").agg(
+        F.any_value("_row").alias("_row"),
+        F.any_value("_n_words").alias("_n_words"),
+        F.array_sort(F.collect_set(F.when(F.col("k").isNotNull(), F.struct(F.col("_pos").alias("pos"), "k")))).alias("_spans"),
+        F.array_distinct(F.flatten(F.collect_set("items"))).alias("_items"),
+    )
+    return per.select("_row.*", "_n_words", "_spans", "_items")
 
 
 def covered(spans: Column) -> Column:
@@ -111,16 +112,16 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, width: int = 10, cut: b
     cols = docs.columns
     found = hits(docs, benchmark, width, tuple(cols))
     if not cut:
-        return found.filter(F.size("spans") == 0).select(*cols)
+        return found.filter(F.size("_spans") == 0).select(*cols)
     raw = F.array_remove(F.split("text", BETWEEN), "")
     gaps = F.split("text", rf"[^{BETWEEN[1:-2]}]+")
-    inside = lambda i: F.exists("spans", lambda s: (s["pos"] <= i) & (i < s["pos"] + s["k"]))
+    inside = lambda i: F.exists("_spans", lambda s: (s["pos"] <= i) & (i < s["pos"] + s["k"]))
     kept = F.filter(F.sequence(F.lit(0), F.size(raw) - 1), lambda i: ~inside(i))
     text = F.concat(F.array_join(F.transform(kept, lambda i: F.concat(F.get(gaps, i), F.get(raw, i))), ""), F.element_at(gaps, -1))
-    new = {"text": F.when(F.size("spans") > 0, text).otherwise(F.col("text"))}
-    out = found.withColumns(new)
+    hit = F.size("_spans") > 0
+    out = found.withColumn("text", F.when(hit, text).otherwise(F.col("text")))
     if "n_chars" in cols:
-        out = out.withColumn("n_chars", F.when(F.size("spans") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")))
+        out = out.withColumn("n_chars", F.when(hit, F.length("text").cast("long")).otherwise(F.col("n_chars")))
     return out.select(*cols)
 
 
@@ -141,8 +142,8 @@ FROM d LEFT JOIN h USING (rid) LEFT JOIN t USING (rid)"""
 def op7_decontamination(t):
     """Hit words and items per document, windows of ten words."""
     f = hits(t.documents, t.benchmark)
-    ids = F.array_sort(F.transform("items", lambda x: x.cast("string")))
+    ids = F.array_sort(F.transform("_items", lambda x: x.cast("string")))
     return f.select(
-        "doc_id", "n_words", covered(F.col("spans")).alias("n_hit"), F.size("items").cast("long").alias("n_items"),
-        F.sha2(F.array_join(ids, ","), 256).alias("items_sha256"), (F.size("spans") > 0).alias("contaminated"),
+        "doc_id", F.col("_n_words").alias("n_words"), covered(F.col("_spans")).alias("n_hit"), F.size("_items").cast("long").alias("n_items"),
+        F.sha2(F.array_join(ids, ","), 256).alias("items_sha256"), (F.size("_spans") > 0).alias("contaminated"),
     )
