@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from colonnade.llm.base import LOWER, UPPER, ascii_lower, bitmap, marked, query, spread
+from colonnade.llm.base import LOWER, UPPER, ascii_lower, bitmap, marked, query, row_key, spread
 
 #: What separates words (ASCII without digits and letters), before and after lower-casing.
 BETWEEN_LOWERED = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -110,19 +110,22 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, width: int = 10, cut: b
     the new text. Columns and untouched rows stay as they are; null and empty texts are clean.
     """
     cols = docs.columns
-    found = hits(docs, benchmark, width, tuple(cols))
+    # texts stay out of the candidates: hits travel under the row key, and rows alike in id and text share one
+    own = docs.select(F.struct(*[F.col(f"`{c}`") for c in cols]).alias("_row"), *[c.alias(n) for n, c in row_key(F.col("doc_id"), F.col("text")).items()])
+    found = hits(own.select("_k1", "_k2", "_row.text"), benchmark, width, ("_k1", "_k2")).filter(F.size("_spans") > 0)
     if not cut:
-        return found.filter(F.size("_spans") == 0).select(*cols)
-    raw = F.array_remove(F.split("text", BETWEEN), "")
-    gaps = F.split("text", rf"[^{BETWEEN[1:-2]}]+")
+        return own.join(found.select("_k1", "_k2"), ["_k1", "_k2"], "left_anti").select("_row.*")
+    found = found.groupBy("_k1", "_k2").agg(F.any_value("_spans").alias("_spans"))
+    raw = F.array_remove(F.split("_row.text", BETWEEN), "")
+    gaps = F.split("_row.text", rf"[^{BETWEEN[1:-2]}]+")
     inside = lambda i: F.exists("_spans", lambda s: (s["pos"] <= i) & (i < s["pos"] + s["k"]))
     kept = F.filter(F.sequence(F.lit(0), F.size(raw) - 1), lambda i: ~inside(i))
     text = F.concat(F.array_join(F.transform(kept, lambda i: F.concat(F.get(gaps, i), F.get(raw, i))), ""), F.element_at(gaps, -1))
-    hit = F.size("_spans") > 0
-    out = found.withColumn("text", F.when(hit, text).otherwise(F.col("text")))
+    hit = F.col("_spans").isNotNull()
+    new = {"text": F.when(hit, text).otherwise(F.col("_row.text"))}
     if "n_chars" in cols:
-        out = out.withColumn("n_chars", F.when(hit, F.length("text").cast("long")).otherwise(F.col("n_chars")))
-    return out.select(*cols)
+        new["n_chars"] = F.when(hit, F.length(new["text"]).cast("long")).otherwise(F.col("_row.n_chars"))
+    return own.join(found, ["_k1", "_k2"], "left").select(*[new.get(c, F.col(f"_row.`{c}`")).alias(c) for c in cols])
 
 
 SQL = f"""
