@@ -38,19 +38,18 @@ def _lines(docs: DataFrame) -> DataFrame:
     """Per row: the row keys, ``ord`` (which document comes first) and ``lines``, structs of ``i``, ``n``, ``tokens``, ``lead``, ``t0`` of its lines that hold tokens."""
     own = docs.select("doc_id", "text", *[c.alias(n) for n, c in row_key(F.col("doc_id"), F.col("text")).items()])
     raw = lambda x: F.array_remove(F.split(x, BLANK), "")
-    split = F.transform(F.split(F.coalesce("text", F.lit("")), "\n"), lambda x, i: F.struct(i.alias("i"), raw(x).alias("raw")))
-    # a token with a digit is a field; lines without any digit are left as they are
+    split = F.transform(F.split(F.coalesce("text", F.lit("")), "\n"), lambda x, i: F.struct(i.alias("i"), raw(x).alias("raw"), x.rlike("[0-9]").alias("digit")))
     mask = lambda t: F.transform(t, lambda w: F.when(w.rlike("[0-9]"), FIELD).otherwise(w))
-    has = lambda t: F.exists(t, lambda w: w.rlike("[0-9]"))
     full = F.filter(split, lambda s: F.size(s["raw"]) > 0)
-    masked = F.transform(full, lambda s: F.struct(s["i"], s["raw"], F.when(has(s["raw"]), mask(s["raw"])).otherwise(s["raw"]).alias("tokens")))
-    constant = lambda s: F.size(F.array_remove(s["tokens"], FIELD))
+    # only a line with a digit has tokens to mask
+    masked = F.transform(full, lambda s: F.struct(s["i"], s["raw"], F.when(s["digit"], mask(s["raw"])).otherwise(s["raw"]).alias("tokens"), s["digit"]))
+    plain = lambda s: ~s["digit"] | (F.size(F.array_remove(s["tokens"], FIELD)) >= MASKED_SHARE * F.size(s["tokens"]))
     named = F.transform(
         masked,
         lambda s: F.struct(
             s["i"], F.size(s["raw"]).alias("n"), s["tokens"],
             F.xxhash64(F.size(s["tokens"]), F.slice(s["tokens"], 1, DEPTH)).alias("lead"),
-            F.xxhash64(F.when(constant(s) >= MASKED_SHARE * F.size(s["tokens"]), s["tokens"]).otherwise(s["raw"])).alias("t0"),
+            F.xxhash64(F.when(plain(s), s["tokens"]).otherwise(s["raw"])).alias("t0"),
         ),
     )
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_k1", "_k2").alias("ord")
@@ -64,8 +63,9 @@ def recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     once = F.array_distinct(F.transform("lines", lambda s: F.struct(s["lead"], s["t0"], s["n"])))
     seen = rows.select("ord", F.explode(once).alias("s")).groupBy("s.lead", "s.t0", "s.n").agg(F.count(F.lit(1)).alias("docs"), F.min("ord").alias("first"))
     exact = seen.filter(F.col("docs") >= min_docs).select(F.lit(0).alias("kind"), "lead", "t0", "docs", "first")
-    leaves = seen.filter(F.col("n") > LEAST_CONSTANT).groupBy("lead").agg(F.sum("docs").alias("docs"), F.min("first").alias("first"), F.max("first").alias("last"))
-    leaves = leaves.filter((F.col("docs") >= min_docs) & (F.col("first") != F.col("last"))).select(F.lit(1).alias("kind"), "lead", F.lit(None).cast("long").alias("t0"), "docs", "first")
+    # a leaf has one n; filtered here and not before, so both halves read the same exchange
+    leaves = seen.groupBy("lead").agg(F.sum("docs").alias("docs"), F.min("first").alias("first"), F.max("first").alias("last"), F.max("n").alias("n"))
+    leaves = leaves.filter((F.col("n") > LEAST_CONSTANT) & (F.col("docs") >= min_docs) & (F.col("first") != F.col("last"))).select(F.lit(1).alias("kind"), "lead", F.lit(None).cast("long").alias("t0"), "docs", "first")
     known = exact.union(leaves).checkpoint()  # recurring ones only; both halves come from one shuffle
     exact = known.filter("kind = 0").select("lead", "t0", F.col("first").alias("first0"))
     leaves = known.filter("kind = 1").select("lead", F.col("docs").alias("size"))
