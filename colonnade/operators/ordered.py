@@ -9,6 +9,7 @@ per slice travels to put the slices together.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -53,6 +54,13 @@ def _slice_offsets(d: DataFrame) -> DataFrame:
     )
 
 
+def _null_safe(left: DataFrame, right: DataFrame, on: Sequence[str], how: str) -> DataFrame:
+    """Join on equal keys where a null key equals a null key; the key columns appear once."""
+    r = right.withColumnsRenamed({k: f"_on_{i}" for i, k in enumerate(on)})
+    same = [F.col(k).eqNullSafe(F.col(f"_on_{i}")) for i, k in enumerate(on)]
+    return left.join(r, reduce(lambda a, b: a & b, same), how).drop(*[f"_on_{i}" for i in range(len(on))])
+
+
 def with_position(df: DataFrame, order: Sequence, name: str = "pos") -> DataFrame:
     """Add the 0-based position of every row in the global order."""
     d = sliced(df, order)
@@ -104,7 +112,7 @@ def running(
     )
     if keys:
         heads = d.filter("_seq = 0").select(*keys).distinct()
-        per_slice = per_slice.join(F.broadcast(heads), keys, "left_semi")
+        per_slice = _null_safe(per_slice, F.broadcast(heads), keys, "left_semi")
     slices = (W.partitionBy(*keys) if keys else W.partitionBy()).orderBy("_slice")
     earlier, later = slices.rowsBetween(W.unboundedPreceding, -1), slices.rowsBetween(1, W.unboundedFollowing)
     carry = per_slice.select(
@@ -112,7 +120,7 @@ def running(
         *keys,
         *[_RUNNING[kind][0](F.col(v)).over(later if kind == "next" else earlier).alias(f"_c{v}") for v, (kind, _) in inputs.items()],
     )
-    joined = own.join(F.broadcast(carry), ["_slice", *keys], "left")
+    joined = _null_safe(own, F.broadcast(carry), ["_slice", *keys], "left")
     joined = joined.withColumns(
         {out: _RUNNING[kind][2](F.col(out), F.col(f"_c{v}")) for v, (kind, out) in inputs.items()}
     )
@@ -193,7 +201,7 @@ def exact_percentiles(
     bounds = [bound(p).alias(f"_{'lo' if i % 2 == 0 else 'hi'}{i // 2}") for i, p in enumerate(points)]
     brackets = brackets.select(*keys, "_n", *bounds)
     if keys:
-        placed = d.join(brackets, keys)
+        placed = _null_safe(d, brackets, keys, "inner")
     else:
         placed = d.withColumns(_literals(brackets))
     within = [F.col("_v").between(F.col(f"_lo{i}"), F.col(f"_hi{i}")) for i in range(len(names))]
@@ -212,7 +220,7 @@ def exact_percentiles(
     cums = {f"_cum{i}": ("sum", F.when(F.col(f"_in{i}"), F.col("_k")).otherwise(0)) for i in range(len(names))}
     ranked = running(counts, keys, ["_v"], cums)
     if keys:
-        ranked = ranked.join(below, keys)
+        ranked = _null_safe(ranked, below, keys, "inner")
     else:
         ranked = ranked.withColumns(_literals(below))
     exprs = []

@@ -72,3 +72,15 @@ def test_percentiles_large_group_uses_narrow_brackets(spark):
     assert list(got) == [v.quantile(p) for p in (0.25, 0.5, 0.75)]
     by = ordered.exact_percentiles(d, ["k"], "v", {"med": 0.5}).toPandas().set_index("k")["med"].sort_index()
     assert by.tolist() == d.toPandas().groupby("k")["v"].median().tolist()
+
+
+def test_running_carries_a_null_key(spark):
+    d = spark.range(40_000).select("id", F.lit(None).cast("int").alias("k"))
+    got = ordered.running(d.repartition(8), ["k"], ["id"], {"n": ("sum", F.lit(1))})
+    assert got.agg(F.max("n")).first()[0] == 40_000 and got.filter("n <> id + 1").count() == 0
+
+
+def test_percentiles_keep_the_null_group_at_any_size(spark):
+    d = spark.range(120_000).select(F.when(F.col("id") % 2 == 0, 1).alias("k"), (F.col("id") / 2).cast("int").cast("double").alias("v"))
+    got = {r.k: r.m for r in ordered.exact_percentiles(d, ["k"], "v", {"m": 0.5}).collect()}
+    assert got == {1: 29_999.5, None: 29_999.5}
