@@ -60,7 +60,12 @@ def gaussian_nb_model(df: DataFrame, label: str, vector: Column) -> Column:
     long = df.select(F.col(label).alias("c"), F.posexplode(vector).alias("j", "v"))
     per = long.groupBy("c", "j").agg(F.count(F.lit(1)).alias("n"), F.avg("v").alias("m"), F.var_pop("v").alias("s"))
     cls = per.groupBy("c").agg(F.max("n").alias("n"), F.array_sort(F.collect_list(F.struct("j", "m", "s"))).alias("p"))
-    return cls.agg(F.array_sort(F.collect_list(F.struct("c", "n", "p")))).scalar()
+    # a feature that is constant in a class gets a billionth of the largest variance
+    widest = F.aggregate("m", F.lit(0.0), lambda a, x: F.greatest(a, F.array_max(F.transform(x["p"], lambda y: y["s"]))))
+    least = F.greatest(F.lit(1e-9) * F.col("widest"), F.lit(1e-300))
+    floored = lambda p: F.transform(p, lambda y: F.struct(y["j"].alias("j"), y["m"].alias("m"), F.greatest(y["s"], least).alias("s")))
+    model = F.transform("m", lambda x: F.struct(x["c"].alias("c"), x["n"].alias("n"), floored(x["p"]).alias("p")))
+    return cls.agg(F.array_sort(F.collect_list(F.struct("c", "n", "p"))).alias("m")).withColumn("widest", widest).select(model.alias("m")).scalar()
 
 
 def gaussian_nb_scores(df: DataFrame, model: Column, vector: Column) -> DataFrame:
@@ -86,8 +91,8 @@ def best_class(scores: DataFrame, key: str) -> DataFrame:
 
 
 def tokens(text: Column) -> Column:
-    """Lower-case runs of ASCII letters, one row each (empty pieces at the ends included)."""
-    return F.explode(F.split(F.lower(text), "[^a-z]+"))
+    """Lower-case runs of letters of any script, one row each (empty pieces at the ends included)."""
+    return F.explode(F.split(F.lower(text), r"[^\p{L}]+"))
 
 
 def words(df: DataFrame, key: str, text: str, stop: Sequence[str] = ()) -> DataFrame:
@@ -219,7 +224,7 @@ def score_points(df: DataFrame, label: str, score: str) -> DataFrame:
 
 
 def roc_auc(df: DataFrame, label: str, score: str) -> DataFrame:
-    """Area under the ROC curve: each score step adds one trapezoid, computable row by row."""
+    """Area under the ROC curve: each score step adds one trapezoid, computable row by row; null if a class has no row."""
     pts = score_points(df, label, score)
     area = F.sum(F.col("n") * (F.col("tp") - F.col("p") / 2))
-    return pts.agg((area / (F.sum("p") * F.sum("n"))).alias("auc"))
+    return pts.agg(F.try_divide(area, F.sum("p") * F.sum("n")).alias("auc"))

@@ -163,7 +163,7 @@ def ml_rbf_feature(t):
     return vec(t).select("vec_id", F.round(F.exp(-(x * x + y * y)), 8).alias("r"))
 
 
-_WORDS = "(SELECT doc_id, unnest(regexp_extract_all(lower(text), '[a-z]+')) AS word FROM documents)"
+_WORDS = "(SELECT doc_id, unnest(regexp_extract_all(lower(text), '\\p{L}+')) AS word FROM documents)"
 
 
 @query("ml_count_vectorize", f"SELECT doc_id, word, count(*) AS tf FROM {_WORDS} GROUP BY 1, 2")

@@ -309,7 +309,7 @@ def clip_values(t):
 
 @query("sample_without_replacement")
 def sample_without_replacement(t):
-    return t.orders.select("o_orderkey", "o_totalprice").orderBy(F.rand(42), "o_orderkey").limit(500)
+    return t.orders.select("o_orderkey", "o_totalprice").orderBy(F.xxhash64(F.lit(42), "o_orderkey"), "o_orderkey").limit(500)
 
 
 @query("shuffle_rows")
