@@ -58,8 +58,11 @@ AXIAL_TILT, LATITUDE, SOLSTICE = 23.44, 47.61, "2000-12-21"
 
 
 def daylight_hours(date: Column) -> Column:
-    """Hours between sunrise and sunset."""
-    days = F.datediff(date, F.lit(SOLSTICE).cast("date"))
-    tilt = F.radians(F.lit(AXIAL_TILT) * F.cos(days * F.lit(2 * math.pi / 365.25)))
-    m = 1 - F.lit(math.tan(math.radians(LATITUDE))) * F.tan(tilt)
-    return F.degrees(F.acos(1 - F.greatest(F.least(m, F.lit(2.0)), F.lit(0.0)))) * F.lit(24 / 180.0)
+    """Hours between sunrise and sunset: twice the hour angle at which the sun stands on the horizon.
+
+    The sunrise equation with the southward tilt of the sun; where it has no root the sun stays up or down all day.
+    """
+    turn = F.datediff(date, F.lit(SOLSTICE).cast("date")) * F.lit(2 * math.pi / 365.25)
+    product = F.lit(math.tan(math.radians(LATITUDE))) * F.tan(F.radians(F.lit(AXIAL_TILT) * F.cos(turn)))
+    hour_angle = F.acos(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), product)))
+    return hour_angle * F.lit(24 / math.pi)

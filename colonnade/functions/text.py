@@ -6,9 +6,10 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# An address starts where a run of its characters starts (or right after the last match) and the
-# quantifiers never give back, so the matcher looks at every character once.
-EMAIL = r"(?:\G|(?<![A-Za-z0-9_.]))[A-Za-z0-9_.]++@[A-Za-z0-9_]++[.][a-z]{3}"
+# A local part, an @ and at least two domain labels joined by dots. An address starts where a run of local
+# characters starts (or right after the last match) and the quantifiers never give back, so the matcher
+# looks at every character once.
+EMAIL = r"(?:\G|(?<![\w.%+-]))[\w.%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"
 
 
 def capitalise(c: Column) -> Column:
@@ -59,7 +60,7 @@ def clock_seconds(c: Column) -> Column:
     return p[0].cast("int") * 3600 + p[1].cast("int") * 60 + p[2].cast("int")
 
 
-def mask_emails(c: Column, mask: str = "--@--.--") -> Column:
+def mask_emails(c: Column, mask: str = "[address]") -> Column:
     """Hide e-mail addresses; texts without an @ skip the regular expression."""
     return F.when(F.contains(c, F.lit("@")), F.regexp_replace(c, EMAIL, mask)).otherwise(c)
 

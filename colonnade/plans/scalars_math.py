@@ -156,13 +156,13 @@ def math_align_rowvec_subset(t):
 @query(
     "math_grid_eval",
     """WITH x AS (SELECT DISTINCT p_size / 10.0::DOUBLE AS x FROM part), y AS (SELECT unnest(range(0, 51)) / 10.0::DOUBLE AS y)
-       SELECT x, y, round(sin(x) ** 10 + cos(10 + y * x) * cos(x), 8) AS z FROM x, y""",
+       SELECT x, y, round(exp(-x / 20) * sin(x / 3 + y), 8) AS z FROM x, y""",
 )
 def math_grid_eval(t):
     # a mesh is the distinct x values, each with a fixed range of y steps
     g = t.part.select((F.col("p_size") / 10.0).alias("x")).distinct().select("x", F.explode(F.sequence(F.lit(0), F.lit(50))).alias("k")).select("x", (F.col("k") / 10.0).alias("y"))
     x, y = F.col("x"), F.col("y")
-    return g.select("x", "y", F.round(F.pow(F.sin(x), F.lit(10.0)) + F.cos(10 + y * x) * F.cos(x), 8).alias("z"))
+    return g.select("x", "y", F.round(F.exp(-x / 20) * F.sin(x / 3 + y), 8).alias("z"))
 
 
 @query(
@@ -213,7 +213,7 @@ def piecewise_power_curve(t):
     return t.events.select("event_id", F.round(geo.turbine_power(F.col("value") / 10), 6).alias("kw"))
 
 
-_DAYLIGHT_SQL = """round(24 * degrees(acos(1 - greatest(least(1 - tan(radians(47.61)) * tan(radians(23.44 * cos(date_diff('day', DATE '2000-12-21', {d}) * 2 * pi() / 365.25))), 2), 0))) / 180, 6)"""
+_DAYLIGHT_SQL = """round(24 / pi() * acos(greatest(-1, least(1, tan(radians(47.61)) * tan(radians(23.44 * cos(date_diff('day', DATE '2000-12-21', {d}) * 2 * pi() / 365.25)))))), 6)"""
 
 
 @query("daylight_hours", "SELECT CAST(d AS VARCHAR) AS d, " + _DAYLIGHT_SQL.format(d="d") + " AS hours FROM (SELECT DISTINCT CAST(o_orderdate AS DATE) AS d FROM orders)")

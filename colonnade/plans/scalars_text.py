@@ -199,12 +199,12 @@ def str_count(t):
     return t.spread("documents").select("doc_id", F.regexp_count("text", F.lit("[Tt]h")).alias("n"))
 
 
-_MAIL = "[A-Za-z0-9_.]+@[A-Za-z0-9_]+[.][a-z]{3}"
+_MAIL = r"[\w.%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"
 
 
 @query(
     "str_mask_email",
-    f"SELECT doc_id, regexp_replace(text, '{_MAIL}', '--@--.--', 'g') AS text, len(regexp_extract_all(text, '{_MAIL}'))::INT AS n FROM documents",
+    f"SELECT doc_id, regexp_replace(text, '{_MAIL}', '[address]', 'g') AS text, len(regexp_extract_all(text, '{_MAIL}'))::INT AS n FROM documents",
 )
 def str_mask_email(t):
     return t.documents.select("doc_id", tx.mask_emails(F.col("text")).alias("text"), tx.count_emails(F.col("text")).alias("n"))

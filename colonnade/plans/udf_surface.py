@@ -13,9 +13,9 @@ def udf_scalar(t):
     return t.part.select("p_partkey", udfs.decade_udf()("p_size").alias("decade"))
 
 
-@query("udf_vectorised", "SELECT l_orderkey, l_linenumber, round(sin(q) ** 10 + cos(10 + d * q) * cos(q), 8) AS z FROM (SELECT *, l_quantity AS q, l_discount AS d FROM lineitem)")
+@query("udf_vectorised", "SELECT l_orderkey, l_linenumber, round(exp(-q / 20) * sin(q / 3 + d), 8) AS z FROM (SELECT *, l_quantity AS q, l_discount AS d FROM lineitem)")
 def udf_vectorised(t):
-    return t.lineitem.select("l_orderkey", "l_linenumber", F.round(udfs.surface_udf()("l_quantity", "l_discount"), 8).alias("z"))
+    return t.lineitem.select("l_orderkey", "l_linenumber", F.round(udfs.damped_wave_udf()("l_quantity", "l_discount"), 8).alias("z"))
 
 
 @query(
