@@ -3,8 +3,9 @@
 The kernel of two words sums over all letter subsequences of length ``order`` that both hold, each
 weighted by ``decay`` to the length it spans, gaps included, so an insult keeps most of its kernel
 with a landmark when characters are put into it or left out. Landmarks are the words that tell toxic from clean
-documents best (by a likelihood ratio over documents), and some common clean ones; ``K_mm^(-1/2) k_m(x)`` are a word's features, and a
-linear machine with hinge loss is fitted on them. A sentence is as toxic as its worst word, a text as its
+documents best (by a likelihood ratio over documents), some common clean ones and the clean ones that a first fit takes for
+toxic; ``K_mm^(-1/2) k_m(x)`` are a word's features, and a linear machine with squared hinge loss is fitted on them, clean words inside the margin
+being added from fit to fit. A sentence is as toxic as its worst word, a text as its
 worst sentence; labels are on documents, so the words that they are blamed for are chosen first,
 as in multiple-instance learning. Platt scaling on rows apart turns margins into scores.
 """
@@ -15,6 +16,7 @@ import re
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -26,13 +28,15 @@ from colonnade.llm.base import FOLDS, hashed_sample, held_out, query, spread
 #: Labelled rows that a model learns from, of each class at most (chosen by the hash of their id).
 SAMPLE_PER_CLASS = 2000
 ORDER, DECAY = 3, 0.85
-TOXIC_LANDMARKS, CLEAN_LANDMARKS = 16, 8
+TOXIC_LANDMARKS, CLEAN_LANDMARKS, HARD_LANDMARKS = 256, 16, 128
+#: Clean words of the first fit (the most common), those added after each further one (inside the margin, worst first), and fits.
+COMMON, VIOLATORS, ROUNDS = 2000, 2000, 4
 #: Letters of a unit; longer ones are cut into overlapping pieces that cover all of them.
 PIECE, OVERLAP = 24, 12
 #: Words whose margins a task remembers; beyond, it forgets them all and goes on.
 MEMORY = 300_000
-#: Texts worked on at once, and negative units in a fit at most.
-CHUNK, NEGATIVES = 256, 12_000
+#: Texts worked on at once.
+CHUNK = 256
 
 _LETTERS = re.compile(r"[^\W\d_]+")
 _SPACED = re.compile(r"(?<!\w)\w(?:[\W_]{1,3}\w){2,}(?!\w)")
@@ -108,9 +112,72 @@ def similarity(words: list[str], landmarks: list[str], order: int = ORDER, decay
     return out
 
 
+def _triples(word: str, decay: float = DECAY) -> dict[str, float]:
+    """Weight of every subsequence of three letters in a word: the kernel's own features."""
+    out: dict[str, float] = {}
+    for i, j, k in combinations(range(len(word)), 3):
+        key = word[i] + word[j] + word[k]
+        out[key] = out.get(key, 0.0) + decay ** (k - i + 1)
+    return out
+
+
+class Folded:
+    """A weighted sum of normalised kernels with landmarks, folded onto letter triples: a word costs look-ups for its own
+    triples, whatever the number of landmarks. The value is the kernel's, only summed in another order."""
+
+    def __init__(self, landmarks: list[str], beta: np.ndarray, decay: float = DECAY):
+        total: dict[str, float] = {}
+        for x, weight in zip(landmarks, beta):
+            own = _triples(x, decay)
+            norm = np.sqrt(sum(v * v for v in own.values()))
+            for t, v in own.items():
+                total[t] = total.get(t, 0.0) + float(weight) * v / norm
+        letters = sorted({c for t in total for c in t})
+        self.codes = np.array([ord(c) for c in letters] or [0], np.int32)
+        place = {c: i + 1 for i, c in enumerate(letters)}  # 0: a letter of no landmark
+        heads = {p: i + 1 for i, p in enumerate(sorted({t[:2] for t in total}))}
+        self.pair = np.zeros((len(letters) + 1, len(letters) + 1), np.int32)
+        self.third = np.zeros((len(heads) + 1, len(letters) + 1), np.float32)
+        for h, i in heads.items():
+            self.pair[place[h[0]], place[h[1]]] = i
+        for t, v in total.items():
+            self.third[heads[t[:2]], place[t[2]]] = v
+        self.decay = decay
+
+    def _letters(self, codes: np.ndarray) -> np.ndarray:
+        at = np.minimum(np.searchsorted(self.codes, codes), len(self.codes) - 1)
+        return np.where(self.codes[at] == codes, at + 1, 0)
+
+    def sums(self, words: list[str]) -> np.ndarray:
+        """The weighted sum for every word; words under three letters have 0."""
+        out = np.zeros(len(words), np.float32)
+        length = np.fromiter(map(len, words), np.int64, len(words))
+        for n in np.unique(length[length >= 3]).tolist():
+            at = np.flatnonzero(length == n)
+            for a in range(0, len(at), 4096):
+                part = at[a : a + 4096]
+                codes = _codes([words[i] for i in part], n)
+                x, got = np.ascontiguousarray(self._letters(codes).T), np.zeros(len(part), np.float32)
+                for i in range(n - 2):
+                    for j in range(i + 1, n - 1):
+                        head = self.pair[x[i], x[j]]
+                        some = np.flatnonzero(head)
+                        if not len(some):
+                            continue
+                        near, h = np.zeros(len(some), np.float32), head[some]
+                        for k in range(j + 1, n):
+                            near += self.third[h, x[k][some]] * np.float32(self.decay ** (k - i + 1))
+                        got[some] += near
+                hit = np.flatnonzero(got)
+                if len(hit):
+                    own = _kernel(codes[hit], codes[hit][:, None], 3, self.decay)[:, 0]
+                    out[part[hit]] = got[hit] / np.sqrt(np.maximum(own, 1e-30))
+        return out
+
+
 @dataclass
 class Model:
-    """Margin of a word: ``similarity @ beta + bias``; score of a text: logistic of its largest margin."""
+    """Margin of a word: kernels with the landmarks times ``beta``, plus ``bias``; score of a text: logistic of its largest margin."""
 
     landmarks: list[str]
     beta: np.ndarray
@@ -118,25 +185,36 @@ class Model:
     slope: float
     shift: float
 
+    def __post_init__(self):
+        self.folded = Folded(self.landmarks, self.beta)
+
     def margins(self, words: list[str]) -> np.ndarray:
-        return similarity(words, self.landmarks) @ self.beta + self.bias if self.landmarks else np.full(len(words), self.bias, dtype=np.float32)
+        return self.folded.sums(words) + np.float32(self.bias)
 
     def score(self, margin: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.slope * margin + self.shift, -60, 60)))
 
 
-def _hinge(x: np.ndarray, y: np.ndarray, weight: np.ndarray, penalty: float = 1e-4, rounds: int = 400) -> tuple[np.ndarray, float]:
-    """Linear machine with hinge loss: averaged subgradient steps over all rows."""
-    w, b = np.zeros(x.shape[1]), 0.0
-    mean_w, mean_b = w.copy(), 0.0
+def _machine(x: np.ndarray, y: np.ndarray, weight: np.ndarray, penalty: float = 1e-5, rounds: int = 50) -> tuple[np.ndarray, float]:
+    """Linear machine with squared hinge loss: Newton steps, each a least-squares fit to the rows inside the margin."""
+    x1 = np.concatenate([x, np.ones((len(x), 1))], axis=1)
     weight = weight / weight.sum()
-    for k in range(1, rounds + 1):
-        open_ = weight * y * (y * (x @ w + b) < 1)
-        rate = 4 / np.sqrt(k)
-        w, b = w - rate * (penalty * w - open_ @ x), b + rate * open_.sum()
-        if k > rounds // 2:
-            mean_w, mean_b = mean_w + w, mean_b + b
-    return mean_w / (rounds - rounds // 2), mean_b / (rounds - rounds // 2)
+    ridge = penalty * np.eye(x1.shape[1])
+    ridge[-1, -1] = 1e-9
+    w, open_ = np.zeros(x1.shape[1]), np.ones(len(x1), bool)
+    for _ in range(rounds):
+        a = x1[open_] * weight[open_, None]
+        goal = np.linalg.solve(ridge + a.T @ x1[open_], a.T @ y[open_])
+        loss = lambda v: v @ ridge @ v + weight @ np.maximum(0, 1 - y * (x1 @ v)) ** 2
+        step = 1.0
+        while step > 1e-3 and loss(w + step * (goal - w)) > loss(w):
+            step /= 2
+        w = w + step * (goal - w)
+        new = y * (x1 @ w) < 1
+        if np.array_equal(new, open_):
+            break
+        open_ = new
+    return w[:-1], float(w[-1])
 
 
 def _platt(f: np.ndarray, y: np.ndarray) -> tuple[float, float]:
@@ -152,16 +230,28 @@ def _platt(f: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return max(float(v[0]), 1e-3), float(v[1])
 
 
-def _originals(rows: list[tuple[bool, set[str]]]) -> Iterator[tuple[bool, set[str]]]:
-    """Rows without near copies of earlier ones (over 70 % of their rare words were seen), which would prove any word of theirs."""
-    spread_ = Counter(x for _, u in rows for x in u)
-    common = max(3, len(rows) // 50)
-    seen: set[str] = set()
+def _originals(rows: list[tuple[bool, set[str]]], alike: float = 0.7, hashes: int = 12) -> Iterator[tuple[bool, set[str]]]:
+    """Rows without near copies of an earlier row of their class, which would prove any word of theirs.
+
+    A copy shares ``alike`` of its words (Jaccard) with one single earlier row; candidates have a third of their min-hashes in common.
+    """
+    number = {x: i for i, x in enumerate(sorted({x for _, u in rows for x in u}))}
+    order = np.array([np.random.default_rng(k).permutation(len(number)) for k in range(hashes)]).reshape(hashes, -1)
+    kept: dict[tuple[bool, int, int], list[int]] = {}
+    sets: list[set[str]] = []
     for y, u in rows:
-        rare = {x for x in u if spread_[x] <= common}
-        if not rare or len(rare & seen) <= 0.7 * len(rare):
+        if not u:
             yield y, u
-        seen |= rare
+            continue
+        least = order[:, [number[x] for x in u]].min(axis=1).tolist()
+        keys = [(y, k, m) for k, m in enumerate(least)]
+        met = Counter(i for key in keys for i in kept.get(key, ()))
+        if any(3 * c >= hashes and len(u & sets[i]) >= alike * len(u | sets[i]) for i, c in met.items()):
+            continue
+        for key in keys:
+            kept.setdefault(key, []).append(len(sets))
+        sets.append(u)
+        yield y, u
 
 
 def _evidence(pos: int, n_pos: int, neg: int, n_neg: int) -> float:
@@ -179,6 +269,17 @@ def _variants(word: str) -> list[tuple[str, float]]:
     return [*out, (word[:h] + word[h + 1 :], 0.2)] if len(word) > 4 else out
 
 
+def _nystroem(landmarks: list[str], forms: list[tuple[str, float]], negative: list[str], in_neg: Counter) -> Model:
+    """The machine on Nyström features, toxic forms against clean words, both weighed by their documents."""
+    kmm = similarity(landmarks, landmarks).astype(np.float64)
+    value, vector = np.linalg.eigh((kmm + kmm.T) / 2)
+    root = vector @ np.diag(1 / np.sqrt(np.maximum(value, 1e-5))) @ vector.T
+    y = np.array([1.0] * len(forms) + [-1.0] * len(negative))
+    weight = np.array([float(w) for _, w in forms] + [1.0 + in_neg[x] for x in negative])
+    v, bias = _machine(similarity([x for x, _ in forms] + negative, landmarks) @ root, y, weight)
+    return Model(landmarks, (root @ v).astype(np.float32), bias, 1.0, 0.0)
+
+
 def fit(bags: Iterable[tuple[int, bool, list[str]]]) -> Model:
     """Learn from ``(toxic, for calibration, units)`` of documents. One class or no rows: a constant score."""
     rows = list(bags)
@@ -197,19 +298,17 @@ def fit(bags: Iterable[tuple[int, bool, list[str]]]) -> Model:
     toxic = toxic or sorted(proof, key=lambda x: (-proof[x], x))[:4]
     blamed = {x: in_pos[x] for x in toxic}
     clean = [x for x in sorted(in_neg, key=lambda x: (-in_neg[x], x)) if x not in blamed]
-    landmarks = toxic[:TOXIC_LANDMARKS] + clean[:CLEAN_LANDMARKS]
-    kmm = similarity(landmarks, landmarks).astype(np.float64)
-    value, vector = np.linalg.eigh((kmm + kmm.T) / 2)
-    root = vector @ np.diag(1 / np.sqrt(np.maximum(value, 1e-3))) @ vector.T
-    step = max(1, len(clean) // NEGATIVES + 1)
-    negative = clean[::step]
     forms = [(v, blamed[x] * w) for x in toxic for v, w in _variants(x) if v not in in_neg]
-    words = [v for v, _ in forms] + negative
-    y = np.array([1.0] * len(forms) + [-1.0] * len(negative))
-    weight = np.array([float(w) for _, w in forms] + [1.0 + np.log1p(in_neg[x]) for x in negative])
-    weight[y > 0] *= weight[y < 0].sum() / max(weight[y > 0].sum(), 1e-9)
-    v, bias = _hinge(similarity(words, landmarks) @ root, y, weight)
-    model = Model(landmarks, (root @ v).astype(np.float32), float(bias), 1.0, 0.0)
+    hard: list[str] = []
+    negative = clean[:COMMON]
+    for turn in range(ROUNDS):
+        landmarks = list(dict.fromkeys(toxic[:TOXIC_LANDMARKS] + clean[:CLEAN_LANDMARKS] + hard[:HARD_LANDMARKS]))
+        model = _nystroem(landmarks, forms, negative, in_neg)
+        if turn + 1 < ROUNDS:  # clean words inside the margin that were not learned from yet
+            margin = model.margins(clean)
+            inside = sorted(np.flatnonzero(margin > -1).tolist(), key=lambda i: (-margin[i], clean[i]))
+            hard = hard or [clean[i] for i in inside]
+            negative = list(dict.fromkeys(negative + [clean[i] for i in inside[:VIOLATORS]]))
     known = sorted({x for _, _, u in rows for x in u})
     margin = dict(zip(known, model.margins(known).tolist()))
     rest = [(t, u) for t, cal, u in rows if cal] or [(t, u) for t, _, u in rows]
