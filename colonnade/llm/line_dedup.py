@@ -1,14 +1,14 @@
 """Line dedup with a tree of log templates.
 
 A line is parsed to a fixed depth: its number of tokens, then its leading tokens, name a leaf. Tokens with
-digits are variable fields from the start. In a leaf, a token is constant at its position if enough of the
-leaf's lines have it there, every other token is a variable field too; what stays constant is
-the line's template. Templates (and lines as they are) that recur across documents are dropped
+digits are variable fields from the start. In a leaf, a token is constant at its place if a few lines of the leaf
+have it there, however large the leaf is; every other token is a variable field too, and what stays constant is
+the line's template. Templates (and lines as they are) that two or more documents share are dropped
 everywhere but in the document where they come first.
 
-All counts are sums over lines, so a line that a third of all documents share is one row per
-task before it is shuffled. Bitmaps of fixed size drop the lines that recur nowhere before
-any text is shuffled.
+The first pass writes hashes and positions of the lines, nothing else. All that follows works on distinct lines,
+so a line that a third of all documents share is one row per task before it is shuffled and one row afterwards.
+Tokens are shuffled only for leaves that hold different lines of different documents.
 """
 
 from __future__ import annotations
@@ -23,20 +23,16 @@ from colonnade.session import checkpoint_root
 BLANK, FIELD = r"[\t\x0B\f\r ]+", "<*>"
 #: Leading tokens on the way to a leaf.
 DEPTH = 3
-#: Documents that make a template recur.
-MIN_DOCS = 3
-#: Share of a leaf's lines that makes a token constant at its place.
-CONSTANT_SHARE = 0.1
+#: Lines of a leaf that make a token constant at its place.
+SUPPORT = 3
 #: A template with generalised fields needs so many constant tokens and such a share of them; one with fields masked by digits only, that share.
 LEAST_CONSTANT, GENERAL_SHARE, MASKED_SHARE = 5, 0.7, 0.5
-#: A document that loses more than this share of its tokens goes as a whole.
-MAX_DROPPED = 0.5
 BITMAP_WORDS = 1 << 15
 
 
 def _lines(docs: DataFrame) -> DataFrame:
-    """Per row: the row keys, ``ord`` (which document comes first) and ``lines``, structs of ``i``, ``n``, ``tokens``, ``lead``, ``t0`` of its lines that hold tokens."""
-    own = docs.select("doc_id", "text", *[c.alias(n) for n, c in row_key(F.col("doc_id"), F.col("text")).items()])
+    """Per row: the row keys, ``o`` (which document comes first) and ``lines``, structs of ``i``, ``n``, ``lead``, ``t0``, ``tokens`` of its lines that hold tokens."""
+    own = docs.select("doc_id", F.col("text").cast("string").alias("text"), *[c.alias(n) for n, c in row_key(F.col("doc_id"), F.col("text")).items()])
     raw = lambda x: F.array_remove(F.split(x, BLANK), "")
     split = F.transform(F.split(F.coalesce("text", F.lit("")), "\n"), lambda x, i: F.struct(i.alias("i"), raw(x).alias("raw"), x.rlike("[0-9]").alias("digit")))
     mask = lambda t: F.transform(t, lambda w: F.when(w.rlike("[0-9]"), FIELD).otherwise(w))
@@ -47,79 +43,76 @@ def _lines(docs: DataFrame) -> DataFrame:
     named = F.transform(
         masked,
         lambda s: F.struct(
-            s["i"], F.size(s["raw"]).alias("n"), s["tokens"],
+            s["i"], F.size(s["raw"]).alias("n"),
             F.xxhash64(F.size(s["tokens"]), F.slice(s["tokens"], 1, DEPTH)).alias("lead"),
             F.xxhash64(F.when(plain(s), s["tokens"]).otherwise(s["raw"])).alias("t0"),
+            s["tokens"],
         ),
     )
-    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_k1", "_k2").alias("ord")
-    return spread(own).select("_k1", "_k2", order, named.alias("lines"))
+    last = F.lit((1 << 63) - 1)  # rows without id come last and count as one document
+    return spread(own).select("_k1", "_k2", F.coalesce(F.col("doc_id").cast("long"), last).alias("o"), named.alias("lines"))
+
+
+def _templates(near: DataFrame) -> DataFrame:
+    """``lead``, ``t0``, ``first``: lines whose template two documents share, from lines (``lead``, ``t0``, ``n``, ``o``, ``tokens``) of open leaves."""
+    lines = near.groupBy("lead", "t0").agg(F.min("o").alias("first"), F.max("o").alias("last"), F.count(F.lit(1)).alias("c"), F.any_value("n").alias("n"), F.any_value("tokens").alias("tokens")).checkpoint()
+    key = F.transform("tokens", lambda w, p: F.when((p >= DEPTH) & (w != FIELD), F.xxhash64("lead", p, w)))
+    placed = lines.select("lead", "t0", "c", F.explode(F.array_compact(key)).alias("key"))
+    often = placed.groupBy("key").agg(F.sum("c").alias("support")).filter(F.col("support") >= SUPPORT).select("key")
+    # the places of a line differ, so no key can cancel another one in the exclusive or
+    hits = placed.join(often, "key").groupBy("lead", "t0").agg(F.bit_xor("key").alias("x"), F.bit_xor(F.xxhash64("key")).alias("y"), F.count(F.lit(1)).alias("hits"))
+    head = F.size(F.array_remove(F.slice("tokens", 1, DEPTH), FIELD))
+    named = lines.select("lead", "t0", "first", "last", "n", head.alias("head")).join(hits, ["lead", "t0"], "left")
+    constant = F.col("head") + F.coalesce("hits", F.lit(0))
+    named = named.filter((constant >= LEAST_CONSTANT) & (constant >= GENERAL_SHARE * F.col("n")))
+    named = named.select("lead", "t0", "first", "last", F.xxhash64("lead", "x", "y", "hits").alias("t1"))
+    shared = named.groupBy("lead", "t1").agg(F.min("first").alias("first"), F.max("last").alias("last")).filter("first <> last")
+    return named.select("lead", "t0", "t1").join(shared.select("lead", "t1", "first"), ["lead", "t1"]).select("lead", "t0", "first")
 
 
-def recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
-    """Lines that belong to a recurring template: row keys, ``ord``, ``i``, ``n`` and ``first``, the document where the template comes first."""
+def dropped_lines(docs: DataFrame) -> DataFrame:
+    """Lines to drop: row keys, ``drop`` (the numbers of the lines) for every row that loses one."""
     checkpoint_root(docs.sparkSession)
     rows = _lines(docs)
+    marks = rows.select("_k1", "_k2", "o", F.transform("lines", lambda s: F.struct(s["i"], s["n"], s["lead"], s["t0"])).alias("lines")).checkpoint()
     once = F.array_distinct(F.transform("lines", lambda s: F.struct(s["lead"], s["t0"], s["n"])))
-    seen = rows.select("ord", F.explode(once).alias("s")).groupBy("s.lead", "s.t0", "s.n").agg(F.count(F.lit(1)).alias("docs"), F.min("ord").alias("first"))
-    exact = seen.filter(F.col("docs") >= min_docs).select(F.lit(0).alias("kind"), "lead", "t0", "docs", "first")
-    # a leaf has one n; filtered here and not before, so both halves read the same exchange
-    leaves = seen.groupBy("lead").agg(F.sum("docs").alias("docs"), F.min("first").alias("first"), F.max("first").alias("last"), F.max("n").alias("n"))
-    leaves = leaves.filter((F.col("n") > LEAST_CONSTANT) & (F.col("docs") >= min_docs) & (F.col("first") != F.col("last"))).select(F.lit(1).alias("kind"), "lead", F.lit(None).cast("long").alias("t0"), "docs", "first")
-    known = exact.union(leaves).checkpoint()  # recurring ones only; both halves come from one shuffle
-    exact = known.filter("kind = 0").select("lead", "t0", F.col("first").alias("first0"))
-    leaves = known.filter("kind = 1").select("lead", F.col("docs").alias("size"))
-
-    may0, may1 = bitmap(known.filter("kind = 0").select("t0"), BITMAP_WORDS), bitmap(known.filter("kind = 1").select("lead"), BITMAP_WORDS)
-    kept = F.filter("lines", lambda s: marked(s["t0"], F.col("_b0"), BITMAP_WORDS) | ((s["n"] > LEAST_CONSTANT) & marked(s["lead"], F.col("_b1"), BITMAP_WORDS)))
-    near = rows.withColumns({"_b0": may0, "_b1": may1}).select("_k1", "_k2", "ord", kept.alias("lines")).filter(F.size("lines") > 0)
-    near = near.select("_k1", "_k2", "ord", F.explode("lines").alias("s")).select("_k1", "_k2", "ord", "s.*")
-    near = near.join(exact, ["lead", "t0"], "left").join(leaves, "lead", "left").filter("first0 is not null or size is not null").checkpoint()
-
-    open_ = near.filter("size is not null")
-    place = open_.select("lead", "size", F.posexplode("tokens").alias("p", "token")).filter((F.col("p") >= DEPTH) & (F.col("token") != FIELD))
-    often = place.groupBy("lead", "size", "p", "token").agg(F.count(F.lit(1)).alias("c")).filter((F.col("c") >= min_docs) & (F.col("c") >= CONSTANT_SHARE * F.col("size")))
-    # at most 1 / CONSTANT_SHARE tokens for each position (more only where a document repeats the line)
-    fixed = often.groupBy("lead").agg(F.collect_set(F.concat_ws(":", "p", "token")).alias("fixed"))
-    placed = F.transform("tokens", lambda w, p: F.concat_ws(":", p.cast("string"), w))
-    hit = F.array_intersect(placed, F.coalesce("fixed", F.expr("cast(array() as array<string>)")))
-    head = F.size(F.array_remove(F.slice("tokens", 1, DEPTH), FIELD))
-    general = open_.join(fixed, "lead", "left").select("_k1", "_k2", "ord", "i", "n", "lead", "t0", "first0", hit.alias("hit"), head.alias("head"))
-    enough = (F.size("hit") + F.col("head") >= LEAST_CONSTANT) & (F.size("hit") + F.col("head") >= GENERAL_SHARE * F.col("n"))
-    general = general.select("_k1", "_k2", "ord", "i", "n", "lead", "first0", F.when(enough, F.xxhash64("lead", "hit")).alias("t1"))
-    shared = general.filter("t1 is not null").select("ord", "lead", "t1").distinct().groupBy("lead", "t1").agg(F.count(F.lit(1)).alias("docs"), F.min("ord").alias("first1"))
-    shared = shared.filter(F.col("docs") >= min_docs).drop("docs")
-    found = general.join(shared, ["lead", "t1"], "left").select("_k1", "_k2", "ord", "i", "n", F.coalesce("first1", "first0").alias("first"))
-    rest = near.filter("size is null").select("_k1", "_k2", "ord", "i", "n", F.col("first0").alias("first"))
-    return found.union(rest).filter("first is not null")
-
-
-def dedup_lines(docs: DataFrame, min_docs: int = MIN_DOCS, max_dropped: float = MAX_DROPPED, report: bool = False) -> DataFrame:
+    seen = marks.select("o", F.explode(once).alias("s")).groupBy("s.lead", "s.t0", "s.n").agg(F.min("o").alias("first"), F.max("o").alias("last")).checkpoint()
+    leaves = seen.filter(F.col("n") > LEAST_CONSTANT).groupBy("lead").agg(F.min("first").alias("first"), F.max("last").alias("last"), F.count(F.lit(1)).alias("kinds"))
+    open_ = bitmap(leaves.filter("first <> last and kinds > 1").select("lead"), BITMAP_WORDS)
+    kept = F.filter("lines", lambda s: (s["n"] > LEAST_CONSTANT) & marked(s["lead"], F.col("_open"), BITMAP_WORDS))
+    near = rows.withColumn("_open", open_).select("o", kept.alias("lines")).filter(F.size("lines") > 0).select("o", F.explode("lines").alias("s")).select("o", "s.*")
+    exact = seen.filter("first <> last").select("lead", "t0", "first")
+    known = exact.union(_templates(near)).groupBy("lead", "t0").agg(F.min("first").alias("first")).checkpoint()
+    some = marks.withColumn("_known", bitmap(known.select("t0"), BITMAP_WORDS))
+    some = some.select("_k1", "_k2", "o", F.filter("lines", lambda s: marked(s["t0"], F.col("_known"), BITMAP_WORDS)).alias("lines")).filter(F.size("lines") > 0)
+    some = some.select("_k1", "_k2", "o", F.explode("lines").alias("s")).select("_k1", "_k2", "o", "s.i", "s.lead", "s.t0")
+    return some.join(known, ["lead", "t0"]).filter("o <> first").groupBy("_k1", "_k2").agg(F.collect_set("i").alias("drop"))
+
+
+def dedup_lines(docs: DataFrame, report: bool = False) -> DataFrame:
     """``docs`` without the lines of recurring templates, except in the document (smallest id) where a template comes first.
 
-    A document that loses more than ``max_dropped`` of its tokens is a patchwork of others and goes as
-    a whole. With ``report`` it stays, and ``_n_lines``, ``_n_dropped`` and ``_gone`` are added. Blank
-    lines and null texts are left alone; rows alike in id and text get the same decision, and each
-    counts as a document; rows without id come last in the order. ``n_chars``, if there, counts the new text.
+    Two documents make a line or template recur. A document that has no token left goes, since all it held stands elsewhere. With ``report`` it
+    stays, and the result is ``row`` (a struct of the columns), ``n_lines``, ``n_dropped`` and ``gone``. Blank lines
+    and null texts are left alone; rows alike in id and text get the same decision; rows of one id, and all rows without id, count as one
+    document, the latter come last. ``doc_id`` is an integer. ``n_chars``, if there, counts the new text. Columns of any name are carried.
     """
     cols = docs.columns
-    drops = recurring_lines(docs, min_docs).filter(F.col("ord") != F.col("first")).dropDuplicates(["_k1", "_k2", "i"])
-    drops = drops.groupBy("_k1", "_k2").agg(F.collect_list("i").alias("_drop"), F.sum("n").alias("_lost"))
-    lines = F.split("text", "\n")
-    left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), "_drop")
-    total = F.size(F.array_remove(F.split("text", r"[\n\t\x0B\f\r ]+"), ""))
-    out = docs.withColumns(row_key(F.col("doc_id"), F.col("text"))).join(drops, ["_k1", "_k2"], "left")
-    gone = F.coalesce(F.col("_lost") > max_dropped * total, F.lit(False))
+    keys = row_key(F.col("doc_id"), F.col("text"))
+    named = docs.select(F.struct(*[F.col(f"`{c}`") for c in cols]).alias("row"), *[c.alias(n) for n, c in keys.items()])
+    out = named.join(dropped_lines(docs), ["_k1", "_k2"], "left")
+    lines = F.split(F.col("row.text"), "\n")
+    left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), "drop")
+    text = F.when(F.col("drop").isNotNull(), F.array_join(F.transform(left, lambda i: F.get(lines, i)), "\n")).otherwise(F.col("row.text"))
+    # the new text takes another name first: inside the lambda above, "text" must be the old one
+    out = out.select("row", "drop", F.coalesce(F.size(lines), F.lit(0)).cast("long").alias("n_lines"), text.alias("new"))
+    gone = F.col("drop").isNotNull() & ~F.col("new").rlike(r"[^\n\t\x0B\f\r ]")
+    count = F.when(F.col("drop").isNotNull(), F.length("new").cast("long"))
+    own = {"text": F.col("new"), **({"n_chars": F.coalesce(count, F.col("row.n_chars"))} if "n_chars" in cols else {})}
+    fields = [own.get(c, F.col("row").getField(c)).alias(c) for c in cols]
     if report:
-        out = out.withColumns({"_n_lines": F.coalesce(F.size(lines), F.lit(0)).cast("long"), "_n_dropped": F.coalesce(F.size("_drop"), F.lit(0)).cast("long"), "_gone": gone})
-    else:
-        out = out.filter(~gone)
-    changed = F.col("_drop").isNotNull()
-    text = F.when(changed, F.array_join(F.transform(left, lambda i: F.get(lines, i)), "\n")).otherwise(F.col("text"))
-    new = {"text": text}
-    if "n_chars" in cols:
-        new["n_chars"] = F.when(changed, F.length(text).cast("long")).otherwise(F.col("n_chars"))
-    return out.withColumns(new).select(*cols, *(["_n_lines", "_n_dropped", "_gone"] if report else []))
+        return out.select(F.struct(*fields).alias("row"), "n_lines", F.coalesce(F.size("drop"), F.lit(0)).cast("long").alias("n_dropped"), gone.alias("gone"))
+    return out.filter(~gone).select(*fields)
 
 
 def line_sql(table: str) -> str:
@@ -130,28 +123,23 @@ ln AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
 tk AS (SELECT doc_id, i, list_filter(string_split_regex(line, '{blank}'), lambda x: x <> '') AS raw FROM ln),
 mk AS (SELECT doc_id, i, raw, len(raw) AS n, list_transform(raw, lambda x: CASE WHEN regexp_matches(x, '[0-9]') THEN '{FIELD}' ELSE x END) AS tokens FROM tk WHERE len(raw) > 0),
 pl AS (SELECT doc_id, i, n, tokens, list_slice(tokens, 1, {DEPTH}) AS head, CASE WHEN len(list_filter(tokens, lambda x: x <> '{FIELD}')) >= {MASKED_SHARE} * n THEN tokens ELSE raw END AS t0 FROM mk),
-ex AS (SELECT n, head, t0, count(DISTINCT doc_id) AS docs, min(doc_id) AS first0 FROM pl GROUP BY ALL),
-lf AS (SELECT n, head, sum(docs) AS size FROM ex WHERE n > {LEAST_CONSTANT} GROUP BY n, head HAVING sum(docs) >= {MIN_DOCS} AND min(first0) <> max(first0)),
-op AS (SELECT pl.*, size FROM pl JOIN lf ON pl.n = lf.n AND pl.head = lf.head),
-tk4 AS (SELECT n, head, size, p, tokens[p] AS token FROM (SELECT n, head, size, tokens, unnest(generate_series({DEPTH + 1}, n)) AS p FROM op)),
-tp AS (SELECT * FROM (SELECT n, head, size, p, token, count(*) AS c FROM tk4 GROUP BY n, head, size, p, token) WHERE c >= {MIN_DOCS} AND c >= {CONSTANT_SHARE} * size AND token <> '{FIELD}'),
+ex AS (SELECT n, head, t0, any_value(tokens) AS tokens, min(doc_id) AS first, max(doc_id) AS last, count(*) AS c FROM pl GROUP BY n, head, t0),
+tp AS (SELECT n, head, p, token FROM (SELECT n, head, c, p, tokens[p] AS token FROM (SELECT n, head, c, tokens, unnest(generate_series({DEPTH + 1}, n)) AS p FROM ex WHERE n > {LEAST_CONSTANT})) GROUP BY n, head, p, token HAVING sum(c) >= {SUPPORT} AND token <> '{FIELD}'),
 fx AS (SELECT n, head, list(p || ':' || token) AS fixed FROM tp GROUP BY n, head),
-ge AS (SELECT op.doc_id, op.i, op.n, op.head, t0, list_filter(list_transform(tokens, lambda x, p: p || ':' || x), lambda x: list_contains(coalesce(fixed, []), x)) AS hit, len(list_filter(op.head, lambda x: x <> '{FIELD}')) AS own FROM op LEFT JOIN fx ON op.n = fx.n AND op.head = fx.head),
+ge AS (SELECT ex.*, list_filter(list_transform(tokens, lambda x, p: p || ':' || x), lambda x: list_contains(coalesce(fixed, []), x)) AS hit, len(list_filter(ex.head, lambda x: x <> '{FIELD}')) AS own FROM ex LEFT JOIN fx ON ex.n = fx.n AND ex.head = fx.head WHERE ex.n > {LEAST_CONSTANT}),
 sp AS (SELECT * FROM ge WHERE len(hit) + own >= {LEAST_CONSTANT} AND len(hit) + own >= {GENERAL_SHARE} * n),
-sh AS (SELECT n, head, hit, min(doc_id) AS first1 FROM sp GROUP BY n, head, hit HAVING count(DISTINCT doc_id) >= {MIN_DOCS}),
-fi AS (SELECT pl.doc_id, pl.i, pl.n, coalesce(first1, first0) AS first FROM pl LEFT JOIN sp ON sp.doc_id = pl.doc_id AND sp.i = pl.i LEFT JOIN sh ON sh.n = sp.n AND sh.head = sp.head AND sh.hit = sp.hit
-  LEFT JOIN (SELECT * FROM ex WHERE docs >= {MIN_DOCS}) e ON e.n = pl.n AND e.head = pl.head AND e.t0 = pl.t0),
-dr AS (SELECT doc_id, i, n FROM fi WHERE first IS NOT NULL AND first <> doc_id),
-ls AS (SELECT doc_id, count(*) AS n_dropped, sum(n) AS lost FROM dr GROUP BY doc_id),
-kp AS (SELECT ln.doc_id, count(*) FILTER (WHERE dr.i IS NULL) AS kept, string_agg(line, chr(10) ORDER BY ln.i) FILTER (WHERE dr.i IS NULL) AS text, count(*) AS n_lines FROM ln LEFT JOIN dr ON dr.doc_id = ln.doc_id AND dr.i = ln.i GROUP BY ln.doc_id),
-tot AS (SELECT doc_id, sum(n) AS total FROM mk GROUP BY doc_id),
+sh AS (SELECT n, head, hit, min(first) AS first1 FROM sp GROUP BY n, head, hit HAVING min(first) <> max(last)),
+kn AS (SELECT n, head, t0, min(first) AS first FROM (SELECT n, head, t0, first FROM ex WHERE first <> last UNION ALL SELECT sp.n, sp.head, sp.t0, first1 FROM sp JOIN sh ON sh.n = sp.n AND sh.head = sp.head AND sh.hit = sp.hit) GROUP BY n, head, t0),
+dr AS (SELECT pl.doc_id, pl.i FROM pl JOIN kn ON kn.n = pl.n AND kn.head = pl.head AND kn.t0 = pl.t0 WHERE first <> pl.doc_id),
+ls AS (SELECT doc_id, count(*) AS n_dropped FROM dr GROUP BY doc_id),
+kp AS (SELECT ln.doc_id, string_agg(line, chr(10) ORDER BY ln.i) FILTER (WHERE dr.i IS NULL) AS text, count(*) AS n_lines FROM ln LEFT JOIN dr ON dr.doc_id = ln.doc_id AND dr.i = ln.i GROUP BY ln.doc_id),
 lined AS (SELECT d.doc_id, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(kp.text, '') END AS text, d.lang, d.source, CASE WHEN ls.doc_id IS NULL THEN d.n_chars ELSE length(coalesce(kp.text, '')) END AS n_chars,
-  CASE WHEN d.text IS NULL THEN 0 ELSE kp.n_lines END AS n_lines, coalesce(n_dropped, 0) AS n_dropped, coalesce(lost > {MAX_DROPPED} * total, false) AS gone
-  FROM {table} d JOIN kp ON kp.doc_id = d.doc_id LEFT JOIN ls ON ls.doc_id = d.doc_id LEFT JOIN tot ON tot.doc_id = d.doc_id)"""
+  CASE WHEN d.text IS NULL THEN 0 ELSE kp.n_lines END AS n_lines, coalesce(n_dropped, 0) AS n_dropped, ls.doc_id IS NOT NULL AND NOT regexp_matches(coalesce(kp.text, ''), '[^\n\t\x0B\f\r ]') AS gone
+  FROM {table} d JOIN kp ON kp.doc_id = d.doc_id LEFT JOIN ls ON ls.doc_id = d.doc_id)"""
 
 
-@query("op8_line_dedup", f"WITH {line_sql('documents').strip()}\nSELECT doc_id, text, n_lines::bigint AS n_lines, n_dropped::bigint AS n_dropped, NOT gone AS kept FROM lined")
+@query("op8_line_dedup", f"WITH {line_sql('documents').strip()}\nSELECT doc_id, text, n_chars::bigint AS n_chars, n_lines::bigint AS n_lines, n_dropped::bigint AS n_dropped, NOT gone AS kept FROM lined")
 def op8_line_dedup(t):
     """Every document with the lines it keeps, and whether it stays."""
     out = dedup_lines(t.documents, report=True)
-    return out.select("doc_id", "text", F.col("_n_lines").alias("n_lines"), F.col("_n_dropped").alias("n_dropped"), (~F.col("_gone")).alias("kept"))
+    return out.select("row.doc_id", "row.text", "row.n_chars", "n_lines", "n_dropped", (~F.col("gone")).alias("kept"))
