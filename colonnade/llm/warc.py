@@ -2,13 +2,18 @@
 
 A derived record refers to its response (``WARC-Refers-To``, and its target and date), carries the response's
 HTTP headers and payload digest on, and has an id and block digest of its own, both derived from the content, so a
-task that runs again writes the same records. Everything is a column expression on the row.
+task that runs again writes the same records. A page is read once, in an Arrow batch; all else is a column expression.
 """
 
 from __future__ import annotations
 
+import html.entities
+import re
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from colonnade.llm.base import query
 
@@ -17,30 +22,57 @@ DATE = "2024-01-01T00:00:00Z"
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 CRLF = "\r\n"
 
-#: How markup becomes text, in this order (pattern, replacement); entities come after the tags, the ampersand last.
-TO_TEXT = [
-    (r"(?s)<!--.*?-->", " "),
-    (r"(?is)<(?:script|style|noscript|template)\b.*?(?:</(?:script|style|noscript|template)\s*>|\z)", " "),
-    (r"(?i)</?(?:address|article|aside|blockquote|body|br|dd|div|dl|dt|footer|form|h[1-6]|head|header|hr|html|li|main|nav|ol|option|p|pre|section|table|td|th|title|tr|ul)\b[^>]*>", "\n"),
-    (r"<[!/?a-zA-Z][^>]*>", ""),
-    (r"(?i)&nbsp;|&#160;|&#xa0;", " "),
-    (r"(?i)&lt;|&#60;|&#x3c;", "<"),
-    (r"(?i)&gt;|&#62;|&#x3e;", ">"),
-    (r"(?i)&quot;|&#34;|&#x22;", '"'),
-    (r"(?i)&apos;|&#39;|&#x27;", "'"),
-    (r"(?i)&amp;|&#38;|&#x26;", "&"),
-    (r"[ \t\r\f]+", " "),
-    (r" ?\n[ \n]*", "\n"),
-    (r"\A[ \n]+|[ \n]+\z", ""),
-]
-TITLE, HREF = r"(?is)<title\b[^>]*>(.*?)</title", r'(?i)<a\b[^>]*?\bhref\s*=\s*"([^"]*)"'
-
-
-def plain_text(html: Column) -> Column:
-    """The text of a page, blocks on lines of their own; an unclosed script runs to the end."""
-    for pattern, new in TO_TEXT:
-        html = F.regexp_replace(html, pattern, new.replace("$", r"\$"))
-    return html
+#: What is no content, tags that end a line, other tags, the title, and the target of a link in its three forms.
+HIDDEN = r"(?is)<!--.*?-->|<(?:script|style|noscript|template)\b.*?(?:</(?:script|style|noscript|template)\s*>|\z)"
+BLOCK = r"(?i)</?(?:address|article|aside|blockquote|body|br|dd|div|dl|dt|footer|form|h[1-6]|head|header|hr|html|li|main|nav|ol|option|p|pre|section|table|td|th|title|tr|ul)\b[^>]*>"
+TAG = r"<[!/?a-zA-Z][^>]*>"
+TITLE = r"(?is)<title\b[^>]*>(.*?)</title"
+HREF = r"""(?i)<a\b[^>]*?\bhref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
+#: A character reference: a number, or a name with its semicolon or an old name without.
+REFERENCE = r"&(?:#[xX][0-9a-fA-F]{1,8}|#[0-9]{1,9}|[A-Za-z][A-Za-z0-9]*);?"
+BLANKS, BREAK = r"[ \t\r\f\x{a0}]+", r" ?\n[ \n]*"
+
+_HIDDEN, _BLOCK, _TAG, _TITLE, _HREF, _REFERENCE = (re.compile(x.replace(r"\z", r"\Z")) for x in (HIDDEN, BLOCK, TAG, TITLE, HREF, REFERENCE))
+_BLANKS, _BREAK = re.compile("[ \t\r\f\xa0]{2,}|[\t\r\f\xa0]"), re.compile(BREAK)
+#: Numbers under 160 follow the rules for old code pages, which the standard library has.
+_LOW = [html.unescape(f"&#{n};") for n in range(160)]
+_NAMES = html.entities.html5
+
+
+def _character(m: re.Match) -> str:
+    ref = m.group()[1:]
+    if ref[0] != "#":
+        return _NAMES.get(ref, m.group())
+    digits = ref[1:].rstrip(";")
+    n = int(digits[1:], 16) if digits[0] in "xX" else int(digits)
+    if n < 160:
+        return _LOW[n]
+    return "\ufffd" if n > 0x10FFFF or 0xD800 <= n < 0xE000 else chr(n)
+
+
+def unescape(text: str) -> str:
+    """A text with its character references replaced, each once; what names no character stays."""
+    return _REFERENCE.sub(_character, text) if "&" in text else text
+
+
+def _lines(markup: str) -> str:
+    text = unescape(_TAG.sub("", _BLOCK.sub("\n", markup)))
+    return _BREAK.sub("\n", _BLANKS.sub(" ", text)).strip(" \n")
+
+
+def read_page(page: str) -> tuple[str, str, list[str]]:
+    """Text (blocks on lines of their own), title and the different link targets of a page, in order; an unclosed script runs to the end."""
+    shown = _HIDDEN.sub(" ", page)
+    title = _TITLE.search(shown)
+    links = dict.fromkeys(unescape(a or b or c) for a, b, c in _HREF.findall(shown))
+    return _lines(shown), _lines(title.group(1)).replace("\n", " ") if title else "", list(links)
+
+
+@F.arrow_udf(StructType([StructField("text", StringType()), StructField("title", StringType()), StructField("links", ArrayType(StringType()))]))
+def page_parts(pages: pa.Array) -> pa.Array:
+    parts = [read_page(x.as_py() or "") for x in pages]
+    text, title, links = zip(*parts) if parts else ((), (), ())
+    return pa.StructArray.from_arrays([pa.array(text, pa.string()), pa.array(title, pa.string()), pa.array(links, pa.list_(pa.string()))], ["text", "title", "links"])
 
 
 def digest(content: Column) -> Column:
@@ -73,13 +105,12 @@ def derive(records: DataFrame) -> DataFrame:
 
     Repeated responses give repeated records. A page without title or links has no such field.
     """
-    text = plain_text(F.col("payload"))
-    title = plain_text(F.regexp_extract("payload", TITLE, 1))
-    links = F.array_distinct(F.expr(f"regexp_extract_all(payload, r'{HREF}', 1)"))
+    records = records.withColumn("_page", page_parts(F.col("payload")))
+    text, title, links = (F.col(f"_page.{c}") for c in ("text", "title", "links"))
     fields = F.concat(
         F.lit("source-digest: "), F.col("payload_digest"), F.lit(CRLF),
         F.array_join(F.transform(F.array_remove(F.split("http_headers", CRLF), ""), lambda x: F.concat(F.lit("source-header: "), x, F.lit(CRLF))), ""),
-        F.when(title != "", F.concat(F.lit("title: "), F.regexp_replace(title, r"\n", " "), F.lit(CRLF))).otherwise(""),
+        F.when(title != "", F.concat(F.lit("title: "), title, F.lit(CRLF))).otherwise(""),
         F.array_join(F.transform(links, lambda x: F.concat(F.lit("outlink: "), F.regexp_replace(x, r"[\r\n]+", " "), F.lit(CRLF))), ""),
     )
     kinds = F.array(F.struct(F.lit("metadata").alias("k"), F.lit("application/warc-fields").alias("ct"), fields.alias("b")), F.struct(F.lit("conversion").alias("k"), F.lit("text/plain; charset=utf-8").alias("ct"), text.alias("b")))
@@ -108,10 +139,24 @@ def parse(records: DataFrame) -> DataFrame:
     return records.select(fields.alias("fields"), F.decode(F.substring(body, F.lit(1), F.get(F.map_values(F.map_filter(fields, lambda k, v: k == "content-length")), F.lit(0)).cast("int")), "UTF-8").alias("block"))
 
 
+def _quote(x: str) -> str:
+    return "'" + x.replace("'", "''") + "'"
+
+
+def _sql_unescape(x: str) -> str:
+    """Split at ampersands; the start of every later part may be a reference."""
+    ref = f"regexp_extract('&' || s, {_quote('^' + REFERENCE)})"
+    name = f"coalesce(names[{ref}[2:]], {ref})"
+    low = ", ".join(f"chr({ord(c)})" if c else "''" for c in _LOW)
+    number = f"(CASE WHEN {ref}[3:3] IN ('x', 'X') THEN ('0x' || rtrim({ref}[4:], ';'))::bigint ELSE rtrim({ref}[3:], ';')::bigint END)"
+    known = f"CASE WHEN {number} < 160 THEN [{low}][{number} + 1] WHEN {number} > 1114111 OR {number} BETWEEN 55296 AND 57343 THEN chr(65533) ELSE chr({number}::int) END"
+    one = f"CASE WHEN {ref} = '' THEN '&' || s WHEN {ref}[2:2] = '#' THEN {known} || s[len({ref}):] ELSE {name} || s[len({ref}):] END"
+    return f"array_to_string(list_transform(string_split({x}, '&'), lambda s, i: CASE WHEN i = 1 THEN s ELSE {one} END), '')"
+
+
 def _sql_text(x: str) -> str:
-    for pattern, new in TO_TEXT:
-        x = f"""regexp_replace({x}, '{pattern.replace("'", "''")}', '{new.replace("'", "''")}', 'g')"""
-    return x
+    tags = f"regexp_replace(regexp_replace({x}, {_quote(BLOCK)}, chr(10), 'g'), {_quote(TAG)}, '', 'g')"
+    return f"trim(regexp_replace(regexp_replace({_sql_unescape(tags)}, {_quote(BLANKS)}, ' ', 'g'), {_quote(BREAK)}, chr(10), 'g'), ' ' || chr(10))"
 
 
 def _sql_digest(x: str) -> str:
@@ -125,11 +170,15 @@ def _sql_id(x: str) -> str:
 
 
 _N = "chr(13) || chr(10)"
-_HREF_SQL = HREF.replace("'", "''")
+_NAMES_SQL = "MAP {" + ", ".join(f"{_quote(k)}: " + " || ".join(f"chr({ord(c)})" for c in v) for k, v in _NAMES.items()) + "}"
+_LINK = "concat(" + ", ".join(f"regexp_extract(x, {_quote(HREF)}, {g})" for g in (1, 2, 3)) + ")"
 SQL = f"""
-WITH p AS (SELECT page_id, coalesce(url, '') AS target_uri, coalesce(html, '') AS payload FROM pages),
+WITH nm AS MATERIALIZED (SELECT {_NAMES_SQL} AS names),
+p AS (SELECT page_id, coalesce(url, '') AS target_uri, coalesce(html, '') AS payload FROM pages),
 r AS (SELECT page_id, target_uri, payload, {_sql_id("concat_ws(chr(10), 'response', coalesce(page_id::varchar, ''), target_uri, payload)")} AS refers_to, {_sql_digest("payload")} AS payload_digest, strlen(payload) AS n FROM p),
-t AS (SELECT *, {_sql_text("payload")} AS txt, replace({_sql_text(f"regexp_extract(payload, '{TITLE}', 1)")}, chr(10), ' ') AS title, list_distinct(regexp_extract_all(payload, '{_HREF_SQL}', 1)) AS links, regexp_extract_all(payload, '{_HREF_SQL}', 1) AS every FROM r),
+w AS (SELECT *, regexp_replace(payload, {_quote(HIDDEN)}, ' ', 'g') AS shown FROM r),
+t AS (SELECT w.*, {_sql_text("shown")} AS txt, replace({_sql_text(f"regexp_extract(shown, {_quote(TITLE)}, 1)")}, chr(10), ' ') AS title,
+  list_transform(list_transform(regexp_extract_all(shown, {_quote(HREF)}), lambda x: {_LINK}), lambda x: {_sql_unescape("x")}) AS every FROM w, nm),
 f AS (SELECT *, 'source-digest: ' || payload_digest || {_N} || 'source-header: HTTP/1.1 200 OK' || {_N} || 'source-header: Content-Type: text/html; charset=utf-8' || {_N} || 'source-header: Content-Length: ' || n || {_N}
   || CASE WHEN title <> '' THEN 'title: ' || title || {_N} ELSE '' END
   || list_aggregate(list_prepend('', list_transform(list_filter(every, lambda x, i: list_position(every, x) = i), lambda x: 'outlink: ' || regexp_replace(x, '[\\r\\n]+', ' ', 'g') || {_N})), 'string_agg', '') AS fields FROM t),
