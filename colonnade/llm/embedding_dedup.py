@@ -212,8 +212,13 @@ def groups(vectors: DataFrame, least: float = 0.93) -> DataFrame:
     met = link_counts(classes.select("cid", "n", "label", F.size("embedding").alias("d"), "embedding"), least)
     total = met.groupBy("cid").agg(F.sum("links").alias("links"))
     comp = components(met.select(F.col("cid").alias("a"), F.col("root").alias("b")))
-    own = classes.select("_h1", "_h2", "cid", "n", "first").join(total, "cid", "left").join(comp, F.col("cid") == comp["node"], "left")
-    own = own.select("_h1", "_h2", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"), F.coalesce("root", "first").alias("component_id"))
+    own = classes.select("_h1", "_h2", "cid", "n", "first").join(total, "cid", "left").join(comp, F.col("cid") == comp["node"], "left").withColumn("root", F.coalesce("root", "cid"))
+    # a class without any id stands under a hash; a component with such a class takes its name from the others
+    odd = own.filter("first is null").select("root").distinct()
+    names = own.join(odd, "root", "left_semi").groupBy("root").agg(F.min("first").alias("name")).withColumn("odd", F.lit(True))
+    own = own.join(names, "root", "left")
+    name = F.when(F.col("odd"), F.col("name")).otherwise(F.col("root"))
+    own = own.select("_h1", "_h2", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"), name.alias("component_id"))
     out = named.select("vec_id", "_h1", "_h2").join(own, ["_h1", "_h2"], "left")
     comp_id = F.when(F.col("n_links").isNull(), F.col("vec_id")).otherwise(F.col("component_id"))
     return out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), comp_id.alias("component_id"), F.col("vec_id").eqNullSafe(comp_id).alias("kept"))

@@ -11,13 +11,14 @@ so a text of any length costs one pass over its characters.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField, StructType
 
 from colonnade.llm.base import FOLDS, hashed_sample, held_out, query, spread
 
@@ -160,25 +161,23 @@ def train(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> Model:
     return fit(sorted(rows, key=lambda r: (r[0], r[2].tobytes(), r[3].tobytes(), r[1])))
 
 
-def predictions(docs: DataFrame, model: Model, keep: tuple[str, ...]) -> DataFrame:
-    """The ``keep`` columns with ``_lang``, ``_score`` and ``_accepted``; null or letterless texts are ``und`` with score 0, not accepted."""
+def predictions(docs: DataFrame, model: Model, keep: Sequence[str] | None = None) -> DataFrame:
+    """``row`` (a struct of the ``keep`` columns, all by default, so no name clashes), ``lang_pred``, ``score`` and ``accepted``; null or letterless texts are ``und`` with score 0, not accepted."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            got = [model.predict(x.as_py()) for x in b.column("_text")]
+            got = [model.predict(x.as_py()) for x in b.column("text")]
             score = np.array([s for _, s in got])
             cols = [pa.array([x for x, _ in got], pa.string()), pa.array(score, pa.float64()), pa.array([x != UNKNOWN and s >= model.accept for x, s in got], pa.bool_())]
-            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in keep), *cols], [*keep, "_lang", "_score", "_accepted"])
+            yield pa.RecordBatch.from_arrays([b.column("row"), *cols], ["row", "lang_pred", "score", "accepted"])
 
-    src = spread(docs.withColumn("_text", F.col("text").cast("string")).select(*keep, *([] if "_text" in keep else ["_text"])))
-    types = dict(src.dtypes)
-    return src.mapInArrow(run, ", ".join([*(f"`{c}` {types[c]}" for c in keep), "`_lang` string", "`_score` double", "`_accepted` boolean"]))
+    src = spread(docs.select(F.struct(*[F.col(f"`{c}`") for c in keep or docs.columns]).alias("row"), F.col("text").cast("string").alias("text")))
+    added = [StructField("lang_pred", StringType()), StructField("score", DoubleType()), StructField("accepted", BooleanType())]
+    return src.mapInArrow(run, StructType([src.schema["row"], *added]))
 
 
 @query("op5_language")
 def op5_language(t):
     """Language of every document."""
     model = train(t.documents)
-    return predictions(t.documents, model, ("doc_id",)).select(
-        "doc_id", held_out(F.col("doc_id")).alias("held_out"), F.col("_lang").alias("lang_pred"), F.col("_score").alias("score"), F.col("_accepted").alias("accepted")
-    )
+    return predictions(t.documents, model, ["doc_id"]).select("row.doc_id", held_out(F.col("row.doc_id")).alias("held_out"), "lang_pred", "score", "accepted")

@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import heapq
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -23,6 +23,7 @@ import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from colonnade.llm.base import query, spread
 
@@ -78,6 +79,17 @@ class Vocabulary:
             open_ = open_[~hit & (self.ids[at] >= 0)]
         return out
 
+    def spans(self, *words: str) -> dict[int, np.ndarray]:
+        """For every length ``k``, ids of the pieces that start at each place of words of one length (a row each), -1 for none."""
+        w, n = len(words), len(words[0])
+        codes = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(w, n).astype(np.uint64)
+        codes = np.where(codes == BLANK, OWN_BLANK, np.where(codes == 32, BLANK, codes)).astype(np.uint64) + np.uint64(1)
+        h, ids = np.zeros((w, n), np.uint64), {}
+        for k in range(1, min(self.longest, n) + 1):
+            h = h[:, : n - k + 1] * np.uint64(_MULTIPLIER) + codes[:, k - 1 :]
+            ids[k] = self.find(np.ascontiguousarray(h))
+        return ids
+
     def expand(self, char: str) -> list[int]:
         """Ids of a character that is no piece: its bytes, or the unknown piece."""
         return [self.byte_ids[b] for b in char.encode("utf-8", "surrogatepass")] if self.byte_ids else [self.unknown]
@@ -111,43 +123,86 @@ def load(path: str = MODEL, scores: str = "rank") -> Vocabulary:
 
 def lattice(word: str, v: Vocabulary) -> list[list[tuple[int, int, int]]]:
     """For every end position the arcs ``(length, id, score)`` of a word, longest first; id -1 is a character that is no piece."""
-    text = ["▁" if c == " " else (None if c == "▁" else c) for c in word]
-    arcs: list[list[tuple[int, int, int]]] = [[] for _ in range(len(text) + 1)]
-    for end in range(1, len(text) + 1):
-        for n in range(min(v.longest, end), 0, -1):
-            part = text[end - n : end]
-            i = -1 if None in part else v.pieces.get("".join(part), -1)
-            if i >= 0:
-                arcs[end].append((n, i, int(v.scores[i])))
-            elif n == 1:
-                arcs[end].append((1, -1, v.unknown_score))
+    arcs: list[list[tuple[int, int, int]]] = [[] for _ in range(len(word) + 1)]
+    ids = v.spans(word)
+    for k in sorted(ids, reverse=True):
+        own, at = ids[k][0], np.flatnonzero(ids[k][0] >= 0)
+        for start, i, s in zip(at.tolist(), own[at].tolist(), v.scores[own[at]].tolist()):
+            arcs[start + k].append((k, i, int(s)))
+        if k == 1:
+            for start in np.flatnonzero(own < 0).tolist():
+                arcs[start + 1].append((1, -1, v.unknown_score))
     return arcs
 
 
+class _Paths:
+    """Hypotheses of the search as back pointers: piece, parent, depth and a farther ancestor to compare two of them in few steps."""
+
+    def __init__(self) -> None:
+        self.parent, self.far, self.depth, self.length, self.id = [0], [0], [0], [0], [-1]
+
+    def add(self, parent: int, length: int, i: int) -> int:
+        far = self.far[parent]
+        same = self.depth[parent] - self.depth[far] == self.depth[far] - self.depth[self.far[far]]
+        self.far.append(self.far[far] if same else parent)
+        self.parent.append(parent)
+        self.depth.append(self.depth[parent] + 1)
+        self.length.append(length)
+        self.id.append(i)
+        return len(self.parent) - 1
+
+    def _at(self, node: int, depth: int) -> int:
+        while self.depth[node] > depth:
+            node = self.far[node] if self.depth[self.far[node]] >= depth else self.parent[node]
+        return node
+
+    def before(self, a: int, b: int) -> bool:
+        """Whether ``a`` comes first of two equal scores: at their first difference, seen from the end of the word, the longer piece; a prefix before its extension."""
+        depth = min(self.depth[a], self.depth[b])
+        x, y = self._at(a, depth), self._at(b, depth)
+        if x == y:
+            return self.depth[a] < self.depth[b]
+        while self.parent[x] != self.parent[y]:
+            if self.far[x] != self.far[y]:
+                x, y = self.far[x], self.far[y]
+            else:
+                x, y = self.parent[x], self.parent[y]
+        return self.length[x] > self.length[y]
+
+
+class _Open:
+    """A hypothesis in the heap, ordered by what it can reach at best, then by its path."""
+
+    __slots__ = ("rest", "node", "at", "own", "paths")
+
+    def __init__(self, rest: int, node: int, at: int, own: int, paths: _Paths):
+        self.rest, self.node, self.at, self.own, self.paths = rest, node, at, own, paths
+
+    def __lt__(self, other: _Open) -> bool:
+        return self.rest < other.rest if self.rest != other.rest else self.paths.before(self.node, other.node)
+
+
 def n_best(word: str, v: Vocabulary, n: int) -> list[tuple[int, list[int]]]:
     """The ``n`` best ``(score, ids)`` of a word, best first: forward Viterbi, then A-star from the end."""
     arcs = lattice(word, v)
     ahead = [0] + [NONE] * len(word)
     for end in range(1, len(word) + 1):
         ahead[end] = max(ahead[end - k] + s for k, _, s in arcs[end])
-    heap: list[tuple[int, tuple[int, ...], int, int, tuple[int, ...]]] = [(-ahead[-1], (), len(word), 0, ())]
+    paths = _Paths()
+    heap = [_Open(-ahead[-1], 0, len(word), 0, paths)]
     out = []
     while heap and len(out) < n:
-        rest, cut, at, own, ids = heapq.heappop(heap)
-        if at == 0:
-            out.append((-rest, [i for i, c in zip(reversed(ids), _starts(cut)) for i in (v.expand(word[c]) if i < 0 else [i])]))
+        top = heapq.heappop(heap)
+        if top.at == 0:
+            ids, node, start = [], top.node, 0
+            while node:
+                i = paths.id[node]
+                ids += v.expand(word[start]) if i < 0 else [i]
+                start, node = start + paths.length[node], paths.parent[node]
+            out.append((-top.rest, ids))
             continue
-        for k, i, s in arcs[at]:
-            heapq.heappush(heap, (-(own + s + ahead[at - k]), (*cut, -k), at - k, own + s, (*ids, i)))
-    return out
-
-
-def _starts(cut: tuple[int, ...]) -> list[int]:
-    """First characters of the pieces whose negative lengths, from the end, are ``cut``."""
-    at, out = 0, []
-    for k in reversed(cut):
-        out.append(at)
-        at -= k
+        for k, i, s in arcs[top.at]:
+            heapq.heappush(heap, _Open(-(top.own + s + ahead[top.at - k]), paths.add(top.node, k, i), top.at - k, top.own + s, paths))
     return out
 
 
@@ -202,13 +257,8 @@ class Encoder:
     def _together(self, words: list[str], n: int) -> None:
         """Words of one length: a forward Viterbi pass with the best and the second-best way to every position."""
         v, w = self.v, len(words)
-        codes = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(w, n).astype(np.uint64)
-        codes = np.where(codes == BLANK, OWN_BLANK, np.where(codes == 32, BLANK, codes)).astype(np.uint64) + np.uint64(1)
-        h, ids, cost = np.zeros((w, n), np.uint64), {}, {}
-        for k in range(1, min(v.longest, n) + 1):
-            h = h[:, : n - k + 1] * np.uint64(_MULTIPLIER) + codes[:, k - 1 :]
-            ids[k] = v.find(np.ascontiguousarray(h))
-            cost[k] = np.where(ids[k] >= 0, v.scores[ids[k]], v.unknown_score if k == 1 else NONE // 2)
+        ids = v.spans(*words)
+        cost = {k: np.where(x >= 0, v.scores[x], v.unknown_score if k == 1 else NONE // 2) for k, x in ids.items()}
         best, loss, last = np.zeros((n + 1, w), np.int64), np.zeros((n + 1, w), np.int64), np.zeros((n + 1, w), np.int64)
         for end in range(1, n + 1):
             top, second, took = np.full(w, NONE), np.full(w, NONE), np.zeros(w, np.int64)
@@ -313,25 +363,26 @@ def decode(ids: list[int] | np.ndarray, v: Vocabulary) -> str:
         return raw.decode("utf-8", "replace")
 
 
-SCHEMA = "`ids` array<int>, `piece_score` double, `alternatives` array<struct<score:double, edits:array<struct<place:int, pieces:int, ids:array<int>>>>>, `decoded` string"
+SCHEMA = "ids array<int>, piece_score double, alternatives array<struct<score:double, edits:array<struct<place:int, pieces:int, ids:array<int>>>>>, decoded string"
 
 
-def encode(docs: DataFrame, vocabulary: Vocabulary, n: int = 3, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """The ``keep`` columns with ``ids`` of the best segmentation, its log score, up to ``n - 1`` further ones as edits, and the text decoded from ``ids``.
+def encode(docs: DataFrame, vocabulary: Vocabulary, n: int = 3, keep: Sequence[str] | None = None) -> DataFrame:
+    """``row`` (a struct of the ``keep`` columns, all by default, so no name clashes) with ``ids`` of the best segmentation, its log score,
+    up to ``n - 1`` further ones as edits, and the text decoded from ``ids``.
 
     Null texts have null in all of them; an empty text has no ids and no alternatives. Whole texts
-    are encoded; a task holds ``CHUNK`` texts and ``MEMORY`` words. The names of the results must not be in ``keep``.
+    are encoded; a task holds ``CHUNK`` texts and ``MEMORY`` words. A text without blanks is one word of any length.
     """
     edit = pa.struct([("place", pa.int32()), ("pieces", pa.int32()), ("ids", pa.list_(pa.int32()))])
     other = pa.list_(pa.struct([("score", pa.float64()), ("edits", pa.list_(edit))]))
-    names = [*keep, "ids", "piece_score", "alternatives", "decoded"]
+    names = ["row", "ids", "piece_score", "alternatives", "decoded"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = Encoder(vocabulary)
         for batch in batches:
             for a in range(0, batch.num_rows, CHUNK):
                 b = batch.slice(a, CHUNK)
-                texts = b.column("_text").to_pylist()
+                texts = b.column("text").to_pylist()
                 null = np.array([x is None for x in texts], bool)
                 flat, sizes, score, more = enc.encode([x or "" for x in texts], n)
                 ends = np.concatenate([[0], np.cumsum(sizes)])
@@ -340,15 +391,14 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, n: int = 3, keep: tuple[str,
                 back = [None if z else decode(plain[i:j], vocabulary) for z, i, j in zip(null, ends, ends[1:])]
                 alt = [None if z else [{"score": s / UNIT, "edits": [{"place": p, "pieces": k, "ids": x} for p, k, x in e]} for s, e in m] for z, m in zip(null, more)]
                 own = pa.array(np.array(score, np.float64) / UNIT, pa.float64(), mask=null)
-                yield pa.RecordBatch.from_arrays([*(b.column(c) for c in keep), ids, own, pa.array(alt, other), pa.array(back, pa.string())], names)
+                yield pa.RecordBatch.from_arrays([b.column("row"), ids, own, pa.array(alt, other), pa.array(back, pa.string())], names)
 
-    src = spread(docs.withColumn("_text", F.col("text").cast("string")).select(*keep, *([] if "_text" in keep else ["_text"])))
-    types = dict(src.dtypes)
-    return src.mapInArrow(run, ", ".join([*(f"`{c}` {types[c]}" for c in keep), SCHEMA]))
+    src = spread(docs.select(F.struct(*[F.col(f"`{c}`") for c in keep or docs.columns]).alias("row"), F.col("text").cast("string").alias("text")))
+    return src.mapInArrow(run, StructType([src.schema["row"], *StructType.fromDDL(SCHEMA).fields]))
 
 
 @query("op1_pieces")
 def op1_pieces(t):
     """The three best segmentations of every document, and whether decoding gives its text back."""
-    out = encode(t.documents, load(), 3, ("doc_id", "text"))
-    return out.select("doc_id", F.size("ids").alias("n_pieces"), "ids", "piece_score", "alternatives", F.col("decoded").eqNullSafe(F.col("text")).alias("round_trip"))
+    out = encode(t.documents, load(), 3, ["doc_id", "text"])
+    return out.select("row.doc_id", F.size("ids").alias("n_pieces"), "ids", "piece_score", "alternatives", F.col("decoded").eqNullSafe(F.col("row.text")).alias("round_trip"))

@@ -86,20 +86,38 @@ def luhn_sum(digits: Column) -> Column:
     return F.aggregate(one, F.lit(0), lambda s, v: s + v)
 
 
+def _card_splits() -> list[str]:
+    """Patterns ``(before)(card)(after)`` that leave up to six digits aside, whole groups only, longest card first."""
+    out = []
+    for total in range(1, 7):
+        for before in range(total + 1):
+            after = total - before
+            lead = rf"(?:[0-9][ -]?){{{before - 1}}}[0-9][ -]" if before else ""
+            tail = rf"[ -][0-9](?:[ -]?[0-9]){{{after - 1}}}" if after else ""
+            out.append(rf"\A({lead})([0-9](?:[ -]?[0-9]){{12,18}})({tail})\z")
+    return out
+
+
 def _card(x: Column, key: str) -> Column:
-    """All digits but the last are permuted, and the last is the check digit again."""
+    """All digits but the last are permuted, and the last is the check digit again. A number that fails the check may be a card
+    beside an expiry, a code or a list number: the longest run of its digit groups that passes is the card."""
     def new(s):
         d, n = s["d"], F.length(s["d"]) - 1
         u = F.floor(n / 2).cast("int")
         def write(l, r):
             body = F.concat(_zeros(l, u), _zeros(r, n - u))
             check = F.pmod(F.lit(10) - luhn_sum(F.concat(body, F.lit("0"))) % 10, F.lit(10))
-            return _refill(x, F.concat(body, check.cast("string")))
+            return F.concat(s["before"], _refill(s["card"], F.concat(body, check.cast("string"))), s["after"])
         power = lambda e: F.pow(F.lit(10.0), e).cast("long")
         swapped = _pair(F.substring(d, F.lit(1), u).cast("long"), F.substring(d, u + 1, n - u).cast("long"), power(u), power(n - u), key, F.concat(F.lit("card"), n.cast("string")), write)
-        return F.when(luhn_sum(d) % 10 == 0, swapped).otherwise(x)
+        return F.when(d.isNotNull(), swapped).otherwise(x)
 
-    return _let({"d": _digits(x)}, new)
+    valid = lambda c: luhn_sum(_digits(c)) % 10 == 0
+    part = lambda p, g: F.call_function("regexp_extract", x, p, F.lit(g))
+    cut = F.transform(F.array(*[F.lit(p) for p in _card_splits()]), lambda p: F.struct(part(p, 1).alias("before"), part(p, 2).alias("card"), part(p, 3).alias("after")))
+    whole = F.struct(F.lit("").alias("before"), x.alias("card"), F.lit("").alias("after"))
+    found = F.when(valid(x), whole).otherwise(F.get(F.filter(cut, lambda c: (c["card"] != "") & valid(c["card"])), F.lit(0)))
+    return _let({"f": found}, lambda s: _let({"before": s["f"]["before"], "card": s["f"]["card"], "after": s["f"]["after"], "d": _digits(s["f"]["card"])}, new))
 
 
 def _phone(x: Column, key: str) -> Column:
@@ -191,30 +209,30 @@ def pseudonym(x: Column, key: str = KEY) -> Column:
 
 
 def pseudonymise(docs: DataFrame, key: str = KEY, report: bool = False) -> DataFrame:
-    """``docs`` with every valid value in ``text`` replaced; ``report`` adds ``_found``, the number of replaced values.
+    """``docs`` with every valid value in ``text`` replaced; with ``report``, ``row`` (a struct of the columns) and ``n_found``, the number of replaced values.
 
     Whole texts are searched; what stands between the values, invalid candidates, null and empty
-    texts stay as they are, and so do all other columns. Column names with a leading underscore and ``_hits``,
-    ``_gaps`` or ``_new`` are taken. ``n_chars``, if there, counts the new text (an IPv4 address may get longer).
+    texts stay as they are, and so do all other columns, whatever their names. ``n_chars``, if there, counts the new
+    text (an IPv4 address may get longer). Repeated rows come out alike.
     """
     cols = docs.columns
     has = F.coalesce(F.col("text").rlike(ANY), F.lit(False))
     none = F.expr("cast(array() as array<string>)")
-    out = spread(docs).withColumn("_hits", F.when(has, F.regexp_extract_all("text", F.lit(ANY), F.lit(0))).otherwise(none))
-    out = out.withColumn("_new", F.transform("_hits", lambda x: pseudonym(x, key)))
-    some = F.size("_hits") > 0
-    gaps = F.split("text", ANY)
-    text = F.array_join(F.transform(gaps, lambda g, i: F.concat(g, F.coalesce(F.get("_new", i), F.lit("")))), "")
-    out = out.withColumn("text", F.when(some, text).otherwise(F.col("text")))
+    hits = F.when(has, F.regexp_extract_all("text", F.lit(ANY), F.lit(0))).otherwise(none)
+    out = spread(docs).select(F.struct(*[F.col(f"`{c}`") for c in cols]).alias("row"), F.col("text").alias("old"), hits.alias("hits"))
+    out = out.withColumn("new", F.transform("hits", lambda x: pseudonym(x, key)))
+    text = F.array_join(F.transform(F.split("old", ANY), lambda g, i: F.concat(g, F.coalesce(F.get("new", i), F.lit("")))), "")
+    changed = F.zip_with("hits", "new", lambda x, y: (x != y).cast("int"))
+    found = F.aggregate(changed, F.lit(0), lambda s, v: s + v).cast("long")
+    out = out.select("row", F.when(F.size("hits") > 0, text).otherwise(F.col("old")).alias("written"), found.alias("n_found"))
+    own = {"text": F.col("written")}
     if "n_chars" in cols:
-        out = out.withColumn("n_chars", F.when(some, F.length("text").cast("long")).otherwise(F.col("n_chars")))
-    if report:
-        changed = F.zip_with("_hits", "_new", lambda x, y: (x != y).cast("int"))
-        out = out.withColumn("_found", F.aggregate(changed, F.lit(0), lambda s, v: s + v).cast("long"))
-    return out.select(*cols, *(["_found"] if report else []))
+        own["n_chars"] = F.when(F.col("n_found") > 0, F.length("written").cast("long")).otherwise(F.col("row.n_chars"))
+    fields = [own.get(c, F.col("row").getField(c)).alias(c) for c in cols]
+    return out.select(F.struct(*fields).alias("row"), "n_found") if report else out.select(*fields)
 
 
 @query("op10_pseudonyms")
 def op10_pseudonyms(t):
     """Every document with its values replaced."""
-    return pseudonymise(t.documents, report=True).select("doc_id", "text", F.col("_found").alias("n_found"))
+    return pseudonymise(t.documents, report=True).select("row.doc_id", "row.text", "n_found")

@@ -65,7 +65,7 @@ def fill(ring: Ring, counts: dict[int, int], room: list[int]) -> list[tuple[int,
 
 
 def assign(df: DataFrame, key: str, shards: int, slack: float = 0.0, nodes: int = VIRTUAL_NODES) -> DataFrame:
-    """``df`` with ``_shard`` and ``_slot`` (0, 1, ... inside each shard).
+    """``row`` (a struct of ``df``'s columns, so no name clashes), ``shard`` and ``slot`` (0, 1, ... inside each shard).
 
     The key's hash places a row; a null key has a hash too. Rows of one key stand next to each other in
     the ring, told apart by their row number in the input, and overflow like others, so a key that
@@ -78,7 +78,8 @@ def assign(df: DataFrame, key: str, shards: int, slack: float = 0.0, nodes: int
     def arc(p: pd.Series) -> pd.Series:
         return pd.Series(ring.arcs(p.to_numpy()).astype(np.int32))
 
-    placed = spread(df).withColumns({"_pos": F.xxhash64(key), "_row": F.monotonically_increasing_id()})
+    own = F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row")
+    placed = spread(df).select(own, F.xxhash64(key).alias("_pos"), F.monotonically_increasing_id().alias("_row"))
     rows = sliced(placed.withColumn("_arc", arc("_pos")), ["_pos", "_row"])
     part = rows.groupBy("_arc", "_slice").agg(F.count(F.lit(1)).alias("_n"), F.min("_seq").alias("_first"))
     counts = {r["_arc"]: r["n"] for r in part.groupBy("_arc").agg(F.sum("_n").alias("n")).collect()}  # one row per arc at most
@@ -89,7 +90,7 @@ def assign(df: DataFrame, key: str, shards: int, slack: float = 0.0, nodes: int
     plan = spark.createDataFrame(segments, "_arc int, _low long, _high long, _shard int, _base long")  # at most arcs x shards rows
     ranked = rows.join(part, ["_arc", "_slice"]).withColumn("_rank", F.col("_seq") + F.col("_add"))
     met = ranked.join(F.broadcast(plan), "_arc").filter((F.col("_rank") >= F.col("_low")) & (F.col("_rank") < F.col("_high")))
-    return met.select(*df.columns, "_shard", (F.col("_base") + F.col("_rank") - F.col("_low")).alias("_slot"))
+    return met.select("row", F.col("_shard").alias("shard"), (F.col("_base") + F.col("_rank") - F.col("_low")).alias("slot"))
 
 
 @query("op3_ring_shards")
@@ -98,4 +99,4 @@ def op3_ring_shards(t):
     text = F.col("text").cast("binary")
     narrow = t.documents.select("doc_id", (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("long").alias("size"), F.crc32(text).alias("text_crc32"))
     out = assign(narrow, "doc_id", 8)
-    return out.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), F.col("_shard").alias("shard"), F.col("_slot").alias("slot"), F.lit(None).cast("int").alias("grown_shard"))
+    return out.select("row.*", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))

@@ -180,7 +180,7 @@ def groups(docs: DataFrame, shingle: int = 4, max_bits: int = 4) -> DataFrame:
     nothing but nulls has a null id. Texts without words have fingerprint zero and link like any other.
     """
     checkpoint_root(docs.sparkSession)
-    own = docs.withColumns(row_key(F.col("doc_id"), F.col("text")))
+    own = docs.select("doc_id", "text", *[c.alias(n) for n, c in row_key(F.col("doc_id"), F.col("text")).items()])
     rows = fingerprints(own, shingle, ("doc_id", "_k1", "_k2")).checkpoint()
     nodes = rows.groupBy("fp").agg(F.min("doc_id").alias("first"))
     comp = components(links(nodes.select("fp"), max_bits))
@@ -199,11 +199,12 @@ def simhash_dedup(docs: DataFrame, shingle: int = 4, max_bits: int = 4) -> DataF
     mine = g.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
     best = mine.groupBy("component_id", F.when(F.col("component_id").isNull(), F.col("fp")).alias("f")).agg(F.min(F.struct("_k1", "_k2")).alias("k"))
     keys = best.select("k._k1", "k._k2")
-    keyed = docs.withColumns(row_key(F.col("doc_id"), F.col("text"))).join(keys, ["_k1", "_k2"], "left_semi")
+    named = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *[c.alias(n) for n, c in row_key(F.col("doc_id"), F.col("text")).items()])
+    keyed = named.join(keys, ["_k1", "_k2"], "left_semi")
     repeated = g.groupBy("_k1", "_k2").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     if not repeated.isEmpty():
         keyed = keyed.dropDuplicates(["_k1", "_k2"])
-    return keyed.select(*docs.columns)
+    return keyed.select("row.*")
 
 
 @query("op9_simhash")

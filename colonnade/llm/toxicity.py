@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
 from itertools import combinations
 
@@ -22,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from colonnade.llm.base import FOLDS, hashed_sample, held_out, query, spread
 
@@ -358,33 +359,32 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS)
     return fit(sorted(zip(got["y"].to_pylist(), got["cal"].to_pylist(), got["units"].to_pylist()), key=lambda r: (r[0], r[2])))
 
 
-def scores(docs: DataFrame, model: Model, keep: tuple[str, ...]) -> DataFrame:
-    """The ``keep`` columns with ``_score``. Null and empty texts score as a text without any word."""
+def scores(docs: DataFrame, model: Model, keep: Sequence[str] | None = None) -> DataFrame:
+    """``row`` (a struct of the ``keep`` columns, all by default, so no name clashes) and ``score``. Null and empty texts score as a text without any word."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(model)
         for b in batches:
-            texts, f = b.column("_text"), []
+            texts, f = b.column("text"), []
             for a in range(0, len(texts), CHUNK):
                 f.append(scorer.margins(texts.slice(a, CHUNK).to_pylist()))
             own = model.score(np.concatenate(f)) if f else np.zeros(0)
-            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in keep), pa.array(own, type=pa.float64())], [*keep, "_score"])
+            yield pa.RecordBatch.from_arrays([b.column("row"), pa.array(own, type=pa.float64())], ["row", "score"])
 
-    src = spread(docs.withColumn("_text", F.col("text").cast("string")).select(*keep, *([] if "_text" in keep else ["_text"])))
-    types = dict(src.dtypes)
-    return src.mapInArrow(run, ", ".join([*(f"`{c}` {types[c]}" for c in keep), "`_score` double"]))
+    src = spread(docs.select(F.struct(*[F.col(f"`{c}`") for c in keep or docs.columns]).alias("row"), F.col("text").cast("string").alias("text")))
+    return src.mapInArrow(run, StructType([src.schema["row"], StructField("score", DoubleType())]))
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, per_class: int = SAMPLE_PER_CLASS) -> DataFrame:
     """``docs`` without the rows that score ``threshold`` or more; all columns stay, clashing names too."""
     model = train(docs, labels, per_class)
-    return scores(docs, model, tuple(docs.columns)).filter(F.col("_score") < threshold).drop("_score")
+    return scores(docs, model).filter(F.col("score") < threshold).select("row.*")
 
 
 @query("op6_toxicity")
 def op6_toxicity(t):
     """Score and decision for every document."""
     model = train(t.documents, t.labels)
-    return scores(t.documents, model, ("doc_id",)).select(
-        "doc_id", held_out(F.col("doc_id")).alias("held_out"), F.col("_score").alias("score"), (F.col("_score") >= 0.5).cast("int").alias("predicted")
+    return scores(t.documents, model, ["doc_id"]).select(
+        "row.doc_id", held_out(F.col("row.doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
     )
