@@ -40,8 +40,8 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The columns of documents with the best segmentation, its score and two further ones."""
-    out = encode(docs, load(), 3, tuple(docs.columns))
-    return out.select(*docs.columns, F.size("ids").alias("n_pieces"), "ids", "piece_score", "alternatives", F.col("decoded").eqNullSafe(F.col("text")).alias("round_trip"))
+    out = encode(docs, load(), 3)
+    return out.select("row.*", F.size("ids").alias("n_pieces"), "ids", "piece_score", "alternatives", F.col("decoded").eqNullSafe(F.col("row.text")).alias("round_trip"))
 
 
 STAGES = [
