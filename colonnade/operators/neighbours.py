@@ -116,28 +116,6 @@ def nearest_facility(places: DataFrame, facilities: DataFrame) -> DataFrame:
     return places.join(best, ["lat", "lon"]).select("id", "facility", "km")
 
 
-def knn_sorted_projections(df: DataFrame, id: str, vector: str, dim: int, k: int, lines: int = 4, seed: int = 7) -> DataFrame:
-    """Approximate neighbours in many dimensions.
-
-    The rows are sorted along a few random directions; rows that come close on any of them
-    are compared by their full distance. Cost is rows x lines x k, whatever the density.
-    """
-    import numpy as np
-
-    rng = np.random.default_rng(seed)
-    base = df.select(F.col(id).alias("id"), F.col(vector).cast("array<double>").alias("v"))
-    found = None
-    for _ in range(lines):
-        direction = F.array(*[F.lit(float(c)) for c in rng.standard_normal(dim)])
-        p = base.withColumn("p", F.aggregate(F.zip_with("v", direction, lambda a, b: a * b), F.lit(0.0), lambda a, b: a + b))
-        near = framed(p, [], ["p", "id"], k, k, {"near": lambda w, f: F.collect_list(F.struct("id", "v")).over(f)})
-        c = near.select("id", "v", F.explode("near").alias("n")).filter("n.id != id")
-        sq = F.aggregate(F.zip_with("v", "n.v", lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda a, b: a + b)
-        c = c.select("id", F.col("n.id").alias("neighbour"), F.sqrt(sq).alias("dist"))
-        found = c if found is None else found.unionByName(c)
-    return top_rows_per_key(found.dropDuplicates(["id", "neighbour"]), ["id"], [F.col("dist"), F.col("neighbour")], k)
-
-
 def vote(neighbours: DataFrame, labels: DataFrame, id: str, label: str) -> DataFrame:
     """Majority label among the neighbours; the smaller label wins a tie."""
     votes = neighbours.join(labels.select(F.col(id).alias("neighbour"), F.col(label).alias("_l")), "neighbour")

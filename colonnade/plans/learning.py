@@ -17,10 +17,11 @@ from pyspark.sql.window import Window as W
 
 from colonnade.operators import learning as lr
 from colonnade.operators import neighbours as nb
+from colonnade.operators import vectors
 from colonnade.operators.estimators import GaussianBumps
 from colonnade.operators.relational import one_row
 from colonnade.operators.stats import poisson_weight
-from colonnade.plans.neighbours import knn_sql, plane
+from colonnade.plans.neighbours import knn_vectors_sql, plane
 from colonnade.registry import query
 
 LINE = ["l_quantity", "l_discount", "l_tax", "l_linenumber"]
@@ -494,10 +495,10 @@ def ml_two_fold(t):
     return results(t, [(2, float(m.avgMetrics[0]), float(m.stdMetrics[0]))], "folds int, mean double, std double")
 
 
-@query("ml_leave_one_out", f"SELECT count(*) AS n, round(avg((a.label = b.label)::INT), 6) AS accuracy FROM {knn_sql(1)} k JOIN embeddings a ON k.id = a.vec_id JOIN embeddings b ON k.neighbour = b.vec_id")
+@query("ml_leave_one_out", f"SELECT count(*) AS n, round(avg((a.label = b.label)::INT), 6) AS accuracy FROM {knn_vectors_sql(1)} k JOIN embeddings a ON k.id = a.vec_id JOIN embeddings b ON k.neighbour = b.vec_id")
 def ml_leave_one_out(t):
     """One nearest neighbour never includes the row itself, so its accuracy is the leave-one-out score."""
-    k = nb.knn(t.embeddings, "vec_id", *plane(t), 1)
+    k = vectors.knn_join(t.embeddings, "vec_id", "embedding", 1)
     p = nb.vote(k, t.embeddings, "vec_id", "label").join(t.embeddings.select(F.col("vec_id").alias("id"), "label"), "id")
     return p.agg(F.count(F.lit(1)).alias("n"), F.round(F.avg((F.col("label") == F.col("prediction")).cast("double")), 6).alias("accuracy"))
 
@@ -581,11 +582,11 @@ def ml_multinomial_nb(t):
 
 @query(
     "ml_knn_classify",
-    f"""WITH v AS (SELECT k.id, e.label, count(*) AS n FROM {knn_sql(5)} k JOIN embeddings e ON k.neighbour = e.vec_id GROUP BY 1, 2)
+    f"""WITH v AS (SELECT k.id, e.label, count(*) AS n FROM {knn_vectors_sql(5)} k JOIN embeddings e ON k.neighbour = e.vec_id GROUP BY 1, 2)
         SELECT id, arg_max(label, (n, -label)) AS prediction FROM v GROUP BY 1""",
 )
 def ml_knn_classify(t):
-    return nb.vote(nb.knn(t.embeddings, "vec_id", *plane(t), 5), t.embeddings, "vec_id", "label")
+    return nb.vote(vectors.knn_join(t.embeddings, "vec_id", "embedding", 5), t.embeddings, "vec_id", "label")
 
 
 @query(

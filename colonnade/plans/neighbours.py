@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from colonnade.functions import geo
 from colonnade.operators import neighbours as nb
+from colonnade.operators import vectors
 from colonnade.registry import query
 
 _P = "(SELECT vec_id AS id, label, embedding[1]::DOUBLE AS x, embedding[2]::DOUBLE AS y FROM embeddings)"
@@ -16,6 +17,13 @@ def knn_sql(k):
         row_number() OVER (PARTITION BY a.id ORDER BY (b.x - a.x) * (b.x - a.x) + (b.y - a.y) * (b.y - a.y), b.id)::INT AS rank FROM {_P} a JOIN {_P} b ON a.id <> b.id) WHERE rank <= {k})"""
 
 
+def knn_vectors_sql(k):
+    """The nearest in all dimensions."""
+    e = "(SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)"
+    return f"""(SELECT id, neighbour, rank FROM (SELECT a.vec_id AS id, b.vec_id AS neighbour, row_number() OVER (PARTITION BY a.vec_id ORDER BY list_distance(a.e, b.e), b.vec_id)::INT AS rank
+        FROM {e} a JOIN {e} b ON a.vec_id <> b.vec_id) WHERE rank <= {k})"""
+
+
 def plane(t):
     return F.get("embedding", F.lit(0)), F.get("embedding", F.lit(1))
 
@@ -49,7 +57,8 @@ def knn_partial(t):
 
 @query("knn_approx")
 def knn_approx(t):
-    return nb.knn_sorted_projections(t.embeddings, "vec_id", "embedding", 64, 5)
+    """Nearly the five nearest in all dimensions, for the stated queries (ids divisible by 20) against every row."""
+    return vectors.knn_hyperplanes(t.embeddings, "vec_id", "embedding", 5, F.col("vec_id") % 20 == 0)
 
 
 _W = """(SELECT vec_id, j::INT AS j, embedding[2 * j + 1]::DOUBLE AS x, embedding[2 * j + 2]::DOUBLE AS y FROM embeddings, (SELECT unnest(range(32)) AS j))"""

@@ -44,15 +44,3 @@ def test_nearest_facility(spark):
         km = 2 * 6371 * np.arcsin(np.sqrt(h))
         assert got.loc[i, "facility"] == km.idxmin()
         assert got.loc[i, "km"] == pytest.approx(km.min())
-
-
-def test_sorted_projections_find_most(spark):
-    rng = np.random.default_rng(3)
-    v = rng.normal(size=(300, 3))
-    df = spark.createDataFrame([(i, [float(c) for c in r]) for i, r in enumerate(v)], "id long, v array<double>")
-    got = nb.knn_sorted_projections(df, "id", "v", 3, 5, lines=6).toPandas()
-    assert got.groupby("id").size().eq(5).all()
-    d = np.linalg.norm(v[:, None] - v[None], axis=2)
-    np.fill_diagonal(d, np.inf)
-    hit = np.mean([d[r.id].argmin() in got[got.id == r.id].neighbour.tolist() for r in got.itertuples()])
-    assert hit > 0.6
