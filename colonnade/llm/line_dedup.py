@@ -13,7 +13,7 @@ Tokens are shuffled only for leaves that hold different lines of different docum
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from colonnade.llm.base import bitmap, marked, query, row_key, spread
@@ -30,27 +30,26 @@ LEAST_CONSTANT, GENERAL_SHARE, MASKED_SHARE = 5, 0.7, 0.5
 BITMAP_WORDS = 1 << 15
 
 
-def _lines(docs: DataFrame) -> DataFrame:
-    """Per row: the row keys, ``o`` (which document comes first) and ``lines``, structs of ``i``, ``n``, ``lead``, ``t0``, ``tokens`` of its lines that hold tokens."""
+def _lines(docs: DataFrame, some=None, *carry: Column) -> DataFrame:
+    """Per row: the row keys, ``o`` (which document comes first) and ``lines``, structs of ``i``, ``n``, ``lead``, ``t0``, ``tokens`` of its lines that hold tokens.
+
+    ``some`` keeps lines by ``n`` and ``lead`` before more is done with them; it may use the ``carry`` columns.
+    """
     own = docs.select("doc_id", F.col("text").cast("string").alias("text"), *[c.alias(n) for n, c in row_key(F.col("doc_id"), F.col("text")).items()])
     raw = lambda x: F.array_remove(F.split(x, BLANK), "")
     split = F.transform(F.split(F.coalesce("text", F.lit("")), "\n"), lambda x, i: F.struct(i.alias("i"), raw(x).alias("raw"), x.rlike("[0-9]").alias("digit")))
     mask = lambda t: F.transform(t, lambda w: F.when(w.rlike("[0-9]"), FIELD).otherwise(w))
     full = F.filter(split, lambda s: F.size(s["raw"]) > 0)
-    # only a line with a digit has tokens to mask
-    masked = F.transform(full, lambda s: F.struct(s["i"], s["raw"], F.when(s["digit"], mask(s["raw"])).otherwise(s["raw"]).alias("tokens"), s["digit"]))
-    plain = lambda s: ~s["digit"] | (F.size(F.array_remove(s["tokens"], FIELD)) >= MASKED_SHARE * F.size(s["tokens"]))
-    named = F.transform(
-        masked,
-        lambda s: F.struct(
-            s["i"], F.size(s["raw"]).alias("n"),
-            F.xxhash64(F.size(s["tokens"]), F.slice(s["tokens"], 1, DEPTH)).alias("lead"),
-            F.xxhash64(F.when(plain(s), s["tokens"]).otherwise(s["raw"])).alias("t0"),
-            s["tokens"],
-        ),
-    )
+    # only a line with a digit has tokens to mask; the leading ones are masked first, for the leaf
+    head = lambda s: F.when(s["digit"], mask(F.slice(s["raw"], 1, DEPTH))).otherwise(F.slice(s["raw"], 1, DEPTH))
+    placed = F.transform(full, lambda s: F.struct(s["i"], s["raw"], s["digit"], F.size(s["raw"]).alias("n"), F.xxhash64(F.size(s["raw"]), head(s)).alias("lead")))
+    if some is not None:
+        placed = F.filter(placed, some)
+    masked = F.transform(placed, lambda s: F.struct(s["i"], s["raw"], s["digit"], s["n"], s["lead"], F.when(s["digit"], mask(s["raw"])).otherwise(s["raw"]).alias("tokens")))
+    plain = lambda s: ~s["digit"] | (F.size(F.array_remove(s["tokens"], FIELD)) >= MASKED_SHARE * s["n"])
+    named = F.transform(masked, lambda s: F.struct(s["i"], s["n"], s["lead"], F.xxhash64(F.when(plain(s), s["tokens"]).otherwise(s["raw"])).alias("t0"), s["tokens"]))
     last = F.lit((1 << 63) - 1)  # rows without id come last and count as one document
-    return spread(own).select("_k1", "_k2", F.coalesce(F.col("doc_id").cast("long"), last).alias("o"), named.alias("lines"))
+    return spread(own).withColumns({f"_c{i}": c for i, c in enumerate(carry)}).select("_k1", "_k2", F.coalesce(F.col("doc_id").cast("long"), last).alias("o"), named.alias("lines"))
 
 
 def _templates(near: DataFrame) -> DataFrame:
@@ -79,8 +78,8 @@ def dropped_lines(docs: DataFrame) -> DataFrame:
     seen = marks.select("o", F.explode(once).alias("s")).groupBy("s.lead", "s.t0", "s.n").agg(F.min("o").alias("first"), F.max("o").alias("last")).checkpoint()
     leaves = seen.filter(F.col("n") > LEAST_CONSTANT).groupBy("lead").agg(F.min("first").alias("first"), F.max("last").alias("last"), F.count(F.lit(1)).alias("kinds"))
     open_ = bitmap(leaves.filter("first <> last and kinds > 1").select("lead"), BITMAP_WORDS)
-    kept = F.filter("lines", lambda s: (s["n"] > LEAST_CONSTANT) & marked(s["lead"], F.col("_open"), BITMAP_WORDS))
-    near = rows.withColumn("_open", open_).select("o", kept.alias("lines")).filter(F.size("lines") > 0).select("o", F.explode("lines").alias("s")).select("o", "s.*")
+    near = _lines(docs, lambda s: (s["n"] > LEAST_CONSTANT) & marked(s["lead"], F.col("_c0"), BITMAP_WORDS), open_)
+    near = near.select("o", F.explode("lines").alias("s")).select("o", "s.*")
     exact = seen.filter("first <> last").select("lead", "t0", "first")
     known = exact.union(_templates(near)).groupBy("lead", "t0").agg(F.min("first").alias("first")).checkpoint()
     some = marks.withColumn("_known", bitmap(known.select("t0"), BITMAP_WORDS))
