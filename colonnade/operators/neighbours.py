@@ -9,17 +9,16 @@ cells. Every partner inside the box is kept, which makes the answer exact.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from colonnade.functions.geo import EARTH_KM, haversine
-from colonnade.operators.ordered import framed, running
+from colonnade.operators.ordered import framed
 from colonnade.operators.relational import top_rows_per_key
 
 LEVELS = list(range(0, 31, 2))  # cell edge = extent / 2**level
 _SLACK = 1 + 1e-9
+#: Sites of a cell that one task reads.
+CROWD = 4096
 
 
 def _spread(v: Column) -> Column:
@@ -56,10 +55,17 @@ def _by_box(queries: DataFrame, sites: DataFrame, frame: tuple[float, float, flo
     edge = F.lit(extent) / F.pow(F.lit(2.0), "level")
     q = q.withColumn("cx", F.explode(_cells(F.col("qx"), F.col("hx"), x0, edge)))
     q = q.withColumn("cy", F.explode(_cells(F.col("qy"), F.col("hy"), y0, edge)))
-    s = sites.withColumn("level", F.explode(F.array(*map(F.lit, LEVELS))))
+    q = q.checkpoint()
+    used = sorted(r["level"] for r in q.select("level").distinct().collect())  # at most as many as LEVELS
+    s = sites.withColumn("level", F.explode(F.array(*map(F.lit, used)).cast("array<int>")))
     s = s.withColumn("cx", F.floor((F.col("x") - x0) / edge).cast("bigint")).withColumn("cy", F.floor((F.col("y") - y0) / edge).cast("bigint"))
+    # a crowded cell is dealt in parts, and the boxes that touch it look into each of them
+    cell = ["level", "cx", "cy"]
+    crowds = s.groupBy(*cell).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > CROWD).select(*cell, F.ceil(F.col("n") / CROWD).alias("parts"))
+    s = s.join(crowds, cell, "left").withColumn("part", F.pmod(F.xxhash64("x", "y"), F.coalesce("parts", F.lit(1)))).drop("parts")
+    q = q.join(crowds, cell, "left").withColumn("part", F.explode(F.sequence(F.lit(0).cast("bigint"), F.coalesce("parts", F.lit(1)) - 1))).drop("parts")
     inside = (F.abs(F.col("x") - F.col("qx")) <= F.col("hx")) & (F.abs(F.col("y") - F.col("qy")) <= F.col("hy"))
-    return q.join(s, ["level", "cx", "cy"]).filter(inside).drop("level", "cx", "cy")
+    return q.join(s, [*cell, "part"]).filter(inside).drop(*cell, "part")
 
 
 def knn(df: DataFrame, id: str, x: Column, y: Column, k: int) -> DataFrame:
@@ -88,34 +94,6 @@ def knn(df: DataFrame, id: str, x: Column, y: Column, k: int) -> DataFrame:
     )
 
 
-def nearest_facility(places: DataFrame, facilities: DataFrame) -> DataFrame:
-    """Nearest facility of every place by great-circle distance.
-
-    Inputs have ``(id, lat, lon)``; output is ``(id, facility, km)``, ties by facility id.
-    Facilities met just before and after a place on the Z-order curve bound the search.
-    """
-    f = facilities.groupBy("lat", "lon").agg(F.min("id").alias("fid"))
-    spots = places.select("lat", "lon").distinct()
-    both = spots.withColumn("fid", F.lit(None).cast("bigint")).unionByName(f.select("lat", "lon", "fid"))
-    both = both.select(F.col("lon").alias("x"), F.col("lat").alias("y"), "fid")
-    frame = _extent(both)
-    here = F.when(F.col("fid").isNotNull(), F.struct("x", "y"))
-    z = both.withColumn("z", z_order(F.col("x"), F.col("y"), *frame)).withColumn("f", F.coalesce("fid", F.lit(-1)))
-    back = running(z, [], ["z", "x", "y", "f"], {"a": ("last", here), "b": ("next", here)})
-    km = lambda p: haversine(F.col("y"), F.col("x"), F.col(f"{p}.y"), F.col(f"{p}.x"))
-    bound = F.least(km("a"), km("b")) * _SLACK + 1e-6
-    hy = F.degrees(bound / EARTH_KM)
-    # meridians close up towards the poles: widen by the cosine at the box edge
-    edge = F.cos(F.radians(F.least(F.abs("y") + hy, F.lit(89.9))))
-    hx = F.degrees(2 * F.asin(F.least(F.sin(bound / EARTH_KM / 2) / edge, F.lit(1.0)))) * _SLACK
-    queries = back.filter("fid is null").select(F.col("x").alias("qx"), F.col("y").alias("qy"), hx.alias("hx"), hy.alias("hy"))
-    sites = f.select("fid", F.col("lon").alias("x"), F.col("lat").alias("y"))
-    d = haversine(F.col("qy"), F.col("qx"), F.col("y"), F.col("x"))
-    best = _by_box(queries, sites, frame).groupBy("qx", "qy").agg(F.min(F.struct(d.alias("km"), "fid")).alias("m"))
-    best = best.select(F.col("qx").alias("lon"), F.col("qy").alias("lat"), F.col("m.fid").alias("facility"), F.col("m.km").alias("km"))
-    return places.join(best, ["lat", "lon"]).select("id", "facility", "km")
-
-
 def vote(neighbours: DataFrame, labels: DataFrame, id: str, label: str) -> DataFrame:
     """Majority label among the neighbours; the smaller label wins a tie."""
     votes = neighbours.join(labels.select(F.col(id).alias("neighbour"), F.col(label).alias("_l")), "neighbour")

@@ -9,7 +9,7 @@ from pyspark.sql.window import Window as W
 
 from colonnade.functions import bins, geo
 from colonnade.functions.text import clock_seconds
-from colonnade.operators import neighbours as nb
+from colonnade.operators import sphere
 from colonnade.operators import stats
 from colonnade.operators.ordered import exact_percentiles
 from colonnade.operators.relational import first_per_key, one_row, union_all
@@ -258,7 +258,7 @@ def job_station_siting(t):
     sites = p.select("id", score.alias("score")).join(t.supplier.select(F.col("s_suppkey").alias("id"), lat.alias("lat"), lon.alias("lon")), "id")
     clat, clon = geo.location("c_custkey")
     stations = t.customer.filter("c_mktsegment = 'AUTOMOBILE'").select(F.col("c_custkey").alias("id"), clat.alias("lat"), clon.alias("lon"))
-    near = nb.nearest_facility(sites.select("id", "lat", "lon"), stations)
+    near = sphere.nearest_facility(sites.select("id", "lat", "lon"), stations)
     d = sites.join(near, "id").orderBy(F.desc(F.round(F.col("score") * F.col("km"), 9)), "id").limit(3)
     return d.select("id", "lat", "lon", r("score").alias("score"), r("km").alias("km"))
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from colonnade.functions import geo
 from colonnade.operators import neighbours as nb
-from colonnade.operators import vectors
+from colonnade.operators import sphere, vectors
 from colonnade.registry import query
 
 _P = "(SELECT vec_id AS id, label, embedding[1]::DOUBLE AS x, embedding[2]::DOUBLE AS y FROM embeddings)"
@@ -40,7 +40,7 @@ def nearest_point_join(t):
         lat, lon = geo.location(key)
         return df.select(F.col(key).alias("id"), lat.alias("lat"), lon.alias("lon"))
 
-    r = nb.nearest_facility(spots(t.customer, "c_custkey"), spots(t.supplier, "s_suppkey"))
+    r = sphere.nearest_facility(spots(t.customer, "c_custkey"), spots(t.supplier, "s_suppkey"))
     return r.withColumn("km", F.round("km", 6))
 
 

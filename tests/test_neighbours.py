@@ -33,14 +33,6 @@ def test_knn(spark, name, xy):
     assert got.groupby("id")["neighbour"].apply(list).to_dict() == _brute(pdf, 4)
 
 
-def test_nearest_facility(spark):
-    rng = np.random.default_rng(2)
-    p = pd.DataFrame({"id": np.arange(200), "lat": rng.uniform(-70, 70, 200), "lon": rng.uniform(-60, 60, 200)})
-    f = pd.DataFrame({"id": np.arange(40), "lat": rng.uniform(-70, 70, 40), "lon": rng.uniform(-60, 60, 40)})
-    got = nb.nearest_facility(spark.createDataFrame(p), spark.createDataFrame(f)).toPandas().set_index("id").sort_index()
-    rad = np.radians
-    for i, lat, lon in p.itertuples(index=False):
-        h = np.sin(rad(f.lat - lat) / 2) ** 2 + np.cos(rad(lat)) * np.cos(rad(f.lat)) * np.sin(rad(f.lon - lon) / 2) ** 2
-        km = 2 * 6371 * np.arcsin(np.sqrt(h))
-        assert got.loc[i, "facility"] == km.idxmin()
-        assert got.loc[i, "km"] == pytest.approx(km.min())
+def test_crowded_cells_are_dealt_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(nb, "CROWD", 5)
+    test_knn(spark, *list(_cases())[2])
