@@ -9,9 +9,11 @@ from dataclasses import dataclass
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 from pyspark.sql.window import Window as W
 
 from colonnade.operators.ordered import with_position
+from colonnade.session import scratch_path
 
 
 def integer_hash(key: str) -> Column:
@@ -68,23 +70,19 @@ def gaussian_nb_model(df: DataFrame, label: str, vector: Column) -> Column:
     return cls.agg(F.array_sort(F.collect_list(F.struct("c", "n", "p"))).alias("m")).withColumn("widest", widest).select(model.alias("m")).scalar()
 
 
-def gaussian_nb_scores(df: DataFrame, model: Column, vector: Column) -> DataFrame:
-    """One row per input row and class with the joint log density ``score``."""
+def gaussian_nb_predict(df: DataFrame, model: Column, vector: Column) -> DataFrame:
+    """``df`` with the likeliest class (the smaller one wins a tie) and its normalised probability; all inside the row."""
     d = df.withColumn("_model", model).withColumn("_v", vector)
     total = F.aggregate("_model", F.lit(0.0), lambda a, m: a + m["n"])
-    d = d.withColumn("_total", total).withColumn("_m", F.explode("_model"))
-    density = F.aggregate(
-        F.zip_with("_v", "_m.p", lambda v, p: -0.5 * F.ln(2 * math.pi * p["s"]) - (v - p["m"]) * (v - p["m"]) / (2 * p["s"])), F.lit(0.0), lambda a, x: a + x
+    density = lambda m: F.aggregate(
+        F.zip_with("_v", m["p"], lambda v, p: -0.5 * F.ln(2 * math.pi * p["s"]) - (v - p["m"]) * (v - p["m"]) / (2 * p["s"])), F.lit(0.0), lambda a, x: a + x
     )
-    return d.withColumn("class", F.col("_m.c")).withColumn("score", F.ln(F.col("_m.n") / F.col("_total")) + density).drop("_model", "_v", "_total", "_m")
-
-
-def best_class(scores: DataFrame, key: str) -> DataFrame:
-    """Class with the highest score and its normalised probability; the smaller class wins a tie."""
-    top = scores.groupBy(key).agg(F.max("score").alias("hi"), F.array_sort(F.collect_list(F.struct("score", "class"))).alias("s"))
-    prob = 1 / F.aggregate("s", F.lit(0.0), lambda a, x: a + F.exp(x["score"] - F.col("hi")))
-    winner = F.filter("s", lambda x: x["score"] == F.col("hi"))[0]["class"]
-    return top.select(key, winner.alias("prediction"), prob.alias("probability"))
+    d = d.withColumn("_total", total)
+    d = d.withColumn("_scores", F.transform("_model", lambda m: F.struct((F.ln(m["n"] / F.col("_total")) + density(m)).alias("score"), m["c"].alias("c"))))
+    d = d.withColumn("_hi", F.array_max(F.transform("_scores", lambda x: x["score"])))
+    winner = F.array_min(F.transform(F.filter("_scores", lambda x: x["score"] == F.col("_hi")), lambda x: x["c"]))
+    probability = 1 / F.aggregate("_scores", F.lit(0.0), lambda a, x: a + F.exp(x["score"] - F.col("_hi")))
+    return d.withColumns({"prediction": winner, "probability": probability}).drop("_model", "_v", "_total", "_scores", "_hi")
 
 
 # ---- text
@@ -181,6 +179,105 @@ def lloyd(df: DataFrame, vector: Column, centres: list[list[float]], rounds: int
     return centres
 
 
+def fourier_features(df: DataFrame, vector: str, dim: int, count: int, gamma: float, seed: int = 3) -> DataFrame:
+    """``df`` with ``features``: random Fourier features of the Gaussian kernel ``exp(-gamma d^2)``, one matrix product per batch.
+
+    The product of two rows' features is their kernel up to an error of about ``1 / sqrt(count)``. Vectors that are null or of another length are left out.
+    """
+    import numpy as np
+
+    rng = np.random.default_rng(seed)
+    w, b = rng.standard_normal((dim, count)) * math.sqrt(2 * gamma), rng.uniform(0, 2 * math.pi, count)
+
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            x = batch.column(vector).flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
+            z = math.sqrt(2 / count) * np.cos(x @ w + b)
+            lists = pa.ListArray.from_arrays(np.arange(0, z.size + 1, count, dtype=np.int32), pa.array(z.ravel()))
+            yield pa.RecordBatch.from_arrays([*batch.columns, lists], [*batch.schema.names, "_z"])
+
+    src = df.filter(F.size(vector) == dim)
+    schema = StructType([*src.schema.fields, StructField("_z", ArrayType(DoubleType()))])
+    return src.mapInArrow(run, schema).withColumn("features", array_to_vector("_z")).drop("_z")
+
+
+def minibatch(df: DataFrame, key: str, vector: Column, centres: list[list[float]], batches: int, rounds: int = 1) -> list[list[float]]:
+    """K-means by mini-batches: a centre moves towards the mean of its rows of a batch, by their share of all rows it has had so far.
+
+    Rows are dealt to batches by the hash of their key, so every row is used in every round. The batches are written once, each to a folder
+    of its own in the shared folder, so a step reads its batch and nothing else; only ``k`` sums come back from it.
+    """
+    spark, dim = df.sparkSession, len(centres[0])
+    path = scratch_path(spark, "batches")
+    df.select(vector.alias("v"), batch_of(key, batches).alias("batch")).filter("v is not null").write.partitionBy("batch").parquet(path)
+    stored = spark.read.parquet(path)
+    centres, had = [list(map(float, c)) for c in centres], [0] * len(centres)
+    for _ in range(rounds):
+        for b in range(batches):
+            part = assign(stored.filter(F.col("batch") == b), F.col("v"), centres)
+            for r in part.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"), *[F.avg(F.get("v", F.lit(j))).alias(f"m{j}") for j in range(dim)]).collect():
+                c = r["cluster"]
+                had[c] += r["n"]
+                rate = r["n"] / had[c]
+                centres[c] = [x + rate * (r[f"m{j}"] - x) for j, x in enumerate(centres[c])]
+    return centres
+
+
+def batch_of(key: str, batches: int) -> Column:
+    """The batch of a row."""
+    return F.pmod(F.xxhash64(F.lit(17), F.col(key)), F.lit(batches)).cast("int")
+
+
+def polynomial_folds(df: DataFrame, x: str, y: str, fold: str, degree: int) -> list[tuple[int, float, float]]:
+    """``(degree, train r2, validation r2)`` of least-squares polynomials of degree 0 to ``degree``, averaged over the folds.
+
+    The basis is Chebyshev's on the range of ``x``, which keeps high degrees well conditioned. One pass sums the products of
+    all basis functions by fold; the sums of the training folds hold every fit, those of the other fold its score.
+    """
+    import numpy as np
+
+    d = df.select(F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y"), F.col(fold).alias("f")).filter("x is not null and y is not null and not isnan(x) and not isnan(y)")
+    lo, hi = d.agg(F.min("x"), F.max("x")).first()
+    if lo is None:
+        return []
+    m = degree + 1
+
+    def sums(batches):
+        import pyarrow as pa
+
+        total = {}
+        for b in batches:
+            xs, ys, fs = (b.column(c).to_numpy(zero_copy_only=False) for c in ("x", "y", "f"))
+            z = np.polynomial.chebyshev.chebvander(2 * (xs - lo) / ((hi - lo) or 1.0) - 1, degree)
+            rows = np.column_stack([z, ys])
+            for f in np.unique(fs).tolist():
+                own = rows[fs == f]
+                total[f] = total.get(f, 0) + own.T @ own
+        if total:
+            yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array([v.ravel().tolist() for v in total.values()], pa.list_(pa.float64()))], ["f", "sums"])
+
+    parts = d.mapInArrow(sums, "f int, sums array<double>").groupBy("f").agg(*[F.sum(F.get("sums", F.lit(i))).alias(f"s{i}") for i in range((m + 1) ** 2)])
+    by = {r["f"]: np.array(r[1:]).reshape(m + 1, m + 1) for r in parts.collect()}
+    every, out = sum(by.values()), []
+
+    def r2(g, w, k):
+        n, sy, syy = g[0, 0], g[0, m], g[m, m]
+        left = syy - 2 * w @ g[:k, m] + w @ g[:k, :k] @ w
+        spread = syy - sy * sy / n
+        return float(1 - left / spread) if spread > 0 else 0.0
+
+    for k in range(1, m + 1):
+        scores = []
+        for own in by.values():
+            train = every - own if len(by) > 1 else own
+            w = np.linalg.lstsq(train[:k, :k], train[:k, m], rcond=1e-13)[0]
+            scores.append((r2(train, w, k), r2(own, w, k)))
+        out.append((k - 1, float(np.mean([a for a, _ in scores])), float(np.mean([b for _, b in scores]))))
+    return out
+
+
 # ---- evaluation
 
 

@@ -8,7 +8,9 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from colonnade.functions import special
 from colonnade.functions.special import norm_pdf
+from colonnade.operators.ordered import with_position
 
 
 def pooled_t(n1: Column, m1: Column, v1: Column, n2: Column, m2: Column, v2: Column) -> Column:
@@ -88,56 +90,108 @@ def moments_corr_long(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return wide.select(F.inline(rows))
 
 
-def poisson_weight(u: Column, upto: int = 8) -> Column:
-    """A Poisson(1) draw from a uniform column (inverse cdf, tail below 1e-6 folded in)."""
-    acc, out = 0.0, F.lit(0)
-    for k in range(upto + 1):
-        acc += math.exp(-1) / math.factorial(k)
-        out = out + F.when(u > F.lit(acc), 1).otherwise(0)
-    return out
-
-
 def hash_uniform(*parts: Column) -> Column:
     """A repeatable uniform number in [0, 1) from key columns."""
     return F.pmod(F.xxhash64(*parts), F.lit(1 << 40)).cast("double") / F.lit(float(1 << 40))
 
 
-def bootstrap_lines(df: DataFrame, key: str, x: Column, y: Column, replicates: int) -> DataFrame:
-    """Weighted least-squares line per bootstrap replicate.
+def hash_normal(*parts: Column) -> Column:
+    """A repeatable standard normal number from key columns."""
+    u, v = hash_uniform(F.lit(1), *parts), hash_uniform(F.lit(2), *parts)
+    return F.sqrt(-2 * F.ln(F.greatest(u, F.lit(1e-12)))) * F.cos(2 * math.pi * v)
 
-    Each row draws its own Poisson(1) weight for every replicate, so resampling needs no
-    shuffle of the data: the copies are folded into one row of sums per replicate and task.
-    """
-    d = df.select(F.col(key), x.alias("_x"), y.alias("_y"), F.explode(F.sequence(F.lit(0), F.lit(replicates - 1))).alias("replicate"))
-    d = d.withColumn("_w", poisson_weight(hash_uniform(F.col("replicate"), F.col(key))).cast("double")).filter("_w > 0")
-    w, vx, vy = F.col("_w"), F.col("_x"), F.col("_y")
-    s = d.groupBy("replicate").agg(
-        F.sum(w).alias("w"), F.sum(w * vx).alias("x"), F.sum(w * vy).alias("y"), F.sum(w * vx * vx).alias("xx"), F.sum(w * vx * vy).alias("xy")
-    )
-    slope = F.try_divide(F.col("w") * F.col("xy") - F.col("x") * F.col("y"), F.col("w") * F.col("xx") - F.col("x") * F.col("x"))
-    return s.withColumn("slope", slope).select("replicate", "slope", F.try_divide(F.col("y") - F.col("slope") * F.col("x"), "w").alias("intercept"))
 
+def poisson_counts(keys, replicates: int, mean: float):
+    """Repeatable Poisson draws, rows x replicates: a mixed 64-bit hash of key and replicate against the distribution's steps."""
+    import numpy as np
 
-def bootstrap_least_squares(df: DataFrame, key: str, xs: Sequence[str], y: str, replicates: int) -> list[list[float]]:
-    """Coefficients of the plain fit (first) and of every bootstrap refit.
+    upto = int(mean + 12 * math.sqrt(mean) + 12)
+    terms = np.cumsum([math.exp(k * math.log(mean) - mean - math.lgamma(k + 1)) for k in range(upto + 1)])
+    x = keys.astype(np.uint64)[:, None] * np.uint64(0x9E3779B97F4A7C15) + np.arange(1, replicates + 1, dtype=np.uint64)[None] * np.uint64(0xD1B54A32D192ED03)
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        x = (x ^ (x >> np.uint64(shift))) * np.uint64(factor)
+    u = ((x ^ (x >> np.uint64(31))) >> np.uint64(11)).astype(np.float64) / (1 << 53)
+    return np.searchsorted(terms, u, side="right").astype(np.float64)
 
-    Each row meets each replicate with its own Poisson(1) weight; the cross products are
-    folded into one small row per replicate, and only those rows reach the driver.
+
+def little_bootstraps(df: DataFrame, key: str, xs: Sequence[Column], y: Column, subsets: int = 20, replicates: int = 50) -> tuple[list[float], list[float], int]:
+    """Least-squares coefficients of ``y`` on ``xs``, their standard errors, and the number of refits, by a bag of little bootstraps.
+
+    Rows are dealt to subsets by the hash of their key. In a subset every replicate weighs each row with a Poisson draw of mean ``subsets``, so a
+    replicate stands for a resample as large as the whole table; the spread over a subset's replicates is an
+    error, and the errors are averaged. A row meets ``replicates`` weights, not ``subsets * replicates``. A batch is folded by one matrix
+    product into weighted cross products; what reaches the driver is one row per subset and replicate. Rows with nulls or non-finite values are left out.
     """
     import numpy as np
 
-    d = df.withColumn("_b", F.explode(F.sequence(F.lit(-1), F.lit(replicates - 1))))
-    w = F.when(F.col("_b") < 0, 1).otherwise(poisson_weight(hash_uniform(F.col("_b"), F.col(key)))).cast("double")
-    d = d.withColumn("_w", w).filter("_w > 0")
-    pairs = [(i, j) for i in range(len(xs)) for j in range(i, len(xs))]
-    aggs = [F.sum(F.col("_w") * F.col(xs[i]) * F.col(xs[j])).alias(f"a{i}_{j}") for i, j in pairs]
-    aggs += [F.sum(F.col("_w") * F.col(x) * F.col(y)).alias(f"b{i}") for i, x in enumerate(xs)]
-    out = []
-    for row in d.groupBy("_b").agg(*aggs).orderBy("_b").collect():
-        a = np.array([[row[f"a{min(i, j)}_{max(i, j)}"] for j in range(len(xs))] for i in range(len(xs))])
-        b = np.array([row[f"b{i}"] for i in range(len(xs))])
-        out.append(np.linalg.lstsq(a, b, rcond=None)[0].tolist())
-    return out
+    p = len(xs)
+    cols = [*(c.cast("double").alias(f"x{i}") for i, c in enumerate(xs)), y.cast("double").alias("y")]
+    names = [*(f"x{i}" for i in range(p)), "y"]
+    fine = " and ".join(f"{n} is not null and not isnan({n}) and abs({n}) < double('infinity')" for n in names)
+    d = df.select(F.xxhash64(F.col(key)).alias("h"), F.pmod(F.xxhash64(F.lit(23), F.col(key)), F.lit(subsets)).cast("int").alias("s"), *cols).filter(fine)
+    pairs = [(i, j) for i in range(p + 1) for j in range(i, p + 1) if i < p]
+
+    def fold(batches):
+        import pyarrow as pa
+
+        total = {}
+        for b in batches:
+            h, s = (b.column(c).to_numpy(zero_copy_only=False) for c in ("h", "s"))
+            v = np.column_stack([b.column(c).to_numpy(zero_copy_only=False) for c in names])
+            products = np.column_stack([v[:, i] * v[:, j] for i, j in pairs])
+            for k in np.unique(s).tolist():
+                own = np.flatnonzero(s == k)
+                w = np.concatenate([np.ones((len(own), 1)), poisson_counts(h[own], replicates, subsets)], axis=1)  # the first column is the plain fit
+                total[k] = total.get(k, 0) + w.T @ products[own]
+        for k, sums in total.items():
+            n = len(sums)
+            yield pa.RecordBatch.from_arrays([pa.array([k] * n, pa.int32()), pa.array(range(n), pa.int32()), pa.array(sums.tolist(), pa.list_(pa.float64()))], ["s", "r", "sums"])
+
+    parts = d.mapInArrow(fold, "s int, r int, sums array<double>")
+    rows = parts.groupBy("s", "r").agg(*[F.sum(F.get("sums", F.lit(i))).alias(f"m{i}") for i in range(len(pairs))]).orderBy("s", "r").collect()
+
+    def solve(sums):
+        a, b = np.zeros((p, p)), np.zeros(p)
+        for (i, j), v in zip(pairs, sums):
+            if j == p:
+                b[i] = v
+            else:
+                a[i, j] = a[j, i] = v
+        return np.linalg.lstsq(a, b, rcond=None)[0]
+
+    if not rows:
+        return [], [], 0
+    plain = solve(np.sum([r[2:] for r in rows if r["r"] == 0], axis=0))
+    runs: dict[int, list] = {}
+    for r in rows:
+        if r["r"]:
+            runs.setdefault(r["s"], []).append(solve(r[2:]))
+    errors = np.mean([np.std(np.array(own), axis=0) for own in runs.values()], axis=0)
+    return plain.tolist(), errors.tolist(), sum(map(len, runs.values()))
+
+
+def shapiro_francia(df: DataFrame, key: str, value: str) -> DataFrame:
+    """``n``, ``statistic`` and ``p_value`` of the Shapiro-Francia test of normality, as one row.
+
+    Every value meets the normal score of its exact rank, ``(rank - 3/8) / (n + 1/4)``, from positions in a range order, so nothing is sorted in one task; the
+    statistic is their squared correlation. Ties may take their scores in any order, the sums are the same. The p-value is Royston's approximation, made for
+    5 to 5,000 values; beyond, it is carried on. Nulls and NaN are left out; under 5 values or without spread both are null.
+    """
+    d = df.select(F.col(key).alias("_k"), F.col(value).cast("double").alias("_v")).filter("_v is not null and not isnan(_v)")
+    d = with_position(d.withColumn("_row", F.monotonically_increasing_id()), ["_v", "_k", "_row"], "_pos")
+    totals = d.agg(F.struct(F.count(F.lit(1)).alias("n"), F.avg("_v").alias("m"))).scalar()
+    s = d.withColumn("_t", totals)
+    score = special.norm_ppf((F.col("_pos") + 1 - 0.375) / (F.col("_t.n") + 0.25))
+    x = F.col("_v") - F.col("_t.m")
+    sums = s.withColumns({"_x": x, "_z": score}).agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("_x") * F.col("_z")).alias("xz"), F.sum(F.col("_x") * F.col("_x")).alias("xx"), F.sum(F.col("_z") * F.col("_z")).alias("zz"))
+    enough = (F.col("n") >= 5) & (F.col("xx") > 0)
+    sums = sums.select("n", F.when(enough, F.least(F.col("xz") * F.col("xz") / (F.col("xx") * F.col("zz")), F.lit(1.0))).alias("statistic"))
+    u = F.ln(F.col("n"))
+    v = F.ln(u)
+    # fixed values: Royston's constants
+    mean, sd = -1.2725 + 1.0521 * (v - u), 1.0308 - 0.26758 * (v + 2 / u)
+    z = (F.ln(F.greatest(1 - F.col("statistic"), F.lit(1e-300))) - mean) / sd
+    return sums.select("n", "statistic", F.when(F.col("statistic").isNotNull(), special.norm_sf(z)).alias("p_value"))
 
 
 def normal_equations(df: DataFrame, x: Column, y: Column, degree: int) -> list[float]:

@@ -325,14 +325,12 @@ def group_by_multi_derived(t):
 
 @query(
     "group_by_decade",
-    """SELECT o_orderpriority, coalesce(sum(o_totalprice) FILTER (y = 1990), 0)::DOUBLE AS d1990, coalesce(sum(o_totalprice) FILTER (y = 2000), 0)::DOUBLE AS d2000 FROM
-       (SELECT o_orderpriority, round(o_totalprice) AS o_totalprice, 10 * (year(o_orderdate) // 10) AS y FROM orders) GROUP BY 1""",
+    """SELECT * FROM (PIVOT (SELECT o_orderpriority, round(o_totalprice) AS v, 'd' || 10 * (year(o_orderdate) // 10) AS decade FROM orders) ON decade USING coalesce(sum(v), 0)::DOUBLE GROUP BY o_orderpriority)""",
 )
 def group_by_decade(t):
-    d = t.orders.withColumns({"decade": floor_bucket(F.year("o_orderdate"), 10), "v": F.round("o_totalprice")})
-    return d.groupBy("o_orderpriority").pivot("decade", [1990, 2000]).agg(F.sum("v")).na.fill(0.0).withColumnsRenamed(
-        {"1990": "d1990", "2000": "d2000"}
-    )
+    decade = F.concat(F.lit("d"), floor_bucket(F.year("o_orderdate"), 10).cast("string"))
+    d = t.orders.withColumns({"decade": decade, "v": F.round("o_totalprice")})
+    return d.groupBy("o_orderpriority").pivot("decade").agg(F.sum("v")).na.fill(0.0)
 
 
 @query(

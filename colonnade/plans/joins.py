@@ -233,13 +233,13 @@ def cross_product(t):
 
 
 _POINTS_SQL = """SELECT vec_id, CAST(j AS INT) AS j, CAST(embedding[2*j+1] AS DOUBLE) AS x, CAST(embedding[2*j+2] AS DOUBLE) AS y
-    FROM embeddings, (SELECT unnest(range(8)) AS j)"""
+    FROM embeddings, (SELECT unnest(range(32)) AS j)"""
 
 
 def _point_pairs(t, cond):
-    # 8 points per record: a record has a fixed number of points, so pairs grow linearly with the table
+    # 32 points per record: a record has a fixed number of points, so pairs grow linearly with the table
     pts = F.array(*[F.struct(F.lit(j).alias("j"), F.get("embedding", F.lit(2 * j)).cast("double").alias("x"),
-                             F.get("embedding", F.lit(2 * j + 1)).cast("double").alias("y")) for j in range(8)])
+                             F.get("embedding", F.lit(2 * j + 1)).cast("double").alias("y")) for j in range(32)])
     a = t.embeddings.select("vec_id", pts.alias("pts")).select("vec_id", "pts", F.explode("pts").alias("a"))
     return a.select("vec_id", "a", F.explode(F.filter("pts", lambda p: cond(F.col("a.j"), p.getField("j")))).alias("b"))
 
@@ -258,7 +258,7 @@ def pair_combinations(t):
 
 @query(
     "pair_permutations",
-    """SELECT vec_id, CAST(a AS INT) AS j1, CAST(b AS INT) AS j2 FROM embeddings, (SELECT unnest(range(8)) AS a), (SELECT unnest(range(8)) AS b) WHERE a <> b""",
+    """SELECT vec_id, CAST(a AS INT) AS j1, CAST(b AS INT) AS j2 FROM embeddings, (SELECT unnest(range(32)) AS a), (SELECT unnest(range(32)) AS b) WHERE a <> b""",
 )
 def pair_permutations(t):
     return _point_pairs(t, lambda i, j: i != j).select("vec_id", F.col("a.j").alias("j1"), F.col("b.j").alias("j2"))

@@ -1,4 +1,4 @@
-"""Pivots, stacking and other changes of shape. Every pivot names its columns, so no extra pass finds them."""
+"""Pivots, stacking and other changes of shape. A pivot finds its columns by one aggregated pass over the values that are there."""
 
 from __future__ import annotations
 
@@ -9,7 +9,13 @@ from colonnade.operators.ordered import exact_percentiles, with_position
 from colonnade.operators.reshape import cells_transposed, indicator_columns, margin_pivot
 from colonnade.registry import query
 
-STATUS = ["F", "O", "P"]
+
+
+def pivot_sql(source: str, on: str, using: str, by: str) -> str:
+    """A pivot over all values of ``on``."""
+    return f"SELECT * FROM (PIVOT ({source}) ON {on} USING {using} GROUP BY {by})"
+
+
 _OC = "orders JOIN customer ON o_custkey = c_custkey"
 
 
@@ -17,81 +23,62 @@ def _oc(t):
     return t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
 
 
-@query(
-    "pivot_simple",
-    """SELECT o_orderpriority, """ + ", ".join(f"round(avg(o_totalprice) FILTER (o_orderstatus = '{s}'), 4) AS {s}" for s in STATUS)
-    + " FROM orders GROUP BY 1",
-)
+@query("pivot_simple", pivot_sql("FROM orders", "o_orderstatus", "round(avg(o_totalprice), 4)", "o_orderpriority"))
 def pivot_simple(t):
-    p = t.orders.groupBy("o_orderpriority").pivot("o_orderstatus", STATUS).avg("o_totalprice")
-    return p.select("o_orderpriority", *[F.round(s, 4).alias(s) for s in STATUS])
+    return t.orders.groupBy("o_orderpriority").pivot("o_orderstatus").agg(F.round(F.avg("o_totalprice"), 4))
 
 
-@query(
-    "pivot_multi_index",
-    """SELECT c_mktsegment, CASE WHEN c_acctbal <= 0 THEN 'neg' WHEN c_acctbal <= 5000 THEN 'low' ELSE 'high' END AS band, """
-    + ", ".join(f"round(avg(o_totalprice) FILTER (o_orderstatus = '{s}'), 4) AS {s}" for s in STATUS) + f" FROM {_OC} GROUP BY 1, 2",
-)
+_BAND = "CASE WHEN c_acctbal <= 0 THEN 'neg' WHEN c_acctbal <= 5000 THEN 'low' ELSE 'high' END AS band"
+
+
+@query("pivot_multi_index", pivot_sql(f"SELECT c_mktsegment, {_BAND}, o_orderstatus, o_totalprice FROM {_OC}", "o_orderstatus", "round(avg(o_totalprice), 4)", "c_mktsegment, band"))
 def pivot_multi_index(t):
     d = _oc(t).withColumn("band", cut("c_acctbal", [float("-inf"), 0, 5000, float("inf")], ["neg", "low", "high"]))
-    p = d.groupBy("c_mktsegment", "band").pivot("o_orderstatus", STATUS).avg("o_totalprice")
-    return p.select("c_mktsegment", "band", *[F.round(s, 4).alias(s) for s in STATUS])
+    return d.groupBy("c_mktsegment", "band").pivot("o_orderstatus").agg(F.round(F.avg("o_totalprice"), 4))
 
 
 @query(
     "pivot_multi_columns",
-    """SELECT l_linenumber, """
-    + ", ".join(f"round(avg(l_extendedprice) FILTER (l_returnflag = '{f}' AND (l_quantity <= 25) = {h == 'lo'}), 4) AS {h}_{f}" for h in ("lo", "hi") for f in "ANR")
-    + " FROM lineitem GROUP BY 1",
+    pivot_sql("SELECT l_linenumber, l_extendedprice, CASE WHEN l_quantity <= 25 THEN 'lo' ELSE 'hi' END || '_' || l_returnflag AS k FROM lineitem", "k", "round(avg(l_extendedprice), 4)", "l_linenumber"),
 )
 def pivot_multi_columns(t):
-    cols = [f"{h}_{f}" for h in ("lo", "hi") for f in "ANR"]
     d = t.lineitem.withColumn("k", F.concat_ws("_", F.when(F.col("l_quantity") <= 25, "lo").otherwise("hi"), "l_returnflag"))
-    p = d.groupBy("l_linenumber").pivot("k", cols).agg(F.round(F.avg("l_extendedprice"), 4))
-    return p.select("l_linenumber", *cols)
+    return d.groupBy("l_linenumber").pivot("k").agg(F.round(F.avg("l_extendedprice"), 4))
 
 
-@query(
-    "pivot_multi_agg",
-    """SELECT o_orderpriority, """
-    + ", ".join(f"count(*) FILTER (o_orderstatus = '{s}') AS {s}_n, round(avg(o_totalprice) FILTER (o_orderstatus = '{s}'), 4) AS {s}_mean" for s in STATUS)
-    + " FROM orders GROUP BY 1",
-)
+@query("pivot_multi_agg", pivot_sql("FROM orders", "o_orderstatus", "count(*) AS n, round(avg(o_totalprice), 4) AS mean", "o_orderpriority"))
 def pivot_multi_agg(t):
-    return t.orders.groupBy("o_orderpriority").pivot("o_orderstatus", STATUS).agg(
-        F.count(F.lit(1)).alias("n"), F.round(F.avg("o_totalprice"), 4).alias("mean")
-    )
+    p = t.orders.groupBy("o_orderpriority").pivot("o_orderstatus").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("o_totalprice"), 4).alias("mean"))
+    return p.na.fill(0, [c for c in p.columns if c.endswith("_n")])
 
 
 @query(
     "pivot_margins",
-    """SELECT coalesce(o_orderpriority, 'All') AS o_orderpriority, """
-    + ", ".join(f"round(avg(o_totalprice) FILTER (o_orderstatus = '{s}'), 4) AS {s}" for s in STATUS)
-    + """, round(avg(o_totalprice), 4) AS "All" FROM orders GROUP BY ROLLUP (o_orderpriority)""",
+    pivot_sql(
+        """SELECT coalesce(o_orderpriority, 'All') AS o_orderpriority, coalesce(o_orderstatus, 'All') AS c, avg(o_totalprice) AS v FROM orders GROUP BY CUBE (o_orderpriority, o_orderstatus)""",
+        "c", "round(any_value(v), 4)", "o_orderpriority",
+    ),
 )
 def pivot_margins(t):
-    return margin_pivot(t.orders, "o_orderpriority", "o_orderstatus", STATUS, lambda: F.round(F.avg("o_totalprice"), 4))
+    return margin_pivot(t.orders, "o_orderpriority", "o_orderstatus", lambda: F.round(F.avg("o_totalprice"), 4))
 
 
 @query(
     "pivot_fill_value",
-    """SELECT s_suppkey, """
-    + ", ".join(f"coalesce(sum(l_quantity) FILTER (l_returnflag = '{f}' AND l_discount > 0.09 AND l_linenumber = 1), 0) AS {f}" for f in "ANR")
-    + " FROM supplier LEFT JOIN lineitem ON s_suppkey = l_suppkey GROUP BY 1",
+    pivot_sql(
+        "SELECT s_suppkey, l_returnflag, l_quantity FROM supplier LEFT JOIN lineitem ON s_suppkey = l_suppkey AND l_discount > 0.09 AND l_linenumber = 1",
+        "l_returnflag", "coalesce(sum(l_quantity), 0)", "s_suppkey",
+    ),
 )
 def pivot_fill_value(t):
     few = t.lineitem.filter("l_discount > 0.09 and l_linenumber = 1").withColumnRenamed("l_suppkey", "s_suppkey")
-    p = few.groupBy("s_suppkey").pivot("l_returnflag", list("ANR")).agg(F.sum("l_quantity"))
+    p = few.groupBy("s_suppkey").pivot("l_returnflag").agg(F.sum("l_quantity"))
     return t.supplier.select("s_suppkey").join(p, "s_suppkey", "left").na.fill(0.0)
 
 
-@query(
-    "pivot_decade_gender",
-    """SELECT (10 * (year(l_shipdate) // 10))::INT AS decade, sum(l_quantity) FILTER (l_linestatus = 'F') AS F, sum(l_quantity) FILTER (l_linestatus = 'O') AS O
-       FROM lineitem GROUP BY 1""",
-)
+@query("pivot_decade_gender", pivot_sql("SELECT (10 * (year(l_shipdate) // 10))::INT AS decade, l_linestatus, l_quantity FROM lineitem", "l_linestatus", "sum(l_quantity)", "decade"))
 def pivot_decade_gender(t):
-    return t.lineitem.groupBy(floor_bucket(F.year("l_shipdate"), 10).alias("decade")).pivot("l_linestatus", ["F", "O"]).agg(F.sum("l_quantity"))
+    return t.lineitem.groupBy(floor_bucket(F.year("l_shipdate"), 10).alias("decade")).pivot("l_linestatus").agg(F.sum("l_quantity"))
 
 
 @query(
@@ -102,30 +89,21 @@ def pivot_date_parts(t):
     return t.orders.groupBy(F.month("o_orderdate").alias("m"), F.dayofmonth("o_orderdate").alias("d")).agg(F.round(F.avg("o_totalprice"), 6).alias("mean"))
 
 
-TYPES = ["click", "error", "purchase", "signup", "view"]
-
-
 @query(
     "pivot_heat_table",
-    """WITH s AS (SELECT event_type, avg(value) AS m, stddev_samp(value) AS d FROM events GROUP BY 1),
-       z AS (SELECT event_type, hour(ts)::INT AS h, (value - m) / d AS z FROM events JOIN s USING (event_type))
-       SELECT h, """ + ", ".join(f"round(avg(z) FILTER (event_type = '{c}'), 6) AS \"{c}\"" for c in TYPES) + " FROM z GROUP BY 1",
+    "WITH s AS (SELECT event_type, avg(value) AS m, stddev_samp(value) AS d FROM events GROUP BY 1) "
+    + pivot_sql("SELECT event_type, hour(ts)::INT AS h, (value - m) / d AS z FROM events JOIN s USING (event_type)", "event_type", "round(avg(z), 6)", "h"),
 )
 def pivot_heat_table(t):
     s = t.events.groupBy("event_type").agg(F.avg("value").alias("m"), F.stddev("value").alias("d"))
     z = t.events.join(s, "event_type").withColumn("z", F.try_divide(F.col("value") - F.col("m"), "d"))
-    return z.groupBy(F.hour("ts").alias("h")).pivot("event_type", TYPES).agg(F.round(F.avg("z"), 6))
+    return z.groupBy(F.hour("ts").alias("h")).pivot("event_type").agg(F.round(F.avg("z"), 6))
 
 
-@query(
-    "unstack",
-    """SELECT n_name, """ + ", ".join(f"max(v) FILTER (c_mktsegment = '{s}') AS {s}" for s in ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"))
-    + """ FROM (SELECT n_name, c_mktsegment, count(*) AS v FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY 1, 2) GROUP BY 1""",
-)
+@query("unstack", pivot_sql("SELECT n_name, c_mktsegment, count(*) AS v FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY 1, 2", "c_mktsegment", "max(v)", "n_name"))
 def unstack(t):
-    seg = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
     long = t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey")).groupBy("n_name", "c_mktsegment").agg(F.count(F.lit(1)).alias("v"))
-    return long.groupBy("n_name").pivot("c_mktsegment", seg).agg(F.first("v"))
+    return long.groupBy("n_name").pivot("c_mktsegment").agg(F.first("v"))
 
 
 @query(
@@ -146,14 +124,15 @@ def transpose(t):
 
 @query(
     "wide_to_long_numbered",
-    """SELECT vec_id, CAST(j + 1 AS INT) AS k, round(CAST(embedding[j + 1] AS DOUBLE), 6) AS x, round(CAST(embedding[j + 17] AS DOUBLE), 6) AS y, round(CAST(embedding[j + 33] AS DOUBLE), 6) AS power
+    """SELECT vec_id, CAST(j + 1 AS INT) AS k, round(CAST(embedding[j + 1] AS DOUBLE), 6) AS x, round(CAST(embedding[j + 17] AS DOUBLE), 6) AS y, round(CAST(embedding[j + 33] AS DOUBLE), 6) AS z, round(CAST(embedding[j + 49] AS DOUBLE), 6) AS power
        FROM embeddings, (SELECT unnest(range(16)) AS j)""",
 )
 def wide_to_long_numbered(t):
+    stems = ["x", "y", "z", "power"]
     wide = t.embeddings.select(
-        "vec_id", *[F.get("embedding", F.lit(b * 16 + j)).cast("double").alias(f"{n}{j + 1}") for b, n in enumerate(["x", "y", "power"]) for j in range(16)]
+        "vec_id", *[F.get("embedding", F.lit(b * 16 + j)).cast("double").alias(f"{n}{j + 1}") for b, n in enumerate(stems) for j in range(16)]
     )
-    rows = F.array(*[F.struct(F.lit(k).alias("k"), *[F.round(f"{n}{k}", 6).alias(n) for n in ("x", "y", "power")]) for k in range(1, 17)])
+    rows = F.array(*[F.struct(F.lit(k).alias("k"), *[F.round(f"{n}{k}", 6).alias(n) for n in stems]) for k in range(1, 17)])
     return wide.select("vec_id", F.inline(rows))
 
 
@@ -210,22 +189,19 @@ def reshape_array(t):
     return d.select(F.floor(F.col("pos") / 8).alias("i"), (F.col("pos") % 8).alias("j"), F.col("o_totalprice").alias("v"))
 
 
-@query(
-    "get_dummies",
-    """SELECT p_partkey, """ + ", ".join(f"CAST(list_contains(string_split(p_name, ' '), '{w}') AS INT) AS {w}" for w in ("small", "red", "blue", "hot", "bolt", "gear")) + " FROM part",
-)
+@query("get_dummies", pivot_sql("SELECT p_partkey, unnest(string_split(p_name, ' ')) AS w, 1 AS one FROM part", "w", "coalesce(max(one), 0)::INT", "p_partkey"))
 def get_dummies(t):
     words = F.split(F.translate("p_name", " ", "|"), r"\|")
-    return indicator_columns(t.part.withColumn("w", words), "w", ["small", "red", "blue", "hot", "bolt", "gear"], ["p_partkey"])
+    return indicator_columns(t.part.withColumn("w", words), "w", ["p_partkey"])
 
 
 @query(
     "one_hot_dict",
-    """SELECT c_custkey, c_acctbal, """ + ", ".join(f"CAST(c_mktsegment = '{s}' AS INT) AS \"seg={s}\"" for s in ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")) + " FROM customer",
+    "SELECT * FROM (PIVOT (SELECT c_custkey, c_acctbal, 'seg=' || c_mktsegment AS s, 1 AS one FROM customer) ON s USING coalesce(max(one), 0)::INT GROUP BY c_custkey, c_acctbal)",
 )
 def one_hot_dict(t):
-    seg = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
-    return t.customer.select("c_custkey", "c_acctbal", *[(F.col("c_mktsegment") == s).cast("int").alias(f"seg={s}") for s in seg])
+    d = t.customer.withColumn("seg", F.array(F.concat(F.lit("seg="), "c_mktsegment")))
+    return indicator_columns(d, "seg", ["c_custkey", "c_acctbal"])
 
 
 DAYS = ["Mon", "Tue", "Wed", "Thu", "Fri", "Sat", "Sun"]

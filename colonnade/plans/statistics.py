@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import math
 
-from pyspark.ml.stat import KolmogorovSmirnovTest
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
@@ -187,8 +186,7 @@ def stat_two_prop_z(t):
 
 @query("stat_normality")
 def stat_normality(t):
-    m, s = t.events.agg(F.avg("value"), F.stddev("value")).first()
-    return KolmogorovSmirnovTest.test(t.events.select("value"), "value", "norm", m, s)
+    return stats.shapiro_francia(t.events, "event_id", "value")
 
 
 _FIT = "round(regr_slope({y}, {x}), 6) AS slope, round(regr_intercept({y}, {x}), 4) AS intercept, round(regr_r2({y}, {x}), 6) AS r2"
@@ -256,8 +254,9 @@ def stat_mean_ci_by_x(t):
 
 @query("stat_bootstrap_se")
 def stat_bootstrap_se(t):
-    lines = stats.bootstrap_lines(t.spread("events"), "event_id", F.hour("ts").cast("double"), F.col("value"), 60)
-    return lines.agg(F.count("slope").alias("replicates"), F.avg("slope").alias("slope"), F.stddev_pop("slope").alias("slope_se"), F.stddev_pop("intercept").alias("intercept_se"))
+    """Slope of value on hour with errors from 1,000 refits."""
+    (_, slope), (intercept_se, slope_se), refits = stats.little_bootstraps(t.spread("events"), "event_id", [F.lit(1.0), F.hour("ts")], F.col("value"))
+    return t.spark.createDataFrame([(refits, slope, slope_se, intercept_se)], "replicates long, slope double, slope_se double, intercept_se double")
 
 
 @query(
