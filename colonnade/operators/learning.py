@@ -127,15 +127,53 @@ class WordBayes:
         sums = [(F.sum(F.col("tf") * F.col(f"lp{i}")) + F.lit(p)).alias(f"score{i}") for i, p in enumerate(self.priors)]
         return counts.join(self.words, "word").groupBy(key).agg(*sums)
 
-    def predict(self, counts: DataFrame, key: str) -> DataFrame:
-        """Most likely class per document; the first class in order wins a tie."""
-        s = self.scores(counts, key)
-        best = F.greatest(*[F.col(f"score{i}") for i in range(len(self.classes))])
-        out = None
-        for i, c in enumerate(self.classes):
-            hit = F.col(f"score{i}") == best
-            out = F.when(hit, F.lit(c)) if out is None else out.when(hit, F.lit(c))
-        return s.select(key, out.alias("prediction"))
+    def predict(self, docs: DataFrame, counts: DataFrame, key: str) -> DataFrame:
+        """Most likely class of every row of ``docs`` (its ``key``); the first class in order wins a tie. Without a known word the priors decide."""
+        s = docs.select(key).join(self.scores(counts, key), key, "left")
+        return s.select(key, likeliest(self.classes, [F.coalesce(F.col(f"score{i}"), F.lit(p)) for i, p in enumerate(self.priors)]).alias("prediction"))
+
+
+def likeliest(classes: list, scores: list[Column]) -> Column:
+    """The class of the largest score, the first in order if several are."""
+    best, out = F.greatest(*scores) if len(scores) > 1 else scores[0], None
+    for c, score in zip(classes, scores):
+        out = F.when(score == best, F.lit(c)) if out is None else out.when(score == best, F.lit(c))
+    return out
+
+
+@dataclass
+class TopicModel:
+    """TF-IDF weights and multinomial Bayes in one chain: class names, log priors, and per word of the vocabulary its ``idf`` and log likelihoods ``lp0``, ``lp1``, ..."""
+
+    classes: list
+    priors: list[float]
+    words: DataFrame
+
+    def predict(self, docs: DataFrame, key: str, text: str, stop: Sequence[str] = ()) -> DataFrame:
+        """``key``, ``prediction`` and ``margin`` (log score before the next class) of any texts; words outside the vocabulary count for nothing, and
+        a text without a known word gets the class of the highest prior. The vocabulary has at most as many rows as the fit was told."""
+        w = words(docs, key, text, stop).join(self.words, "word").withColumn("w", F.col("tf") * F.col("idf"))
+        sums = [F.sum(F.col("w") * F.col(f"lp{i}")).alias(f"s{i}") for i in range(len(self.classes))]
+        dots = w.groupBy(key).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"), *sums)
+        scored = docs.select(key).join(dots, key, "left")
+        scores = [F.coalesce(F.col(f"s{i}") / F.col("norm"), F.lit(0.0)) + F.lit(p) for i, p in enumerate(self.priors)]
+        ranked = F.reverse(F.array_sort(F.array(*scores)))
+        margin = F.get(ranked, F.lit(0)) - F.get(ranked, F.lit(1))
+        return scored.select(key, likeliest(self.classes, scores).alias("prediction"), margin.alias("margin"))
+
+
+def fit_topics(df: DataFrame, key: str, label: str, text: str, max_features: int = 5000, alpha: float = 0.1, stop: Sequence[str] = ()) -> TopicModel:
+    """Fit the chain: TF-IDF weights over the most frequent words, summed by class, smoothed by ``alpha``. One row per class reaches the driver."""
+    docs = df.filter(F.col(label).isNotNull()).groupBy(label).agg(F.count(F.lit(1)).alias("n")).orderBy(label).collect()
+    classes, n = [r[label] for r in docs], sum(r["n"] for r in docs)
+    counts = words(df.filter(F.col(label).isNotNull()), key, text, stop)
+    vocab = counts.groupBy("word").agg(F.sum("tf").alias("total"), F.count(F.lit(1)).alias("df")).orderBy(F.desc("total"), "word").limit(max_features)
+    vocab = vocab.select("word", (F.ln((1.0 + n) / (1 + F.col("df"))) + 1).alias("idf"))
+    weights = tfidf(counts, key, max_features, F.lit(n)).join(df.select(key, F.col(label).alias("_l")), key)
+    seen = weights.groupBy("word").agg(*[F.sum(F.when(F.col("_l") == c, F.col("weight")).otherwise(0.0)).alias(f"c{i}") for i, c in enumerate(classes)])
+    totals = seen.agg(F.struct(F.count(F.lit(1)).alias("v"), *[F.sum(f"c{i}").alias(f"t{i}") for i in range(len(classes))])).scalar()
+    logs = [F.ln((F.col(f"c{i}") + alpha) / (totals.getField(f"t{i}") + alpha * totals.getField("v"))).alias(f"lp{i}") for i in range(len(classes))]
+    return TopicModel(classes, [math.log(r["n"] / n) for r in docs], seen.join(vocab, "word").select("word", "idf", *logs))
 
 
 def fit_word_bayes(df: DataFrame, label: str, text: str, alpha: float) -> WordBayes:

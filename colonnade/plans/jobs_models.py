@@ -14,7 +14,7 @@ from colonnade.operators import stats
 from colonnade.operators.relational import top_rows_per_key, union_all
 from colonnade.operators.timeseries import daily
 from colonnade.plans.evaluation import class_report
-from colonnade.plans.learning import GNB_SQL, binary, coefficients, gaussian_nb, multinomial_model, results, vec
+from colonnade.plans.learning import GNB_SQL, binary, coefficients, gaussian_nb, results, vec
 from colonnade.registry import query
 
 
@@ -125,14 +125,24 @@ def job_pipe_failure(t):
     return _threshold_table(_scored(t, 65, True), [i / 10 for i in range(1, 10)])
 
 
+#: Texts that the fitted chain is asked about: one in a language of the table, one of none.
+NEW_TEXTS = ["the of that with are", "9 8 7"]
+
+
 @query("job_topic_classifier")
 def job_topic_classifier(t):
-    """Word-count Bayes classifier: report per class and the words that mark each class."""
-    model, predicted = multinomial_model(t)
+    """TF-IDF and Bayes in one chain: report per class on held-out documents, the words that mark each class, and the class of new texts."""
+    docs = t.spread("documents").select("doc_id", "lang", "text")
+    model = lr.fit_topics(docs.filter("doc_id % 5 <> 0"), "doc_id", "lang", "text")
+    model.words = t.hold(model.words)
+    held = docs.filter("doc_id % 5 = 0")
+    predicted = model.predict(held, "doc_id", "text").join(held.select("doc_id", "lang"), "doc_id")
     report = class_report(predicted, "lang", "prediction").select(F.lit("report").alias("view"), "class", F.lit("f1").alias("key"), F.col("f1").alias("value"))
     per_class = F.array(*[F.struct(F.lit(c).alias("class"), F.col(f"lp{i}").alias("logp")) for i, c in enumerate(model.classes)])
     top = top_rows_per_key(model.words.select("word", F.inline(per_class)), ["class"], [F.desc("logp"), F.col("word")], 15)
-    return union_all([report, top.select(F.lit("top_words").alias("view"), "class", F.col("word").alias("key"), F.col("logp").alias("value"))])
+    new = t.spark.createDataFrame([(x,) for x in NEW_TEXTS], "text string")
+    asked = model.predict(new, "text", "text").select(F.lit("new_text").alias("view"), F.col("prediction").alias("class"), F.col("text").alias("key"), F.col("margin").alias("value"))
+    return union_all([report, top.select(F.lit("top_words").alias("view"), "class", F.col("word").alias("key"), F.col("logp").alias("value")), asked])
 
 
 @query(

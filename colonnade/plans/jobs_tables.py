@@ -128,16 +128,16 @@ def job_recipe_recommender(t):
     "job_bike_counts",
     """WITH d AS (SELECT ts::DATE AS d, sum(value) AS v FROM events GROUP BY 1)
        SELECT 'week' AS view, (date_trunc('week', d)::DATE + 6)::DATE::VARCHAR AS key, round(sum(v), 2) AS v FROM d GROUP BY 2
-       UNION ALL SELECT 'roll7', d::VARCHAR, CASE WHEN count(*) OVER w = 7 THEN round(sum(v) OVER w, 2) END FROM d WINDOW w AS (ORDER BY d ROWS BETWEEN 3 PRECEDING AND 3 FOLLOWING)
+       UNION ALL SELECT 'roll30', d::VARCHAR, CASE WHEN count(*) OVER w = 30 THEN round(sum(v) OVER w, 2) END FROM d WINDOW w AS (ORDER BY d ROWS BETWEEN 15 PRECEDING AND 14 FOLLOWING)
        UNION ALL SELECT 'hour', hour(ts)::VARCHAR, round(avg(value), 6) FROM events GROUP BY 2
        UNION ALL SELECT CASE WHEN isodow(ts) < 6 THEN 'Weekday' ELSE 'Weekend' END, hour(ts)::VARCHAR, round(avg(value), 6) FROM events GROUP BY 1, 2""",
 )
 def job_bike_counts(t):
     d = daily(t.events, "ts", F.sum("value").alias("v"))
     week = d.groupBy(F.date_add(F.trunc("d", "week"), 6).cast("string").alias("key")).agg(r(F.sum("v"), 2).alias("v")).withColumn("view", F.lit("week"))
-    p, f = centred_reach(7)
+    p, f = centred_reach(30)
     w = W.orderBy("d").rowsBetween(-p, f)
-    roll = d.select(F.col("d").cast("string").alias("key"), full_frame(r(F.sum("v").over(w), 2), w, 7).alias("v"), F.lit("roll7").alias("view"))
+    roll = d.select(F.col("d").cast("string").alias("key"), full_frame(r(F.sum("v").over(w), 2), w, 30).alias("v"), F.lit("roll30").alias("view"))
     hour = F.hour("ts").cast("string").alias("key")
     by_hour = t.events.groupBy(hour).agg(r(F.avg("value")).alias("v")).withColumn("view", F.lit("hour"))
     kind = F.when(F.weekday("ts") < 5, "Weekday").otherwise("Weekend").alias("view")
@@ -206,23 +206,38 @@ def job_president_heights(t):
 
 # city = event type, month = hour of day, baseline = days 1-10, decades = blocks of ten days
 def _climate_sql(where):
-    return f"""WITH e AS (SELECT event_type AS city, hour(ts) AS m, day(ts) AS dd, value FROM events WHERE {where}), b AS (SELECT city, m, avg(value) AS mu, stddev_samp(value) AS s FROM e WHERE dd <= 10 GROUP BY 1, 2),
+    return f"""WITH e AS (SELECT event_type AS city, hour(ts) AS m, day(ts) AS dd, ts::DATE AS day, value FROM events WHERE {where}), b AS (SELECT city, m, avg(value) AS mu, stddev_samp(value) AS s FROM e WHERE dd <= 10 GROUP BY 1, 2),
         z AS (SELECT e.city, dd, (value - mu) / s AS z, value FROM e LEFT JOIN b USING (city, m)),
         t AS (SELECT city, count(*) FILTER (dd >= 20) AS n1, avg(value) FILTER (dd >= 20) AS m1, var_samp(value) FILTER (dd >= 20) AS v1, count(*) FILTER (dd <= 10) AS n2, avg(value) FILTER (dd <= 10) AS m2, var_samp(value) FILTER (dd <= 10) AS v2 FROM e GROUP BY 1),
-        d AS (SELECT city, (dd // 10 * 10)::INT AS decade, count(z) AS n, count(*) FILTER (z > 2)::BIGINT AS hot, count(*) FILTER (z < -0.9)::BIGINT AS cold, max(value) AS hottest, min(value) AS coldest FROM z GROUP BY 1, 2)
-        SELECT city, decade, n, hot, cold, round(100.0 * hot / nullif(n, 0), 6)::DOUBLE AS hot_pct, hottest, coldest,
-          round((m1 - m2) / sqrt(((n1 - 1) * v1 + (n2 - 1) * v2) / (n1 + n2 - 2) * (1.0::DOUBLE / n1 + 1.0::DOUBLE / n2)), 6) AS t_new_old FROM d JOIN t USING (city)"""
+        d AS (SELECT city, (dd // 10 * 10)::INT AS decade, count(z) AS n, count(*) FILTER (z > 2)::BIGINT AS hot, count(*) FILTER (z < -0.9)::BIGINT AS cold, max(value) AS hottest, min(value) AS coldest FROM z GROUP BY 1, 2),
+        f AS (SELECT *, first_value(hot) OVER o AS hot0, first_value(n) OVER o AS n0 FROM d WINDOW o AS (PARTITION BY city ORDER BY decade)),
+        q AS (SELECT *, (hot + hot0) / nullif(n + n0, 0)::DOUBLE AS pp FROM f),
+        dm AS (SELECT city, day, avg(value) AS v FROM e GROUP BY 1, 2),
+        ro AS (SELECT city, epoch(day) / 86400 AS x, CASE WHEN count(*) OVER w = 5 THEN avg(v) OVER w END AS y FROM dm WINDOW w AS (PARTITION BY city ORDER BY day ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING)),
+        tr AS (SELECT city, regr_slope(y, x) AS trend FROM ro GROUP BY 1)
+        SELECT city, decade, n, hot, cold, round((hot / nullif(n, 0)::DOUBLE - hot0 / nullif(n0, 0)::DOUBLE) / nullif(sqrt(pp * (1 - pp) * (1.0::DOUBLE / n + 1.0::DOUBLE / n0)), 0), 6) AS hot_z, round(trend, 8) AS trend, round(100.0 * hot / nullif(n, 0), 6)::DOUBLE AS hot_pct, hottest, coldest,
+          round((m1 - m2) / sqrt(((n1 - 1) * v1 + (n2 - 1) * v2) / (n1 + n2 - 2) * (1.0::DOUBLE / n1 + 1.0::DOUBLE / n2)), 6) AS t_new_old FROM q JOIN t USING (city) JOIN tr USING (city)"""
 
 
 def climate(e):
-    e = e.select(F.col("event_type").alias("city"), F.hour("ts").alias("m"), F.dayofmonth("ts").alias("dd"), "value")
+    """Extremes against the first ten days per city and block of ten days: counts, shares with a two-proportion test against the first block, a t test of the
+    last days against the first, and the trend of the five-day rolling mean."""
+    e = e.select(F.col("event_type").alias("city"), F.hour("ts").alias("m"), F.dayofmonth("ts").alias("dd"), F.to_date("ts").alias("day"), "value")
     base = e.filter("dd <= 10").groupBy("city", "m").agg(F.avg("value").alias("mu"), F.stddev("value").alias("s"))
     z = e.join(base, ["city", "m"], "left").withColumn("z", F.try_divide(F.col("value") - F.col("mu"), "s"))
     d = z.groupBy("city", bins.floor_bucket(F.col("dd"), 10).alias("decade")).agg(
         F.count("z").alias("n"), F.count_if(F.col("z") > 2).alias("hot"), F.count_if(F.col("z") < -0.9).alias("cold"), F.max("value").alias("hottest"), F.min("value").alias("coldest")
     )
     tt = stats.t_test(e, ["city"], F.col("value"), F.col("dd") >= 20, F.col("dd") <= 10).select("city", r("t").alias("t_new_old"))
-    return d.join(tt, "city").select("city", "decade", "n", "hot", "cold", r(F.try_divide(100.0 * F.col("hot"), "n")).alias("hot_pct"), "hottest", "coldest", "t_new_old")
+    blocks = W.partitionBy("city").orderBy("decade")  # a few blocks for each city
+    d = d.withColumns({"hot0": F.first("hot").over(blocks), "n0": F.first("n").over(blocks)})
+    pooled = F.try_divide(F.col("hot") + F.col("hot0"), F.col("n") + F.col("n0"))
+    share = F.try_divide("hot", "n") - F.try_divide("hot0", "n0")
+    z = F.try_divide(share, F.sqrt(pooled * (1 - pooled) * (F.try_divide(F.lit(1.0), F.col("n")) + F.try_divide(F.lit(1.0), F.col("n0")))))
+    days = W.partitionBy("city").orderBy("day").rowsBetween(-2, 2)  # one row for each calendar day
+    smooth = e.groupBy("city", "day").agg(F.avg("value").alias("v")).select("city", F.unix_date("day").alias("x"), full_frame(F.avg("v").over(days), days, 5).alias("y"))
+    trend = smooth.groupBy("city").agg(r(F.regr_slope("y", "x"), 8).alias("trend"))
+    return d.join(tt, "city").join(trend, "city").select("city", "decade", "n", "hot", "cold", r(z).alias("hot_z"), "trend", r(F.try_divide(100.0 * F.col("hot"), "n")).alias("hot_pct"), "hottest", "coldest", "t_new_old")
 
 
 @query("job_climate_extremes", _climate_sql("true"))

@@ -569,11 +569,15 @@ def multinomial_model(t):
     """Fitted on four fifths of the documents; returns the model and the predictions for the rest."""
     model = lr.fit_word_bayes(t.spread("documents").filter("doc_id % 5 <> 0"), "lang", "text", 0.1)
     held = t.spread("documents").filter("doc_id % 5 = 0")
-    predicted = model.predict(lr.words(held, "doc_id", "text"), "doc_id").join(held.select("doc_id", "lang"), "doc_id")
+    predicted = model.predict(held, lr.words(held, "doc_id", "text"), "doc_id").join(held.select("doc_id", "lang"), "doc_id")
     return model, predicted
 
 
-@query("ml_multinomial_nb", f"{_MNB} SELECT doc_id, lang, arg_max(cls, score) AS prediction FROM sc JOIN documents USING (doc_id) GROUP BY 1, 2")
+@query(
+    "ml_multinomial_nb",
+    f"""{_MNB}, best AS (SELECT doc_id, arg_max(cls, score) AS cls FROM sc GROUP BY 1)
+        SELECT doc_id, lang, coalesce(cls, (SELECT lang FROM pr ORDER BY n DESC, lang LIMIT 1)) AS prediction FROM documents LEFT JOIN best USING (doc_id) WHERE doc_id % 5 = 0""",
+)
 def ml_multinomial_nb(t):
     return multinomial_model(t)[1].select("doc_id", "lang", "prediction")
 

@@ -118,3 +118,27 @@ def test_fourier_features_are_the_kernel(spark):
     z = np.array([r["features"].toArray() for r in got])
     want = np.exp(-0.2 * ((x[:, None] - x[None]) ** 2).sum(axis=2))
     assert len(got) == 60 and np.abs(z @ z.T - want).max() < 0.12
+
+
+def test_topic_chain(spark):
+    """Weights, likelihoods and scores against the same chain in plain Python; a text without a known word gets the class of the highest prior."""
+    docs = [(1, "a", "red apple red pear"), (2, "a", "apple tree"), (3, "b", "blue sky blue sea"), (4, "b", "sky and sea"), (5, "b", "sea"), (6, None, "no class")]
+    model = lr.fit_topics(spark.createDataFrame(docs, "id long, c string, text string"), "id", "c", "text", 100, 0.1)
+    known = [(i, c, t.split()) for i, c, t in docs if c]
+    df = {w: sum(w in t for _, _, t in known) for _, _, t in known for w in t}
+    idf = {w: math.log(6 / (1 + n)) + 1 for w, n in df.items()}
+
+    def weigh(t):
+        v = {w: t.count(w) * idf[w] for w in t if w in idf}
+        norm = math.sqrt(sum(x * x for x in v.values()))
+        return {w: x / norm for w, x in v.items()}
+
+    total = {c: {w: sum(weigh(t).get(w, 0) for _, k, t in known if k == c) for w in df} for c in "ab"}
+    lp = {c: {w: math.log((x + 0.1) / (sum(total[c].values()) + 0.1 * len(df))) for w, x in total[c].items()} for c in "ab"}
+    prior = {"a": math.log(2 / 5), "b": math.log(3 / 5)}
+    asked = [(10, "red apple sea"), (11, "sky"), (12, "unknown words only"), (13, None), (14, ""), (15, "apple apple blue")]
+    got = {r["id"]: r for r in model.predict(spark.createDataFrame(asked, "id long, text string"), "id", "text").collect()}
+    assert len(got) == 6
+    for i, text in asked:
+        score = {c: prior[c] + sum(x * lp[c][w] for w, x in weigh((text or "").split()).items()) for c in "ab"} if any(w in idf for w in (text or "").split()) else prior
+        assert got[i]["prediction"] == max("ab", key=score.get) and got[i]["margin"] == pytest.approx(abs(score["a"] - score["b"]), abs=1e-9)
