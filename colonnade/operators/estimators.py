@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model
 from pyspark.ml.param import Param, Params, TypeConverters
@@ -9,7 +11,7 @@ from pyspark.ml.param.shared import HasInputCol, HasLabelCol
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import functions as F
 
-from colonnade.functions.special import norm_pdf
+from colonnade.operators.kernels import gaussian_sums
 
 
 class _BumpParams(HasInputCol, DefaultParamsReadable, DefaultParamsWritable):
@@ -50,17 +52,14 @@ class GaussianBumpsModel(Model, _BumpParams):
         return dataset.withColumns(new)
 
 
-MAX_DISTINCT = 20000  # the fitted table travels to every task
-
-
 class _DensityParams(HasInputCol, HasLabelCol, DefaultParamsReadable, DefaultParamsWritable):
     bandwidth = Param(Params._dummy(), "bandwidth", "kernel width", TypeConverters.toFloat)
 
 
 class DensityClassifier(Estimator, _DensityParams):
-    """Bayes classifier with a kernel density per class over one column of few distinct values.
+    """Bayes classifier with a kernel density per class over one column.
 
-    The training data is reduced to counts per (class, value); the model is that table.
+    The training data is reduced to counts per (class, value); the model is that table, and densities are sums over its bins.
     """
 
     @keyword_only
@@ -71,9 +70,6 @@ class DensityClassifier(Estimator, _DensityParams):
 
     def _fit(self, dataset):
         x, y = self.getOrDefault(self.inputCol), self.getOrDefault(self.labelCol)
-        distinct = dataset.agg(F.approx_count_distinct(x)).first()[0]
-        if distinct > MAX_DISTINCT:
-            raise ValueError(f"{x} has about {distinct} distinct values; bin it to at most {MAX_DISTINCT}")
         model = DensityClassifierModel()
         self._copyValues(model)
         model.counts = dataset.groupBy(F.col(y).alias("_c"), F.col(x).alias("_v")).agg(F.count(F.lit(1)).alias("_k"))
@@ -86,17 +82,17 @@ class DensityClassifierModel(Model, _DensityParams):
     def scores(self, dataset):
         """Posterior per distinct input value and class."""
         x, h = self.getOrDefault(self.inputCol), self.getOrDefault(self.bandwidth)
-        classes = self.counts.groupBy("_c").agg(F.collect_list(F.struct("_v", "_k")).alias("_pts"), F.sum("_k").alias("_n"))
-        table = classes.agg(F.array_sort(F.collect_list(F.struct("_c", "_n", "_pts")))).scalar()
-        values = dataset.select(F.col(x).alias("_x")).distinct().withColumn("_m", table)
-        per_class = values.select("_x", F.explode("_m").alias("m"))
+        points = self.counts.select(F.col("_c").alias("c"), F.col("_v").alias("x"), F.col("_k").alias("n"))
+        values = dataset.select(F.col(x).alias("x")).distinct()
+        classes = self.counts.agg(F.collect_set("_c")).scalar()  # one entry per class
+        pairs = values.withColumn("c", F.explode(classes))
         # class prior times class density is the kernel sum over the class, up to a common factor
-        score = F.aggregate("m._pts", F.lit(0.0), lambda a, p: a + p["_k"] * norm_pdf(F.col("_x") - p["_v"], 0.0, h))
-        return per_class.select("_x", F.col("m._c").alias("_c"), score.alias("_s"))
+        found = pairs.join(gaussian_sums(points, values, h), ["x", "c"], "left")
+        return found.select(F.col("x").alias("_x"), F.col("c").alias("_c"), (F.coalesce("s", F.lit(0.0)) / (h * math.sqrt(2 * math.pi))).alias("_s"))
 
     def _transform(self, dataset):
         x = self.getOrDefault(self.inputCol)
         s = self.scores(dataset).groupBy("_x").agg(
-            F.max_by("_c", F.struct("_s", (-F.col("_c")).alias("_tie"))).alias("prediction"), (F.max("_s") / F.sum("_s")).alias("probability")
+            F.max_by("_c", F.struct("_s", (-F.col("_c")).alias("_tie"))).alias("prediction"), F.try_divide(F.max("_s"), F.sum("_s")).alias("probability")
         )
         return dataset.join(s, dataset[x] == s["_x"]).drop("_x")

@@ -9,8 +9,9 @@ from pyspark.sql.window import Window as W
 
 from colonnade.functions import geo, special
 from colonnade.operators import stats
+from colonnade.operators.kernels import ERROR, gaussian_sums
 from colonnade.operators.ordered import exact_percentiles
-from colonnade.operators.relational import one_row
+from colonnade.operators.relational import one_row, union_all
 from colonnade.registry import query
 
 
@@ -353,13 +354,16 @@ _BW = [0.5, 1.0, 2.0, 4.0]
        SELECT h, round(sum(n * ln(f)), 2) AS loglik FROM d GROUP BY 1""",
 )
 def stat_kde_bandwidth_cv(t):
-    # equal values are counted first: quantities have 50 distinct values, so the pair sums are tiny
-    v = t.lineitem.groupBy(F.col("l_quantity").alias("x")).agg(N().cast("double").alias("n"))
-    d = v.withColumn("all", v.agg(F.array_sort(F.collect_list(F.struct("x", "n")))).scalar()).withColumn("h", F.explode(F.array(*map(F.lit, _BW))))
-    total = F.aggregate("all", F.lit(0.0), lambda a, w: a + w.getField("n"))
-    kern = F.aggregate("all", F.lit(0.0), lambda a, w: a + w.getField("n") * F.exp(-0.5 * ((F.col("x") - w.getField("x")) / F.col("h")) * ((F.col("x") - w.getField("x")) / F.col("h"))))
-    f = (kern - 1) / (F.col("h") * math.sqrt(2 * math.pi) * (total - 1))
-    return d.withColumn("f", f).groupBy("h").agg(F.round(F.sum(F.col("n") * F.ln("f")), 2).alias("loglik"))
+    """Leave-one-out log likelihood per bandwidth; equal values are counted first, the kernel sums run over bins."""
+    v = t.hold(t.lineitem.groupBy(F.col("l_quantity").alias("x")).agg(N().cast("double").alias("n")))
+    total = v.agg(F.sum("n")).scalar()
+    parts = []
+    for h in _BW:
+        s = gaussian_sums(v.withColumn("c", F.lit(0)), v, h).join(v, "x")
+        # a value without any other near it is as likely as the sums are exact
+        f = F.greatest(F.col("s") - 1, ERROR * total) / (h * math.sqrt(2 * math.pi) * (total - 1))
+        parts.append(s.agg(F.round(F.sum(F.col("n") * F.ln(f)), 2).alias("loglik")).select(F.lit(h).alias("h"), "loglik"))
+    return union_all(parts)
 
 
 @query(

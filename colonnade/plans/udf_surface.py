@@ -59,13 +59,19 @@ def udf_custom_transformer(t):
     return model.transform(t.events.select("event_id", "value"))
 
 
-@query("udf_custom_classifier")
+@query(
+    "udf_custom_classifier",
+    """WITH c AS (SELECT (l_extendedprice > 50000)::INT AS c, l_quantity AS x, count(*) AS k FROM lineitem GROUP BY 1, 2),
+       s AS (SELECT q.x AS x, c, sum(k * exp(-0.5 * ((q.x - c.x) / 3) ** 2)) AS s FROM (SELECT DISTINCT x FROM c) q, c GROUP BY 1, 2),
+       p AS (SELECT x, arg_max(c, (s, -c)) AS prediction, round(max(s) / sum(s), 6) AS probability FROM s GROUP BY 1)
+       SELECT l_orderkey, l_linenumber, l_quantity, (l_extendedprice > 50000)::INT AS label, prediction, probability FROM lineitem JOIN p ON l_quantity = x""",
+)
 def udf_custom_classifier(t):
     from colonnade.operators.estimators import DensityClassifier
 
-    d = t.lineitem.select("l_orderkey", "l_quantity", (F.col("l_extendedprice") > 50000).cast("int").alias("label"))
+    d = t.lineitem.select("l_orderkey", "l_linenumber", "l_quantity", (F.col("l_extendedprice") > 50000).cast("int").alias("label"))
     model = DensityClassifier(inputCol="l_quantity", labelCol="label", bandwidth=3.0).fit(d)
-    return model.transform(d)
+    return model.transform(d).withColumn("probability", F.round("probability", 6))
 
 
 @query(

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from colonnade.operators import learning as lr
-from colonnade.operators import reshape, stats
+from colonnade.operators import kernels, reshape, stats
 
 
 def test_minibatch_step_by_step(spark):
@@ -142,3 +142,27 @@ def test_topic_chain(spark):
     for i, text in asked:
         score = {c: prior[c] + sum(x * lp[c][w] for w, x in weigh((text or "").split()).items()) for c in "ab"} if any(w in idf for w in (text or "").split()) else prior
         assert got[i]["prediction"] == max("ab", key=score.get) and got[i]["margin"] == pytest.approx(abs(score["a"] - score["b"]), abs=1e-9)
+
+
+@pytest.mark.parametrize("width", [0.05, 1.0, 30.0])
+def test_gaussian_sums(spark, width):
+    """Within the stated bound of brute force, for places between, on and far from the values."""
+    rng = np.random.default_rng(6)
+    x = np.concatenate([rng.normal(size=1500), [100.0, -7.25, 0.5], np.full(300, 0.25)])
+    c, n = rng.integers(0, 3, len(x)), rng.integers(1, 4, len(x))
+    at = np.concatenate([rng.uniform(-5, 5, 200), [100.0, 1e6, 0.25, 50.0]])
+    points = spark.createDataFrame([(int(a), float(b), int(k)) for a, b, k in zip(c, x, n)] + [(0, None, 1), (0, float("nan"), 1), (1, float("inf"), 1)], "c int, x double, n long")
+    got = {(r["x"], r["c"]): r["s"] for r in kernels.gaussian_sums(points, spark.createDataFrame([(float(a),) for a in at] + [(None,)], "x double"), width).collect()}
+    for a in at:
+        for k in range(3):
+            want = (n[c == k] * np.exp(-0.5 * ((a - x[c == k]) / width) ** 2)).sum()
+            assert abs(got.get((float(a), k), 0.0) - want) <= kernels.ERROR * n.sum()
+
+
+def test_many_distinct_values(spark):
+    """A million distinct values: the sum at a few places is that of numpy."""
+    d = spark.range(1_000_000).select(F.lit(0).alias("c"), (F.sin(F.col("id") * 0.7) * 10 + F.col("id") / 1e6).alias("x"), F.lit(1).alias("n"))
+    i = np.arange(1_000_000)
+    x = np.sin(i * 0.7) * 10 + i / 1e6
+    for r in kernels.gaussian_sums(d, spark.createDataFrame([(0.0,), (9.5,)], "x double"), 0.4).collect():
+        assert r["s"] == pytest.approx(np.exp(-0.5 * ((r["x"] - x) / 0.4) ** 2).sum(), rel=1e-9)
