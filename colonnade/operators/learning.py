@@ -241,6 +241,102 @@ def fourier_features(df: DataFrame, vector: str, dim: int, count: int, gamma: fl
     return src.mapInArrow(run, schema).withColumn("features", array_to_vector("_z")).drop("_z")
 
 
+@dataclass
+class WideComponents:
+    """Principal components of wide vectors: ``mean``, ``directions`` (one row each, the entry of largest size positive), their ``variances`` and the ``total`` variance."""
+
+    mean: object
+    directions: object
+    variances: object
+    total: float
+
+    def project(self, df: DataFrame, vector: str, out: str = "scores") -> DataFrame:
+        """``df`` with the coordinates of ``vector`` along the directions, one matrix product per batch; null for vectors that are null or of another length."""
+        import numpy as np
+
+        mean, directions, dim = self.mean, self.directions, len(self.mean)
+
+        @F.arrow_udf(ArrayType(DoubleType()))
+        def scores(v):
+            import pyarrow as pa
+
+            fine = np.array([x.is_valid and len(x.values) == dim for x in v], bool)
+            x = v.filter(pa.array(fine)).flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
+            lists = iter(((x - mean) @ directions.T).tolist())
+            return pa.array([next(lists) if ok else None for ok in fine], pa.list_(pa.float64()))
+
+        return df.withColumn(out, scores(F.col(vector)))
+
+
+def wide_components(df: DataFrame, vector: str, k: int, extra: int = 10, rounds: int = 8, seed: int = 11) -> WideComponents:
+    """The ``k`` leading principal components without a matrix of moments: a block Krylov range finder.
+
+    A round multiplies the covariance with ``k + extra`` directions in one pass (each batch is two thin matrix products), and the product, made orthogonal
+    to all directions so far, is the next block; the components are the best in the span of all blocks. What travels is ``dim * (k + extra)`` numbers for each task, summed
+    by place before they reach the driver, which holds ``dim * (k + extra) * rounds``: vectors of many thousand entries fit, where their squared moments would not. The span is
+    complete, and the answer exact, once it holds ``dim`` directions. Vectors that are null, of another length than the most common or not finite are left out.
+    """
+    import numpy as np
+    import pyarrow as pa
+
+    empty = WideComponents(np.zeros(0), np.zeros((0, 0)), np.zeros(0), 0.0)
+    v = df.select(F.col(vector).cast("array<double>").alias("v")).filter("v is not null and size(v) > 0")
+    v = v.filter(~F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == F.lit(float("inf")))))
+    common = v.groupBy(F.size("v").alias("d")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "d").first()
+    if common is None:
+        return empty
+    dim, n = common["d"], common["n"]
+    v = v.filter(F.size("v") == dim)
+
+    def summed(of, width: int):
+        """Sum over all rows of ``of(batch of vectors)``, a ``dim x width`` matrix."""
+        def run(batches):
+            total = None
+            for b in batches:
+                for a in range(0, b.num_rows, 512):
+                    x = b.column("v").slice(a, 512).flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
+                    part = of(x)
+                    total = part if total is None else total + part
+            if total is not None:
+                yield pa.RecordBatch.from_arrays([pa.array(np.arange(dim, dtype=np.int32)), pa.array(total.tolist(), pa.list_(pa.float64()))], ["j", "s"])
+
+        rows = v.mapInArrow(run, "j int, s array<double>").groupBy("j").agg(*[F.sum(F.get("s", F.lit(i))).alias(f"s{i}") for i in range(width)])
+        out = np.zeros((dim, width))
+        for r in rows.collect():
+            out[r["j"]] = r[1:]
+        return out
+
+    first = summed(lambda x: np.column_stack([x.sum(axis=0), (x * x).sum(axis=0)]), 2)
+    mean = first[:, 0] / n
+    total = max(float((first[:, 1] - n * mean * mean).sum()), 0.0) / max(n - 1, 1)
+    width = min(k + extra, dim)
+    block = np.linalg.qr(np.random.default_rng(seed).standard_normal((dim, width)))[0]
+    basis, images = np.zeros((dim, 0)), np.zeros((dim, 0))
+    for _ in range(rounds):
+        def product(x, block=block):
+            centred = x - mean
+            return centred.T @ (centred @ block)
+
+        image = summed(product, block.shape[1]) / max(n - 1, 1)
+        basis, images = np.column_stack([basis, block]), np.column_stack([images, image])
+        if basis.shape[1] >= dim:
+            break
+        rest = image
+        for _ in range(2):  # twice, so rounding leaves nothing of the earlier blocks
+            rest = rest - basis @ (basis.T @ rest)
+        u, size, _ = np.linalg.svd(rest, full_matrices=False)
+        kept = size > 1e-12 * max(np.linalg.norm(image), 1e-300)
+        block = u[:, kept][:, : dim - basis.shape[1]]
+        if not block.shape[1]:
+            break
+    small = basis.T @ images
+    value, vector_ = np.linalg.eigh((small + small.T) / 2)
+    order = np.argsort(-value)[: min(k, dim)]
+    directions = (basis @ vector_[:, order]).T
+    sign = np.sign(directions[np.arange(len(directions)), np.abs(directions).argmax(axis=1)])
+    return WideComponents(mean, directions * np.where(sign == 0, 1, sign)[:, None], np.maximum(value[order], 0), total)
+
+
 def minibatch(df: DataFrame, key: str, vector: Column, centres: list[list[float]], batches: int, rounds: int = 1) -> list[list[float]]:
     """K-means by mini-batches: a centre moves towards the mean of its rows of a batch, by their share of all rows it has had so far.
 

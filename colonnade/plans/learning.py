@@ -433,8 +433,10 @@ def fitted_pca(d, k):
 
 @query("ml_pca")
 def ml_pca(t):
-    _, c, m = fitted_pca(vec(t), 10)
-    return m.transform(c).select("vec_id", "label", F.to_json(F.transform(vector_to_array("scores"), lambda x: F.round(x, 6))).alias("scores"))
+    """Ten components by a range finder that never holds the matrix of moments."""
+    d = vec(t).select("vec_id", "label", "e")
+    out = lr.wide_components(d, "e", 10).project(d, "e")
+    return out.select("vec_id", "label", F.to_json(F.transform("scores", lambda x: F.round(x, 6))).alias("scores"))
 
 
 @query("ml_pca_variance_target")

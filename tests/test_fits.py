@@ -166,3 +166,34 @@ def test_many_distinct_values(spark):
     x = np.sin(i * 0.7) * 10 + i / 1e6
     for r in kernels.gaussian_sums(d, spark.createDataFrame([(0.0,), (9.5,)], "x double"), 0.4).collect():
         assert r["s"] == pytest.approx(np.exp(-0.5 * ((r["x"] - x) / 0.4) ** 2).sum(), rel=1e-9)
+
+
+def exact_components(x, k):
+    centred = x - x.mean(axis=0)
+    _, size, directions = np.linalg.svd(centred, full_matrices=False)
+    directions = directions[:k]
+    sign = np.sign(directions[np.arange(len(directions)), np.abs(directions).argmax(axis=1)])
+    return directions * sign[:, None], size[:k] ** 2 / (len(x) - 1), centred.var(axis=0, ddof=1).sum()
+
+
+def test_components_of_64_dimensions(spark):
+    """Even a flat spectrum: the span is complete, so directions, variances and scores are those of the whole decomposition."""
+    x = np.random.default_rng(7).normal(size=(400, 64)) * np.linspace(1, 1.5, 64)
+    df = spark.createDataFrame([(i, [float(v) for v in r]) for i, r in enumerate(x)] + [(-1, None), (-2, [1.0]), (-3, [float("nan")] * 64)], "id long, v array<double>").repartition(4)
+    got = lr.wide_components(df, "v", 6)
+    directions, variances, total = exact_components(x, 6)
+    assert np.abs(got.directions - directions).max() < 1e-6 and got.variances == pytest.approx(variances, rel=1e-9) and got.total == pytest.approx(total, rel=1e-9)
+    scores = {r["id"]: r["scores"] for r in got.project(df, "v").collect()}
+    assert scores[-1] is None and scores[-2] is None and np.allclose([scores[i] for i in range(400)], (x - x.mean(axis=0)) @ directions.T, atol=1e-6)
+    assert lr.wide_components(df.filter("false"), "v", 3).directions.size == 0
+
+
+def test_components_of_wide_vectors(spark):
+    """10,000 entries, six strong directions over noise: found without a matrix of 100 million moments."""
+    rng = np.random.default_rng(8)
+    strong = np.linalg.qr(rng.normal(size=(10_000, 6)))[0].T
+    x = (rng.normal(size=(120, 6)) * [60, 50, 40, 30, 25, 20]) @ strong + rng.normal(scale=0.05, size=(120, 10_000))
+    df = spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(x)], "id long, v array<double>").repartition(4)
+    got = lr.wide_components(df, "v", 6, extra=4, rounds=4)
+    directions, variances, total = exact_components(x, 6)
+    assert got.variances == pytest.approx(variances, rel=1e-6) and np.abs(got.directions - directions).max() < 1e-5 and got.total == pytest.approx(total, rel=1e-6)
