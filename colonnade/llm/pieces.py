@@ -124,6 +124,17 @@ def load(path: str = MODEL, scores: str = "rank") -> Vocabulary:
 def lattice(word: str, v: Vocabulary) -> list[list[tuple[int, int, int]]]:
     """For every end position the arcs ``(length, id, score)`` of a word, longest first; id -1 is a character that is no piece."""
     arcs: list[list[tuple[int, int, int]]] = [[] for _ in range(len(word) + 1)]
+    if len(word) <= LONG:  # look-ups one by one are quicker than a table of hashes
+        text = ["▁" if c == " " else (None if c == "▁" else c) for c in word]
+        for end in range(1, len(text) + 1):
+            for n in range(min(v.longest, end), 0, -1):
+                part = text[end - n : end]
+                i = -1 if None in part else v.pieces.get("".join(part), -1)
+                if i >= 0:
+                    arcs[end].append((n, i, int(v.scores[i])))
+                elif n == 1:
+                    arcs[end].append((1, -1, v.unknown_score))
+        return arcs
     ids = v.spans(word)
     for k in sorted(ids, reverse=True):
         own, at = ids[k][0], np.flatnonzero(ids[k][0] >= 0)
@@ -188,6 +199,8 @@ def n_best(word: str, v: Vocabulary, n: int) -> list[tuple[int, list[int]]]:
     ahead = [0] + [NONE] * len(word)
     for end in range(1, len(word) + 1):
         ahead[end] = max(ahead[end - k] + s for k, _, s in arcs[end])
+    if len(word) <= LONG:
+        return _n_best_short(word, v, n, arcs, ahead)
     paths = _Paths()
     heap = [_Open(-ahead[-1], 0, len(word), 0, paths)]
     out = []
@@ -206,6 +219,24 @@ def n_best(word: str, v: Vocabulary, n: int) -> list[tuple[int, list[int]]]:
     return out
 
 
+def _n_best_short(word: str, v: Vocabulary, n: int, arcs: list[list[tuple[int, int, int]]], ahead: list[int]) -> list[tuple[int, list[int]]]:
+    """The same search with the whole path in every hypothesis, which is quicker while paths are short; tuples compare in the order of ``_Paths.before``."""
+    heap: list[tuple[int, tuple[int, ...], int, int, tuple[int, ...]]] = [(-ahead[-1], (), len(word), 0, ())]
+    out = []
+    while heap and len(out) < n:
+        rest, cut, at, own, path = heapq.heappop(heap)
+        if at == 0:
+            ids, start = [], 0
+            for k, i in zip(reversed(cut), reversed(path)):
+                ids += v.expand(word[start]) if i < 0 else [i]
+                start -= k
+            out.append((-rest, ids))
+            continue
+        for k, i, s in arcs[at]:
+            heapq.heappush(heap, (-(own + s + ahead[at - k]), (*cut, -k), at - k, own + s, (*path, i)))
+    return out
+
+
 class Encoder:
     """Best ids of words, found for many words of one length at once, and the N best of texts."""
 

@@ -403,6 +403,14 @@ def test_library_agrees_on_the_best_score(vocabulary, tmp_path):
     assert got == brute_best("the theory", stored, 1)[0] + sum(pieces.n_best(" " + w, stored, 1)[0][0] for w in text.split()[2:])
 
 
+def test_both_searches_agree(vocabulary, monkeypatch):
+    """Back pointers and whole paths give the same segmentations in the same order, ties included."""
+    words = [" understanding", "aaaaaaaaaaaa", " the", "naïve门丁", "abababab", "x", "  ", "▁a▁", "internationalization"]
+    short = [pieces.n_best(w, vocabulary, 12) for w in words]
+    monkeypatch.setattr(pieces, "LONG", 0)
+    assert [pieces.n_best(w, vocabulary, 12) for w in words] == short
+
+
 def test_very_long_word(vocabulary):
     """Back pointers: the search of a word of 100,000 characters holds little more than its lattice."""
     word = "".join(random.Random(4).choice("abcdefgh") for _ in range(100_000))
