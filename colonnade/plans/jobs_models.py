@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 from pyspark.ml import Pipeline
-from pyspark.ml.classification import DecisionTreeClassifier, LinearSVC, LogisticRegression, OneVsRest
-from pyspark.ml.feature import PCA, StandardScaler, VectorSlicer
+from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression
+from pyspark.ml.feature import PCA, StandardScaler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from colonnade.functions import geo
 from colonnade.operators import learning as lr
 from colonnade.operators import stats
+from colonnade.operators.margins import fit_margin_grid
 from colonnade.operators.relational import top_rows_per_key, union_all
 from colonnade.operators.timeseries import daily
 from colonnade.plans.evaluation import class_report
@@ -173,19 +174,18 @@ def job_face_recognition(t):
     def projected(rows, *others):
         """The given frames with the components of the first one's rows."""
         prep = Pipeline(stages=[StandardScaler(inputCol="features", outputCol="centred", withMean=True), PCA(k=max(k for k, _ in FACE_GRID), inputCol="centred", outputCol="scores")]).fit(rows)
-        return [t.hold(prep.transform(x).select("vec_id", "label", "scores")) for x in (rows, *others)]
-
-    def predicted(train, test, k, reg):
-        first = VectorSlicer(inputCol="scores", outputCol="first", indices=list(range(k)))
-        return Pipeline(stages=[first, OneVsRest(featuresCol="first", classifier=LinearSVC(featuresCol="first", regParam=reg, maxIter=5), parallelism=8)]).fit(train).transform(test)
+        return [t.hold(prep.transform(x).select("vec_id", "label", vector_to_array("scores").alias("scores"))) for x in (rows, *others)]
 
     score = dict.fromkeys(FACE_GRID, 0.0)
     for f in range(2):
         learn, check = projected(train.filter(F.col("fold") != f), train.filter(F.col("fold") == f))
-        for k, reg in FACE_GRID:
-            score[k, reg] += right(predicted(learn, check, k, reg)) / 2
+        model = fit_margin_grid(learn, "scores", "label", FACE_GRID, 5)
+        for g, share in zip(FACE_GRID, model.accuracies(check, "scores", "label")):
+            score[g] += share / 2
     k, reg = max(FACE_GRID, key=lambda g: score[g])
-    p = t.hold(predicted(*projected(train, test), k, reg).select("vec_id", "label", "prediction"))
+    learn, check = projected(train, test)
+    p = fit_margin_grid(learn, "scores", "label", [(k, reg)], 5).predict(check, "scores", ["vec_id", "label"])
+    p = t.hold(p.select("vec_id", "label", F.get("predictions", F.lit(0)).alias("prediction")))
     return class_report(p, "label", "prediction").withColumns({"components": F.lit(k), "reg": F.lit(reg), "fold_accuracy": F.lit(score[k, reg]), "accuracy": F.lit(right(p))})
 
 
