@@ -97,7 +97,7 @@ def math_special(t):
         "lg": (special.lgamma(x), 6), "g": (special.gamma(y), 6), "b": (special.beta(x, y), 8), "erf": (special.erf(x - 2.5), 6),
         "erfc": (special.erfc(x - 2.5), 6), "erfinv_erf": (special.erfinv(special.erf(x / 6)), 6),
     }
-    return t.part.select("p_partkey", *[F.round(c, d).alias(n) for n, (c, d) in cols.items()])
+    return t.spread("part").select("p_partkey", *[F.round(c, d).alias(n) for n, (c, d) in cols.items()])
 
 
 @query(
