@@ -47,11 +47,15 @@ def as_features(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def balanced_weights(df: DataFrame, label: str, out: str = "weight") -> DataFrame:
-    """Class weights n / (k * n_class)."""
+    """Class weights n / (k * n_class); rows without a class are left out.
+
+    The few weights are looked up inside the row: a join would deal all rows to as many tasks as there are classes.
+    """
     c = df.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
-    s = c.agg(F.struct(F.sum("_n").alias("n"), F.count(F.lit(1)).alias("k"))).scalar()
-    w = c.select(label, (s.getField("n") / (s.getField("k") * F.col("_n"))).alias(out))
-    return df.join(w, label)
+    sizes = F.map_from_entries(F.collect_list(F.when(F.col(label).isNotNull(), F.struct(label, "_n"))))
+    s = c.agg(F.struct(F.sum("_n").alias("n"), F.count(F.lit(1)).alias("k"), sizes.alias("sizes"))).scalar()
+    weight = s.getField("n") / (s.getField("k") * F.try_element_at(s.getField("sizes"), F.col(label)))
+    return df.filter(F.col(label).isNotNull()).select(label, *[x for x in df.columns if x != label], weight.alias(out))
 
 
 # ---- Gaussian naive Bayes

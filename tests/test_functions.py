@@ -113,3 +113,24 @@ def test_stratified_split_keeps_shares(spark):
     d = spark.range(1000).select("id", (F.col("id") % 10 == 0).cast("int").alias("y"))
     s = lr.stratified_split(d, "id", "y", 0.2).groupBy("y").agg(F.count_if("is_test").alias("n")).collect()
     assert {r["y"]: r["n"] for r in s} == {0: 180, 1: 20}
+
+
+def test_special_functions_run_over_batches(spark):
+    """The loops of the series ran step by step in interpreted lambdas, some thousand for a row."""
+    d = spark.createDataFrame([(x,) for x in (None, float("nan"), float("inf"), -4.0, -2.5, -0.3, 0.0, 0.7, 2.5, 6.0)], "x double")
+    out = d.select("x", special.erf(F.col("x")).alias("e"), special.erfc(F.col("x")).alias("c"), special.erfinv(special.erf(F.col("x") / 4)).alias("i"), special.norm_ppf(F.col("x")).alias("q"))
+    assert "lambda" not in out._jdf.queryExecution().optimizedPlan().toString()
+    rows = out.collect()
+    assert rows[0][1:] == (None, None, None, None) and math.isnan(rows[1].e) and rows[1].i is None and rows[1].q is None and (rows[2].e, rows[2].c, rows[2].i) == (1.0, 0.0, None)
+    for r in rows[3:]:
+        assert r.e == pytest.approx(math.erf(r.x), abs=1e-14) and r.c == pytest.approx(math.erfc(r.x), rel=1e-9) and r.i == pytest.approx(r.x / 4, abs=1e-9)
+        assert (r.q is None) == (not 0 < r.x < 1)
+
+
+def test_class_weights_without_a_join(spark):
+    """A join on the class dealt all rows to as many tasks as there are classes."""
+    d = spark.createDataFrame([(i, None if i % 10 == 9 else float(i % 10 < 2)) for i in range(100)], "id int, y double")
+    out = lr.balanced_weights(d, "y")
+    assert "Join" not in out._jdf.queryExecution().optimizedPlan().toString() and out.columns == ["y", "id", "weight"]
+    rows = out.collect()
+    assert len(rows) == 90 and {(r.y, round(r.weight, 9)) for r in rows} == {(1.0, round(100 / (3 * 20), 9)), (0.0, round(100 / (3 * 70), 9))}
