@@ -32,14 +32,16 @@ def fold_column(df: DataFrame, key: str, k: int, name: str = "fold") -> DataFram
 
 
 def stratified_split(df: DataFrame, key: str, label: str, test_share: float, hashed: Column | None = None) -> DataFrame:
-    """Exact class shares: the rows of each class in hash order, the first share goes to test.
+    """Exact class shares: the rows of each class in hash order, the first share goes to test; rows without a class are left out.
 
-    Ranks come from global positions, so a class that owns most rows is still spread out.
+    Ranks come from global positions, so a class that owns most rows is still spread out. Where a class starts is looked up inside
+    the row: a join would deal all rows to as many tasks as there are classes, and leave empty partitions for every later job to visit.
     """
-    d = with_position(df.withColumn("_h", F.xxhash64(F.col(key)) if hashed is None else hashed), [label, "_h", key], "_pos")
-    starts = d.groupBy(label).agg(F.min("_pos").alias("_start"), F.count(F.lit(1)).alias("_n"))
-    d = d.join(starts, label)
-    return d.withColumn("is_test", F.col("_pos") - F.col("_start") < F.floor(F.col("_n") * test_share)).drop("_h", "_pos", "_start", "_n")
+    d = with_position(df.withColumn("_h", F.xxhash64(F.col(key)) if hashed is None else hashed), [label, "_h", key], "_pos").filter(F.col(label).isNotNull())
+    starts = d.groupBy(label).agg(F.struct(F.min("_pos").alias("at"), F.count(F.lit(1)).alias("n")).alias("_s"))
+    own = F.try_element_at(starts.agg(F.map_from_entries(F.collect_list(F.struct(label, "_s")))).scalar(), F.col(label))
+    is_test = F.col("_pos") - own.getField("at") < F.floor(own.getField("n") * test_share)
+    return d.select(label, *[c for c in df.columns if c != label], is_test.alias("is_test"))
 
 
 def as_features(df: DataFrame, columns: Sequence[str]) -> DataFrame:
