@@ -10,7 +10,7 @@ from pyspark.ml.clustering import GaussianMixture, KMeans, PowerIterationCluster
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionEvaluator
 from pyspark.ml.feature import PCA, Imputer, PolynomialExpansion, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.regression import LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import LinearRegression
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
@@ -19,6 +19,7 @@ from colonnade.operators import learning as lr
 from colonnade.operators import neighbours as nb
 from colonnade.operators import stats, vectors
 from colonnade.operators.estimators import GaussianBumps
+from colonnade.operators.forests import fit_forest
 from colonnade.operators.relational import one_row
 from colonnade.plans.neighbours import knn_vectors_sql, plane
 from colonnade.registry import query
@@ -281,8 +282,8 @@ def ml_random_forest(t):
 
 @query("ml_random_forest_reg")
 def ml_random_forest_reg(t):
-    d = lr.as_features(t.lineitem, LINE)
-    m = RandomForestRegressor(labelCol="l_extendedprice", numTrees=200, maxDepth=6, seed=1).fit(d)
+    d = t.lineitem.select(*LINE, "l_extendedprice")
+    m = fit_forest(d, LINE, "l_extendedprice", trees=200, depth=6, seed=1)
     return m.transform(d).groupBy("l_quantity").agg(F.avg("l_extendedprice").alias("actual"), F.avg("prediction").alias("predicted"))
 
 
