@@ -15,14 +15,16 @@ non-finite components have no neighbours and are none.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from colonnade.operators.ordered import sliced
+from colonnade.operators.ordered import sliced, with_position
 from colonnade.operators.relational import top_rows_per_key
 from colonnade.session import checkpoint_root
 
@@ -30,8 +32,8 @@ from colonnade.session import checkpoint_root
 BLOCK, REFERENCES, SAMPLE = 256, 32, 2000
 #: Blocks that shrink the radius first; slots of distances that a cell is cut into.
 FIRST, SLOTS = 4, 64
-#: Pairs of blocks in one Arrow batch.
-PAIRS_AT_ONCE = 64
+#: Pairs of blocks in one Arrow batch; bytes of a group of blocks.
+PAIRS_AT_ONCE, GROUP_BYTES = 64, 1 << 25
 _SLACK = 1 + 1e-9
 
 
@@ -76,32 +78,69 @@ def _squares(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return np.maximum((x * x).sum(axis=1)[:, None] + (y * y).sum(axis=1)[None] - 2 * (x @ y.T), 0)
 
 
-def nearest_in(x: np.ndarray, ids: np.ndarray, reach: np.ndarray, y: np.ndarray, others: np.ndarray, k: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+def nearest_in(x: np.ndarray, ids: np.ndarray, reach: np.ndarray, y: np.ndarray, others: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """For the rows of ``x``, up to ``k`` nearest rows of ``y`` within ``reach`` and other than themselves: ids, neighbours, squared distances.
 
     The product of the matrices picks candidates with some to spare; what counts is the sum of squared differences.
     """
     rough = _squares(x, y)
+    limit = reach**2 * _SLACK + 1e-9 * (1 + (x * x).sum(axis=1) + (y * y).sum(axis=1).max(initial=0))
+    some = np.flatnonzero((rough <= limit[:, None]).any(axis=1))
+    rough = rough[some]
     m = min(len(y), k + 8)
     near = np.argpartition(rough, m - 1, axis=1)[:, :m] if m < len(y) else np.broadcast_to(np.arange(len(y)), rough.shape)
-    error = 1e-9 * (1 + (x * x).sum(axis=1) + (y * y).sum(axis=1).max(initial=0))
-    for i in range(len(x)):
-        at = near[i][rough[i, near[i]] <= reach[i] ** 2 * _SLACK + error[i]]
-        at = at[others[at] != ids[i]]
-        if len(at):
-            d2 = ((x[i] - y[at]) ** 2).sum(axis=1)
-            best = np.lexsort((others[at], d2))[:k]
-            yield np.full(len(best), ids[i]), others[at[best]], d2[best]
+    fine = (np.take_along_axis(rough, near, axis=1) <= limit[some, None]) & (others[near] != ids[some, None])
+    d2 = np.where(fine, ((x[some, None] - y[near]) ** 2).sum(axis=2), np.inf)
+    best = np.lexsort((others[near], ~fine, d2), axis=-1)[:, :k]
+    row, place = np.nonzero(np.take_along_axis(fine, best, axis=1))
+    at = best[row, place]
+    return ids[some[row]], others[near[row, at]], d2[row, at]
 
 
-def _compare(pairs: DataFrame, dim: int, k: int) -> DataFrame:
+@dataclass
+class Meetings:
+    """Pairs of blocks to compare: ``pairs`` (``a``, ``z``), and the ``blocks`` (``block``, its group ``g``, ``ids``, ``xs``, ``reach``)."""
+
+    pairs: DataFrame
+    blocks: DataFrame
+
+    def count(self) -> int:
+        return self.pairs.count()
+
+
+def _meet(met: Meetings, dim: int, k: int) -> DataFrame:
+    """``_compare`` for pairs among the same blocks: two groups of blocks meet in one task, so a block travels once for each group and not for each pair."""
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        plain = lambda t, n: t.column(n).combine_chunks()
+        held = dict(zip(plain(right, "z").to_pylist(), zip(_lists(plain(right, "xs"), dim), _lists(plain(right, "ids")))))
+        out = []
+        for x, ids, reach, zs in zip(_lists(plain(left, "xs"), dim), _lists(plain(left, "ids")), _lists(plain(left, "reach")), plain(left, "zs").to_pylist()):
+            sid, nid, d2 = (np.concatenate(c) for c in zip(*[nearest_in(x, ids, reach, *held[z], k) for z in zs]))
+            order = np.lexsort((nid, d2, sid))
+            sid, nid, d2 = sid[order], nid[order], d2[order]
+            fresh = np.flatnonzero(np.diff(sid, prepend=sid[:1] - 1))
+            kept = np.arange(len(sid)) - np.repeat(fresh, np.diff(fresh, append=len(sid))) < k
+            out.append((sid[kept], nid[kept], d2[kept]))
+        return pa.table([pa.array(np.concatenate([o[i] for o in out])) for i in range(3)], names=["sid", "nid", "d2"])
+
+    own = lambda n, g: met.blocks.select(F.col("block").alias(n), F.col("g").alias(g))
+    named = met.pairs.select("a", "z").join(own("a", "ga"), "a").join(own("z", "gz"), "z")
+    asking = named.groupBy("a", "ga", "gz").agg(F.collect_list("z").alias("zs")).join(met.blocks.select(F.col("block").alias("a"), "ids", "xs", "reach"), "a")
+    held = named.select("z", F.col("ga").alias("ha"), F.col("gz").alias("hz")).distinct().join(met.blocks.select(F.col("block").alias("z"), "ids", "xs"), "z")
+    return asking.groupBy("ga", "gz").cogroup(held.groupBy("ha", "hz")).applyInArrow(run, "sid long, nid long, d2 double").checkpoint()
+
+
+def _compare(pairs: DataFrame | Meetings, dim: int, k: int) -> DataFrame:
     """Solve pairs of blocks (``ids``, ``xs``, ``reach`` against ``ids_b``, ``xs_b``): ``sid``, ``nid``, ``d2``, at most ``k`` per vector and pair. Runs at once."""
+    if isinstance(pairs, Meetings):
+        return _meet(pairs, dim, k)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             found = []
             for x, ids, reach, y, others in zip(_lists(b.column("xs"), dim), _lists(b.column("ids")), _lists(b.column("reach")), _lists(b.column("xs_b"), dim), _lists(b.column("ids_b"))):
-                found += nearest_in(x, ids, reach, y, others, k)
+                found.append(nearest_in(x, ids, reach, y, others, k))
             if found:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([f[i] for f in found])) for i in range(3)], ["sid", "nid", "d2"])
 
@@ -183,6 +222,13 @@ def knn_join(df: DataFrame, id: str, vector: str, k: int, references: int = REFE
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in ("block", "cell", "ids", "xs")), *cols], ["block", "cell", "ids", "xs", "reach", "lo", "hi"])
 
     blocks = packed.mapInArrow(measure, "block long, cell int, ids array<long>, xs array<double>, reach array<double>, lo array<double>, hi array<double>").checkpoint()
+    # groups of neighbouring blocks: enough for all cores, and no more vectors in one than a task holds with ease
+    rows = s.count()
+    groups = max(math.ceil(math.sqrt(4 * spark.sparkContext.defaultParallelism)), math.ceil(rows * dim * 8 / GROUP_BYTES))
+    size = blocks.select("block", "cell", F.get("lo", F.col("cell")).alias("from"))
+    total = size.agg(F.count(F.lit(1))).scalar()
+    group = with_position(size, ["cell", "from", "block"], "at").select("block", F.floor(F.col("at") * groups / total).alias("g")).checkpoint()
+
     facts = blocks.select("block", "cell", "lo", "hi", F.array_max("reach").alias("far"))
     constant = lambda a: F.array(*[F.lit(float(x)) for x in a])
     slot = lambda d, c: F.floor((d - F.get(constant(low), c)) / F.get(constant(width), c))
@@ -196,18 +242,18 @@ def knn_join(df: DataFrame, id: str, vector: str, k: int, references: int = REFE
     gap = F.array_max(F.zip_with(F.zip_with("lo", "hi_b", lambda x, y: x - y), F.zip_with("lo_b", "hi", lambda x, y: x - y), lambda x, y: F.greatest(x, y)))
     pairs = met.withColumn("gap", F.greatest(gap, F.lit(0.0))).filter(F.col("gap") <= F.col("far") * _SLACK + 1e-9).select("a", "z", "gap").distinct().checkpoint()
 
-    other = blocks.select(F.col("block").alias("z"), F.col("ids").alias("ids_b"), F.col("xs").alias("xs_b"))
     first = top_rows_per_key(pairs, ["a"], [F.col("a") != F.col("z"), F.col("gap"), F.col("z")], FIRST, "_r").checkpoint()
-    near = _compare(first.join(blocks.select(F.col("block").alias("a"), "ids", "xs", "reach"), "a").join(other, "z"), dim, k)
+    near = _compare(Meetings(first, blocks.select("block", "ids", "xs", "reach").join(group, "block")), dim, k)
 
     # the k-th best so far is the new radius; blocks beyond it stay closed
     kth = top_rows_per_key(near, ["sid"], [F.col("d2"), F.col("nid")], k, "_r").groupBy("sid").agg(F.max("d2").alias("d2"), F.count(F.lit(1)).alias("n")).filter(F.col("n") == k)
     each = blocks.select("block", F.explode("ids").alias("sid")).join(kth, "sid")
     known = each.groupBy("block").agg(F.map_from_entries(F.collect_list(F.struct("sid", F.sqrt("d2").alias("r")))).alias("known"))
     shrunk = F.transform(F.arrays_zip("ids", "reach"), lambda e: F.least(e["reach"], F.coalesce(F.try_element_at("known", e["ids"]), e["reach"])))
-    tight = blocks.join(known, "block", "left").select(F.col("block").alias("a"), "ids", "xs", shrunk.alias("reach"))
-    rest = pairs.join(first.select("a", "z"), ["a", "z"], "left_anti").join(tight, "a").filter(F.col("gap") <= F.array_max("reach") * _SLACK + 1e-9)
-    far = _compare(rest.join(other, "z"), dim, k)
+    tight = blocks.join(known, "block", "left").select("block", "ids", "xs", shrunk.alias("reach")).checkpoint()
+    far = tight.select(F.col("block").alias("a"), F.array_max("reach").alias("far"))
+    rest = pairs.join(first.select("a", "z"), ["a", "z"], "left_anti").join(far, "a").filter(F.col("gap") <= F.col("far") * _SLACK + 1e-9)
+    far = _compare(Meetings(rest.select("a", "z"), tight.join(group, "block")), dim, k)
     return _answers(members, s, near.unionByName(far), k)
 
 

@@ -102,3 +102,18 @@ def test_hyperplanes_on_the_table(spark, sf_dir):
         want = sorted((float(((rows[i] - v) ** 2).sum()), j) for j, v in rows.items() if j != i)[:5]
         hit.append(len({j for _, j in want} & set(got[i])) / 5)
     assert set(got) == {i for i in rows if i % 20 == 0} and np.mean(hit) >= 0.9
+
+
+def test_blocks_travel_by_groups(spark, monkeypatch):
+    """Each pair of blocks carried both blocks through the shuffle, which grew with the square of the rows."""
+    x = np.random.default_rng(8).normal(size=(300, 6))
+    seen, plain = [], vectors._compare
+
+    def looking(pairs, dim, k):
+        seen.append(pairs)
+        return plain(pairs, dim, k)
+
+    monkeypatch.setattr(vectors, "_compare", looking)
+    monkeypatch.setattr(vectors, "GROUP_BYTES", 1000)  # fifteen groups
+    assert lists(vectors.knn_join(frame(spark, x), "id", "v", 4, references=6, block=16)) == brute(x, 4)
+    assert len(seen) == 2 and all("xs" not in p.pairs.columns for p in seen) and seen[0].blocks.select("g").distinct().count() > 8
