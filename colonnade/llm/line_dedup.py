@@ -19,8 +19,8 @@ from pyspark.sql import functions as F
 from colonnade.llm.base import bitmap, marked, query, row_key, spread
 from colonnade.session import checkpoint_root
 
-#: What separates tokens, and the mark of a variable field.
-BLANK, FIELD = r"[\t\x0B\f\r ]+", "<*>"
+#: What separates tokens besides a space, and the mark of a variable field.
+OTHER_BLANK, FIELD = r"[\t\x0B\f\r]", "<*>"
 #: Leading tokens on the way to a leaf.
 DEPTH = 3
 #: Lines of a leaf that make a token constant at its place.
@@ -36,8 +36,10 @@ def _lines(docs: DataFrame, some=None, *carry: Column) -> DataFrame:
     ``some`` keeps lines by ``n`` and ``lead`` before more is done with them; it may use the ``carry`` columns.
     """
     own = docs.select("doc_id", F.col("text").cast("string").alias("text"), *[c.alias(n) for n, c in row_key(F.col("doc_id"), F.col("text")).items()])
-    raw = lambda x: F.array_remove(F.split(x, BLANK), "")
-    split = F.transform(F.split(F.coalesce("text", F.lit("")), "\n"), lambda x, i: F.struct(i.alias("i"), raw(x).alias("raw"), x.rlike("[0-9]").alias("digit")))
+    # one space stands for every blank: a pattern of one character is split without a regular expression for each line
+    text = F.when(F.col("text").rlike(OTHER_BLANK), F.regexp_replace("text", OTHER_BLANK, " ")).otherwise(F.coalesce("text", F.lit("")))
+    raw = lambda x: F.array_remove(F.split(x, " "), "")
+    split = F.transform(F.split(text, "\n"), lambda x, i: F.struct(i.alias("i"), raw(x).alias("raw"), x.rlike("[0-9]").alias("digit")))
     mask = lambda t: F.transform(t, lambda w: F.when(w.rlike("[0-9]"), FIELD).otherwise(w))
     full = F.filter(split, lambda s: F.size(s["raw"]) > 0)
     # only a line with a digit has tokens to mask; the leading ones are masked first, for the leaf
