@@ -31,7 +31,7 @@ def test_as_good_as_mllib(spark):
     assert a.columns == [*d.columns, "prediction"] and len(own.trees) == 60 and len({tuple(t) for t in own.trees}) == 60
 
 
-def test_rows_reach_the_trees_as_sums(spark, monkeypatch):
+def test_rows_reach_the_trees_as_sums(spark):
     """MLlib keeps a count for each row and tree; here no more than the cells travel."""
     d = spark.range(200000).select((F.col("id") % 4).cast("double").alias("a"), (F.col("id") % 3).cast("double").alias("b"), (F.col("id") % 7).cast("double").alias("y"))
     m = fit_forest(d, ["a", "b"], "y", trees=20, depth=3)
