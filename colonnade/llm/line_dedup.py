@@ -13,14 +13,19 @@ Tokens are shuffled only for leaves that hold different lines of different docum
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from colonnade.llm.base import bitmap, marked, query, row_key, spread
 from colonnade.session import checkpoint_root
 
-#: What separates tokens besides a space, and the mark of a variable field.
-OTHER_BLANK, FIELD = r"[\t\x0B\f\r]", "<*>"
+#: What separates tokens, and the mark of a variable field.
+BLANKS, FIELD = r"[\t\x0B\f\r ]+", "<*>"
+#: In a line whose tokens stand at single spaces: a space at its start or end, and a token with a digit (found from the token's start only).
+EDGE, DIGITS = r" (?![^\n])|(?<![^\n]) ", r"(?<![^ \n])[^ \n0-9]*+[0-9][^ \n]*+"
 #: Leading tokens on the way to a leaf.
 DEPTH = 3
 #: Lines of a leaf that make a token constant at its place.
@@ -31,38 +36,54 @@ BITMAP_WORDS = 1 << 15
 
 
 def _lines(docs: DataFrame, some=None, *carry: Column) -> DataFrame:
-    """Per row: the row keys, ``o`` (which document comes first) and ``lines``, structs of ``i``, ``n``, ``lead``, ``t0``, ``tokens`` of its lines that hold tokens.
+    """Per row: the row keys, ``o`` (which document comes first) and ``lines``, structs of ``i``, ``n``, ``lead``, ``t0``, ``line`` of its lines that hold tokens.
 
-    ``some`` keeps lines by ``n`` and ``lead`` before more is done with them; it may use the ``carry`` columns.
+    ``line`` has the tokens, fields masked, at single spaces. ``some`` keeps lines by ``n`` and ``lead`` before more is done with them; it may use the ``carry`` columns.
     """
-    own = docs.select("doc_id", F.col("text").cast("string").alias("text"), *[c.alias(n) for n, c in row_key(F.col("doc_id"), F.col("text")).items()])
-    # one space stands for every blank: a pattern of one character is split without a regular expression for each line
-    text = F.when(F.col("text").rlike(OTHER_BLANK), F.regexp_replace("text", OTHER_BLANK, " ")).otherwise(F.coalesce("text", F.lit("")))
-    raw = lambda x: F.array_remove(F.split(x, " "), "")
-    split = F.transform(F.split(text, "\n"), lambda x, i: F.struct(i.alias("i"), raw(x).alias("raw"), x.rlike("[0-9]").alias("digit")))
-    mask = lambda t: F.transform(t, lambda w: F.when(w.rlike("[0-9]"), FIELD).otherwise(w))
-    full = F.filter(split, lambda s: F.size(s["raw"]) > 0)
-    # only a line with a digit has tokens to mask; the leading ones are masked first, for the leaf
-    head = lambda s: F.when(s["digit"], mask(F.slice(s["raw"], 1, DEPTH))).otherwise(F.slice(s["raw"], 1, DEPTH))
-    placed = F.transform(full, lambda s: F.struct(s["i"], s["raw"], s["digit"], F.size(s["raw"]).alias("n"), F.xxhash64(F.size(s["raw"]), head(s)).alias("lead")))
+    own = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("_text"), *[c.alias(n) for n, c in row_key(F.col("doc_id"), F.col("text").cast("string")).items()])
+    # a whole text is brought to single spaces and masked at once, and only if it needs it: its lines are then compared and hashed as they are, without a list of tokens each
+    text = F.col("_text")
+    uneven = reduce(or_, [text.contains(b) for b in ("\t", "\x0b", "\f", "\r", "  ", " \n", "\n ")]) | text.startswith(" ") | text.endswith(" ")
+    own = spread(own).withColumn("_even", F.when(uneven, F.regexp_replace(F.regexp_replace(text, BLANKS, " "), EDGE, "")).otherwise(text))
+    own = own.withColumn("_masked", F.when(F.col("_even").rlike("[0-9]"), F.regexp_replace("_even", DIGITS, FIELD)))
+    raw = F.split("_even", "\n")
+    pairs = F.when(F.col("_masked").isNull(), F.transform(raw, lambda x: F.struct(x.alias("raw"), x.alias("line")))).otherwise(F.zip_with(raw, F.split("_masked", "\n"), lambda x, y: F.struct(x.alias("raw"), y.alias("line"))))
+    full = F.filter(F.transform(pairs, lambda s, i: F.struct(i.alias("i"), s["raw"].alias("raw"), s["line"].alias("line"))), lambda s: s["raw"] != "")
+    space, none = F.lit(" "), F.lit("")
+    counted = F.transform(full, lambda s: F.struct(s["i"], s["raw"], s["line"], (F.octet_length(s["raw"]) - F.octet_length(F.replace(s["raw"], space, none)) + 1).alias("n")))
+    placed = F.transform(counted, lambda s: F.struct(s["i"], s["raw"], s["line"], s["n"], F.xxhash64(s["n"], F.substring_index(s["line"], " ", DEPTH)).alias("lead")))
     if some is not None:
         placed = F.filter(placed, some)
-    masked = F.transform(placed, lambda s: F.struct(s["i"], s["raw"], s["digit"], s["n"], s["lead"], F.when(s["digit"], mask(s["raw"])).otherwise(s["raw"]).alias("tokens")))
-    plain = lambda s: ~s["digit"] | (F.size(F.array_remove(s["tokens"], FIELD)) >= MASKED_SHARE * s["n"])
-    named = F.transform(masked, lambda s: F.struct(s["i"], s["n"], s["lead"], F.xxhash64(F.when(plain(s), s["tokens"]).otherwise(s["raw"])).alias("t0"), s["tokens"]))
+    # a line without a digit is its own mask
+    plain = lambda s: (s["raw"] == s["line"]) | (F.size(F.array_remove(F.split(s["line"], " "), FIELD)) >= MASKED_SHARE * s["n"])
+    named = F.transform(placed, lambda s: F.struct(s["i"], s["n"], s["lead"], F.xxhash64(F.when(plain(s), s["line"]).otherwise(s["raw"])).alias("t0"), s["line"]))
     last = F.lit((1 << 63) - 1)  # rows without id come last and count as one document
-    return spread(own).withColumns({f"_c{i}": c for i, c in enumerate(carry)}).select("_k1", "_k2", F.coalesce(F.col("doc_id").cast("long"), last).alias("o"), named.alias("lines"))
+    return own.withColumns({f"_c{i}": c for i, c in enumerate(carry)}).select("_k1", "_k2", F.coalesce(F.col("doc_id").cast("long"), last).alias("o"), named.alias("lines"))
+
+
+def _single(rows: DataFrame, *cols: str) -> DataFrame:
+    """One row per line: the columns ``cols`` and the fields of ``lines``.
+
+    An outer explode, as Spark derives a filter on the list's size from an inner one and, pushed to the scan, it would parse every text twice.
+    """
+    return rows.select(*cols, F.explode_outer("lines").alias("s")).filter("s is not null").select(*cols, "s.*")
+
+
+def _open_lines(docs: DataFrame, open_: Column) -> DataFrame:
+    """The lines of the leaves in the bitmap ``open_`` that are long enough for a template."""
+    near = _lines(docs, lambda s: (s["n"] > LEAST_CONSTANT) & marked(s["lead"], F.col("_c0"), BITMAP_WORDS), open_)
+    return _single(near, "o")
 
 
 def _templates(near: DataFrame) -> DataFrame:
-    """``lead``, ``t0``, ``first``: lines whose template two documents share, from lines (``lead``, ``t0``, ``n``, ``o``, ``tokens``) of open leaves."""
-    lines = near.groupBy("lead", "t0").agg(F.min("o").alias("first"), F.max("o").alias("last"), F.count(F.lit(1)).alias("c"), F.any_value("n").alias("n"), F.any_value("tokens").alias("tokens")).checkpoint()
-    key = F.transform("tokens", lambda w, p: F.when((p >= DEPTH) & (w != FIELD), F.xxhash64("lead", p, w)))
+    """``lead``, ``t0``, ``first``: lines whose template two documents share, from lines (``lead``, ``t0``, ``n``, ``o``, ``line``) of open leaves."""
+    lines = near.groupBy("lead", "t0").agg(F.min("o").alias("first"), F.max("o").alias("last"), F.count(F.lit(1)).alias("c"), F.any_value("n").alias("n"), F.any_value("line").alias("line")).checkpoint()
+    key = F.transform(F.split("line", " "), lambda w, p: F.when((p >= DEPTH) & (w != FIELD), F.xxhash64("lead", p, w)))
     placed = lines.select("lead", "t0", "c", F.explode(F.array_compact(key)).alias("key"))
     often = placed.groupBy("key").agg(F.sum("c").alias("support")).filter(F.col("support") >= SUPPORT).select("key")
     # the places of a line differ, so no key can cancel another one in the exclusive or
     hits = placed.join(often, "key").groupBy("lead", "t0").agg(F.bit_xor("key").alias("x"), F.bit_xor(F.xxhash64("key")).alias("y"), F.count(F.lit(1)).alias("hits"))
-    head = F.size(F.array_remove(F.slice("tokens", 1, DEPTH), FIELD))
+    head = F.size(F.array_remove(F.split(F.substring_index("line", " ", DEPTH), " "), FIELD))
     named = lines.select("lead", "t0", "first", "last", "n", head.alias("head")).join(hits, ["lead", "t0"], "left")
     constant = F.col("head") + F.coalesce("hits", F.lit(0))
     named = named.filter((constant >= LEAST_CONSTANT) & (constant >= GENERAL_SHARE * F.col("n")))
@@ -80,13 +101,12 @@ def dropped_lines(docs: DataFrame) -> DataFrame:
     seen = marks.select("o", F.explode(once).alias("s")).groupBy("s.lead", "s.t0", "s.n").agg(F.min("o").alias("first"), F.max("o").alias("last")).checkpoint()
     leaves = seen.filter(F.col("n") > LEAST_CONSTANT).groupBy("lead").agg(F.min("first").alias("first"), F.max("last").alias("last"), F.count(F.lit(1)).alias("kinds"))
     open_ = bitmap(leaves.filter("first <> last and kinds > 1").select("lead"), BITMAP_WORDS)
-    near = _lines(docs, lambda s: (s["n"] > LEAST_CONSTANT) & marked(s["lead"], F.col("_c0"), BITMAP_WORDS), open_)
-    near = near.select("o", F.explode("lines").alias("s")).select("o", "s.*")
+    near = _open_lines(docs, open_)
     exact = seen.filter("first <> last").select("lead", "t0", "first")
     known = exact.union(_templates(near)).groupBy("lead", "t0").agg(F.min("first").alias("first")).checkpoint()
     some = marks.withColumn("_known", bitmap(known.select("t0"), BITMAP_WORDS))
-    some = some.select("_k1", "_k2", "o", F.filter("lines", lambda s: marked(s["t0"], F.col("_known"), BITMAP_WORDS)).alias("lines")).filter(F.size("lines") > 0)
-    some = some.select("_k1", "_k2", "o", F.explode("lines").alias("s")).select("_k1", "_k2", "o", "s.i", "s.lead", "s.t0")
+    some = some.select("_k1", "_k2", "o", F.filter("lines", lambda s: marked(s["t0"], F.col("_known"), BITMAP_WORDS)).alias("lines"))
+    some = _single(some, "_k1", "_k2", "o").select("_k1", "_k2", "o", "i", "lead", "t0")
     return some.join(known, ["lead", "t0"]).filter("o <> first").groupBy("_k1", "_k2").agg(F.collect_set("i").alias("drop"))
 
 
@@ -103,8 +123,10 @@ def dedup_lines(docs: DataFrame, report: bool = False) -> DataFrame:
     named = docs.select(F.struct(*[F.col(f"`{c}`") for c in cols]).alias("row"), *[c.alias(n) for n, c in keys.items()])
     out = named.join(dropped_lines(docs), ["_k1", "_k2"], "left")
     lines = F.split(F.col("row.text"), "\n")
-    left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), "drop")
-    text = F.when(F.col("drop").isNotNull(), F.array_join(F.transform(left, lambda i: F.get(lines, i)), "\n")).otherwise(F.col("row.text"))
+    # the text is split once for a row, not once for each line it keeps
+    left = lambda ls: F.array_except(F.sequence(F.lit(0), F.size(ls) - 1), "drop")
+    cut = F.get(F.transform(F.array(lines), lambda ls: F.array_join(F.transform(left(ls), lambda i: F.get(ls, i)), "\n")), 0)
+    text = F.when(F.col("drop").isNotNull(), cut).otherwise(F.col("row.text"))
     # the new text takes another name first: inside the lambda above, "text" must be the old one
     out = out.select("row", "drop", F.coalesce(F.size(lines), F.lit(0)).cast("long").alias("n_lines"), text.alias("new"))
     gone = F.col("drop").isNotNull() & ~F.col("new").rlike(r"[^\n\t\x0B\f\r ]")

@@ -218,6 +218,36 @@ def test_line_dedup_keeps_own_text(spark):
     assert all(r.row.n_chars == len(r.row.text) for r in out.values())
 
 
+def plan_of(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_line_dedup_parses_once(spark):
+    """The second pass parses a text once, not again in a filter that Spark derives from the explode; the new text is split once, not for each line it keeps."""
+    docs = docs_of(spark, [(1, "one line of plain words here"), (2, "two lines 1\nof words")])
+    bits = line_dedup.bitmap(spark.range(3).selectExpr("id AS h"), line_dedup.BITMAP_WORDS)
+    assert plan_of(line_dedup._open_lines(docs, bits)).count("substring_index(") == 1
+    assert "get(split(" not in plan_of(line_dedup.dedup_lines(docs, report=True))
+
+
+def test_line_dedup_lines(spark):
+    """Tokens at any blanks, masked by digits, lines numbered as in the text; lines of equal tokens meet, whatever blanks they have."""
+    rng = random.Random(9)
+    texts = ["", None, " ", "\n", " a  b\t\n\n\x0bc1 \f d\r\n<*> x 2<*> é9\u00a0y z", "x" * 30_000 + " " * 30_000 + "7", "\u20031 a", "a\n a\na \n\ta\x0b"]
+    texts += ["".join(rng.choice(["a", "bc", "7", "d8e", " ", "  ", "\t", "\n", "\r\n", "\x0b", "\f", "<*>", "ü"]) for _ in range(40)) for _ in range(60)]
+    docs = docs_of(spark, list(enumerate(texts)))
+    got = {r.o: r.lines for r in line_dedup._lines(docs).collect()}
+    met = {}
+    for d, text in enumerate(texts):
+        rows = [(i, re.findall(r"[^\t\x0b\f\r ]+", x)) for i, x in enumerate((text or "").split("\n"))]
+        rows = [(i, raw, ["<*>" if re.search("[0-9]", w) else w for w in raw]) for i, raw in rows if raw]
+        assert [(s.i, s.n, s.line) for s in got[d]] == [(i, len(raw), " ".join(mask)) for i, raw, mask in rows]
+        for s, (_, raw, mask) in zip(got[d], rows, strict=True):
+            plain = raw == mask or sum(w != "<*>" for w in mask) >= line_dedup.MASKED_SHARE * len(raw)
+            met.setdefault((s.lead, s.t0), set()).add((len(raw), tuple(mask[:3]), tuple(mask if plain else raw)))
+    assert all(len(x) == 1 for x in met.values()) and len({next(iter(x)) for x in met.values()}) == len(met)
+
+
 # --- embeddings ---------------------------------------------------------------------------------------------------------
 
 
